@@ -14,14 +14,25 @@ UNKNOWN_QUANTITY = -3
 MONEY = "decimal(10,2)"
 
 
+# What a text must look like at the least before a cast can read it: sign and
+# digits between blanks or control characters for whole numbers, a digit of any
+# script (or a name such as NaN) for the rest. A try_cast throws and catches an exception
+# for every text it refuses; the test keeps the plainly bad texts away from it
+# and never changes a result.
+WHOLE = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
+FRACTION = r"\p{Nd}|(?i:nan|inf)"
+WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
+
+
 def parse_number(col: Column | str, type_name: str = "double") -> Column:
-    """Plain try_cast: text that is not a number is NULL."""
-    return as_column(col).try_cast(type_name)
+    """The text as a number of the given type; text that is not one is NULL."""
+    c = as_column(col)
+    return F.when(c.rlike(WHOLE if type_name in WHOLE_TYPES else FRACTION), c.try_cast(type_name))
 
 
 def as_number(col: Column | str) -> Column:
     """Double from text with thousands commas, NULL when it does not parse."""
-    return F.translate(as_column(col), ",", "").try_cast("double")
+    return parse_number(F.translate(as_column(col), ",", ""))
 
 
 def clean_quantity(col: Column | str) -> Column:
@@ -29,9 +40,9 @@ def clean_quantity(col: Column | str) -> Column:
     c = as_column(col)
     spellings = F.create_map(*[F.lit(x) for pair in QUANTITY_SPELLINGS.items() for x in pair])
     spelled = F.try_element_at(spellings, F.lower(F.trim(c)))
-    return F.coalesce(spelled, F.nullif(c.try_cast("int"), F.lit(UNKNOWN_QUANTITY)))
+    return F.coalesce(spelled, F.nullif(parse_number(c, "int"), F.lit(UNKNOWN_QUANTITY)))
 
 
 def clean_amount(col: Column | str) -> Column:
     """Two-place decimal, rounded half up; text and amounts above eight digits are NULL."""
-    return F.translate(as_column(col), ",", "").try_cast(MONEY)
+    return parse_number(F.translate(as_column(col), ",", ""), MONEY)

@@ -64,7 +64,8 @@ def parse_ts_iso(col: Column | str) -> Column:
 
 def parse_ts_lenient(col: Column | str) -> Column:
     """Anything Spark itself reads as a timestamp: ``T``, fractions, date only; else NULL."""
-    return as_column(col).try_cast("timestamp").cast("timestamp_ntz")
+    c = as_column(col)
+    return F.when(c.rlike("[0-9]"), c.try_cast("timestamp")).cast("timestamp_ntz")
 
 
 def hours_between(start: Column | str, end: Column | str) -> Column:

@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crispstar.functions.numbers import as_number
+from crispstar.functions.numbers import as_number, parse_number
 from crispstar.functions.temporal import hours_between, parse_ts_iso, parse_ts_lenient
 from crispstar.operators.columns import percent
 
@@ -102,7 +102,7 @@ def expected_amount(orders: DataFrame, products: DataFrame, product_id: str | No
     exchanges, which AQE splits when a product is hot.
     """
     wanted = orders if product_id is None else orders.filter(F.col("product_id") == product_id)
-    unit_price, qty = as_number("price"), F.col("quantity").try_cast("int")
+    unit_price, qty = as_number("price"), parse_number("quantity", "int")
     joined = wanted.join(products.select("product_id", "price"), "product_id")
     return joined.select(
         "order_id",

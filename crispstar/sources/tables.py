@@ -58,9 +58,9 @@ def publish(df: DataFrame, table: str, mode: str = "create_or_replace", operatio
     version = 0 if last is None else last + 1
     # A version folder without a log row is left over from a failed publish.
     df.write.mode("overwrite").parquet(f"{table}/data/version={version}")
-    row = [(version, operation or mode)]
-    spark.createDataFrame(row, LOG).coalesce(1).write.mode("append").parquet(f"{table}/log")
-    return read_version(spark, table, version)
+    entry = [F.lit(version).alias("version"), F.lit(operation or mode).alias("operation")]
+    spark.range(1, numPartitions=1).select(*entry).write.mode("append").parquet(f"{table}/log")
+    return spark.read.schema(df.schema).parquet(f"{table}/data/version={version}")
 
 
 def update_column(df: DataFrame, col: str, expr: Column, where: Column | None = None) -> DataFrame:

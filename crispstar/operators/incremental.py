@@ -6,13 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crispstar.operators.uniqueness import dedup_by_key
+from crispstar.session import materialize
 
 
 def incremental_load(current: DataFrame, batch: DataFrame, key: str, order_by: list | None = None) -> DataFrame:
-    """Upsert: keys of the batch replace their rows, other rows stay.
+    """Upsert: keys of the batch replace their rows, other rows stay; NULL is a key of its own.
 
-    Within the batch the first row by ``order_by`` wins.
+    Within the batch the first row by ``order_by`` wins. The winners are written
+    once: while they are small the current table is only filtered by a broadcast
+    of their keys and never shuffled, beyond that it is a sort-merge join that
+    AQE may split.
     """
-    both = current.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)))
-    newest = [F.col("_new").desc(), *(order_by or [])]
-    return dedup_by_key(both, key, newest).drop("_new")
+    winners = materialize(dedup_by_key(batch, key, order_by), "batch")
+    replaced = winners.select(F.col(key).alias("_key"))
+    kept = current.join(replaced, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    return kept.unionByName(winners)

@@ -71,10 +71,10 @@ def with_key(
     """Add the dimension's ``key`` to the fact as ``name``; NULL (or -1) where nothing matches.
 
     Only the matching column and the key of the dimension take part. There is no
-    broadcast hint: the dimension is a scan of a written table, so Catalyst
-    broadcasts it while its size is below the threshold and otherwise plans a
-    sort-merge join between two plain exchanges, which AQE splits on skew. The
-    temporary names keep a dimension usable twice.
+    broadcast hint: a dimension is a scan of a written table or a calendar of
+    known length, so Catalyst knows its size, broadcasts it below the threshold
+    and otherwise plans a sort-merge join between two plain exchanges, which AQE
+    splits on skew. The temporary names keep a dimension usable twice.
     """
     lookup = dim.select(F.col(match).alias("_match"), F.col(key).alias("_key"))
     found = fact.join(lookup, on == F.col("_match"), "left")
@@ -85,11 +85,8 @@ def with_key(
 def with_date_key(
     fact: DataFrame, dates: DataFrame, day: Column, name: str = "date_key", unknown: bool = False
 ) -> DataFrame:
-    """``with_key`` for the date dimension: a generated calendar of a few thousand rows.
-
-    Its size is bounded by its own first and last day, so it is always broadcast.
-    """
-    return with_key(fact, F.broadcast(dates), day, "date_key", name, "full_date", unknown)
+    """``with_key`` for the date dimension; days outside of it find no key."""
+    return with_key(fact, dates, day, "date_key", name, "full_date", unknown)
 
 
 def fact_orders(

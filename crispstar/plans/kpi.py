@@ -42,9 +42,8 @@ def kpi_overview(orders: DataFrame, customers: DataFrame, events: DataFrame) ->
 
 def _per_month(fact: DataFrame, dates: DataFrame, date_key: str, *measures: Column) -> DataFrame:
     """Aggregate per day first, so that the calendar meets one row per day."""
-    return fact.groupBy(F.col(date_key).alias("_day")).agg(*measures).join(
-        F.broadcast(dates.select(F.col("date_key").alias("_day"), "year", "month")), "_day", "left"
-    )
+    days = dates.select(F.col("date_key").alias("_day"), "year", "month")
+    return fact.groupBy(F.col(date_key).alias("_day")).agg(*measures).join(days, "_day", "left")
 
 
 def revenue_trend(orders: DataFrame, dates: DataFrame) -> DataFrame:

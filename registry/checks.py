@@ -823,12 +823,12 @@ CHECKS: dict[str, str] = {
     # announced extensions
     "incremental_load": over(
         "bronze_customers",
-        "customers_cleaned",
-        f"""SELECT * EXCLUDE (age) FROM (SELECT DISTINCT ON (customer_id) * FROM (
-          SELECT *, 1 AS age FROM bronze_customers UNION ALL
-          SELECT b.* REPLACE ({titled("regexp_replace(first_name, '[0-9]', '', 'g')")} AS first_name), 0
-          FROM bronze_customers b WHERE source = 'MACHINERY')
-        ORDER BY customer_id, age, {first(*CUSTOMER_REST)})""",
+        f"""SELECT * FROM bronze_customers b WHERE NOT EXISTS (
+          SELECT 1 FROM bronze_customers m
+          WHERE m.source = 'MACHINERY' AND m.customer_id IS NOT DISTINCT FROM b.customer_id)
+        UNION ALL (SELECT DISTINCT ON (customer_id) * REPLACE (
+          {titled("regexp_replace(first_name, '[0-9]', '', 'g')")} AS first_name) FROM bronze_customers
+          WHERE source = 'MACHINERY' ORDER BY customer_id, {first(*CUSTOMER_REST)})""",
     ),
     "quality_rules": over(
         "bronze_orders",

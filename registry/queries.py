@@ -116,7 +116,7 @@ def _stream_clickstream(t: Layers) -> DataFrame:
 
 
 def _incremental_load(t: Layers) -> DataFrame:
-    """The customers arrive again with cleaned names: every key of the batch is replaced."""
+    """One market segment arrives again with cleaned names and replaces its customers."""
     raw = t.bronze("customers")
     batch = raw.filter("source = 'MACHINERY'").withColumn("first_name", fn.clean_person_name("first_name"))
     return incremental_load(raw, batch, "customer_id")

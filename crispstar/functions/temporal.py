@@ -21,36 +21,38 @@ ISO_FORMAT = "yyyy-MM-dd HH:mm:ss"
 _FIELDS = re.compile(r"'[^']*'|[A-Za-z]+|[^A-Za-z']+")
 
 
-def _shape(fmt: str) -> str:
-    """Regular expression for the text a numeric datetime pattern can accept.
+def _fits(c: Column, fmt: str) -> Column:
+    """Whether the text has the length and the shape a numeric datetime pattern can accept.
 
     A formatter throws and catches an exception for every text it refuses;
-    testing the shape first keeps that off the path of the many rows that have
-    another layout.
+    testing first keeps that off the path of the many rows that have another
+    layout. The length alone rules most of them out.
     """
-    parts = []
+    shape, shortest, longest = "", 0, 0
     for field in _FIELDS.findall(fmt):
-        if field.startswith("'"):
-            parts.append(re.escape(field.strip("'")))
-        elif field[0] == "S":
-            parts.append(f"[0-9]{{1,{len(field)}}}")
+        if field[0] == "S":
+            low, high, part = 1, len(field), f"[0-9]{{1,{len(field)}}}"
         elif field[0].isalpha():
-            parts.append(f"[0-9]{{{len(field)}}}")
+            low = high = len(field)
+            part = f"[0-9]{{{len(field)}}}"
         else:
-            parts.append(re.escape(field))
-    return "^" + "".join(parts) + "$"
+            literal = field.strip("'")
+            low = high = len(literal)
+            part = re.escape(literal)
+        shape, shortest, longest = shape + part, shortest + low, longest + high
+    return F.length(c).between(shortest, longest) & c.rlike(f"^{shape}$")
 
 
 def parse_date_multi(col: Column | str, formats=DATE_FORMATS) -> Column:
     """Date by the first layout that fits, else NULL."""
     c = as_column(col)
-    return F.coalesce(*[F.when(c.rlike(_shape(f)), F.try_to_date(c, f)) for f in formats])
+    return F.coalesce(*[F.when(_fits(c, f), F.try_to_date(c, f)) for f in formats])
 
 
 def parse_ts_multi(col: Column | str, formats=TIMESTAMP_FORMATS) -> Column:
     """Timestamp by the first layout that fits, else NULL."""
     c = as_column(col)
-    parsed = [F.when(c.rlike(_shape(f)), F.try_to_timestamp(c, F.lit(f))) for f in formats]
+    parsed = [F.when(_fits(c, f), F.try_to_timestamp(c, F.lit(f))) for f in formats]
     return F.coalesce(*parsed).cast("timestamp_ntz")
 
 

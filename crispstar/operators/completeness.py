@@ -79,10 +79,10 @@ def null_rows(df: DataFrame, col: str) -> DataFrame:
 def null_share_by_group(df: DataFrame, col: str, group: str) -> DataFrame:
     """Of the rows that miss ``col``, the percentage in each group.
 
-    The total is a scalar subquery: one number that Spark computes once and
-    hands to every task, so the groups need neither a join nor a global window.
+    The total is a scalar subquery over the counts: one number that is handed to
+    every task and comes from the exchange the counts already have, so the
+    groups need no join, no global window and no second scan.
     """
-    missing = null_rows(df, col)
-    total = missing.agg(F.count("*")).scalar()
-    counted = missing.groupBy(group).agg(F.count("*").alias("null_records"))
+    counted = null_rows(df, col).groupBy(group).agg(F.count("*").alias("null_records"))
+    total = counted.agg(F.sum("null_records")).scalar()
     return counted.withColumn("null_percentage", percent(F.col("null_records"), total))

@@ -185,9 +185,12 @@ def support_agents(tickets: DataFrame, agents: DataFrame) -> DataFrame:
 
 
 def customer_sentiment(tickets: DataFrame) -> DataFrame:
-    """Tickets per sentiment and their share of all tickets."""
-    total = tickets.agg(F.count("*")).scalar()
+    """Tickets per sentiment and their share of all tickets.
+
+    The total is a scalar subquery over the counts; it reads their exchange.
+    """
     counted = tickets.groupBy("sentiment").agg(F.count("*").alias("tickets"))
+    total = counted.agg(F.sum("tickets")).scalar()
     return counted.withColumn("share_pct", percent(F.col("tickets"), total)).orderBy(by("sentiment"))
 
 

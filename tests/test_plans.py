@@ -10,7 +10,7 @@ from crispstar.plans import gold
 from crispstar.session import materialize
 from registry.queries import QUERIES, queries
 from registry.tables import Layers
-from tests.conftest import SMALL, plan
+from tests.conftest import SMALL, final_plan, plan
 
 # A single task may hold: one-row aggregates, the top rows of a bounded report,
 # months of a running total.
@@ -66,6 +66,11 @@ def test_profiles_read_the_table_once(spark):
         assert plan(df).count("FileScan") == 1
 
 
+def test_shares_reuse_the_exchange_of_their_counts(spark):
+    events = materialize(Layers(spark, SMALL).bronze("clickstream"), "events")
+    assert "ReusedExchange" in final_plan(completeness.null_share_by_group(events, "page_url", "event_type"))
+
+
 def test_facts_broadcast_small_dims_without_moving_the_fact(spark):
     text = plan(Layers(spark, SMALL).fact_orders())
     assert text.count("BroadcastHashJoin") == 3

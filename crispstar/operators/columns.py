@@ -23,7 +23,8 @@ def sorted_by(df: DataFrame, *leading: Column, named: tuple[str, ...] = ()) -> D
 
     The extra columns settle ties. They also give the range exchange something
     to cut on when one leading value, or one group of identical rows, holds a
-    large part of the table.
+    large part of the table. A task that runs again must find its rows in the
+    same positions, so ``df`` is to be a scan, or filters and projections of one.
     """
     others = [by(c) for c in rest_of(df, *named)]
     return df.orderBy(*leading, *others, F.monotonically_increasing_id())

@@ -14,7 +14,7 @@ from crispstar.session import materialize
 ROW_BITS = 33
 
 
-def surrogate_key(df: DataFrame, order_by: list[str], name: str) -> DataFrame:
+def surrogate_key(df: DataFrame, order_by: list[str], name: str, unique_rows: bool = False) -> DataFrame:
     """Put a 1..n key in front of the columns, in the order of ``order_by``.
 
     A window without partitions would sort the table in one task. Here the rows
@@ -24,14 +24,17 @@ def surrogate_key(df: DataFrame, order_by: list[str], name: str) -> DataFrame:
     the partitions before it.
 
     Remaining columns settle ties, and the input position separates identical
-    rows, so neither a hot key nor a group of copies has to fit in one task. The
-    input must be a deterministic scan or hold no identical rows.
+    rows, so neither a hot key nor a group of copies has to fit in one task. A
+    task that runs again must find its rows in the same positions, which holds
+    for a scan and for sorted input; say ``unique_rows`` when no two rows are
+    identical, and positions are not used at all.
     """
     order = [by(c) for c in (*order_by, *rest_of(df, *order_by))]
+    placed = df if unique_rows else df.withColumn("_tie", F.monotonically_increasing_id())
+    cuts = order if unique_rows else [*order, F.col("_tie")]
     stamped = (
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*order, "_tie")
-        .sortWithinPartitions(*order, "_tie")
+        placed.repartitionByRange(*cuts)
+        .sortWithinPartitions(*cuts)
         .withColumn("_stamp", F.monotonically_increasing_id())
         .drop("_tie")
     )

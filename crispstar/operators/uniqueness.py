@@ -49,10 +49,14 @@ def _duplicated(df: DataFrame, key: str) -> DataFrame:
     return materialize(key_counts(df, key).filter("records > 1").select(key), "duplicated-keys")
 
 
-def duplicate_records(df: DataFrame, key: str) -> DataFrame:
-    """All rows of the duplicated keys, sorted by key; NULL keys match nothing."""
-    rows = df.join(_duplicated(df, key), key, "left_semi")
-    return sorted_by(rows, by(key), named=(key,))
+def duplicate_records(df: DataFrame, key: str, ordered: bool = True) -> DataFrame:
+    """All rows of the duplicated keys, sorted by key; NULL keys match nothing.
+
+    The rows found are written before they are sorted: the sort tells identical
+    copies apart by their position, and a written table keeps positions.
+    """
+    found = df.join(_duplicated(df, key), key, "left_semi")
+    return sorted_by(materialize(found, "duplicate-records"), by(key), named=(key,)) if ordered else found
 
 
 def unique_records(df: DataFrame, key: str) -> DataFrame:

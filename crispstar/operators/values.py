@@ -153,7 +153,10 @@ def value_lookup(df: DataFrame, col: str, values: list[str], order_by: tuple[str
 
 
 def sorted_scan(df: DataFrame, col: str) -> DataFrame:
-    """The whole table in the order of one column; the other columns settle ties."""
+    """The whole table in the order of one column; the other columns settle ties.
+
+    Give it a table as it is stored.
+    """
     return sorted_by(df, by(col), named=(col,))
 
 

@@ -17,10 +17,13 @@ EARNED = "success"
 UNKNOWN_KEY = -1
 
 
-def dim_customer(silver: DataFrame) -> DataFrame:
-    """Key and twelve attributes; address and device stay in silver."""
+def dim_customer(silver: DataFrame, unique_rows: bool = True) -> DataFrame:
+    """Key and twelve attributes; address and device stay in silver.
+
+    Silver has one row per customer; say so when the table given has not.
+    """
     kept = silver.drop("address", "device_id_s")
-    return surrogate_key(kept, ["customer_id"], "customer_key")
+    return surrogate_key(kept, ["customer_id"], "customer_key", unique_rows)
 
 
 def dim_product(silver: DataFrame) -> DataFrame:
@@ -33,7 +36,7 @@ def dim_support_agent(silver: DataFrame, drop_empty: bool = False) -> DataFrame:
     agents = silver.filter(F.col("support_agent").isNotNull()).select("support_agent").distinct()
     if drop_empty:
         agents = agents.filter("support_agent <> ''")
-    return surrogate_key(agents, ["support_agent"], "support_agent_key")
+    return surrogate_key(agents, ["support_agent"], "support_agent_key", unique_rows=True)
 
 
 def _calendar(days: DataFrame) -> DataFrame:

@@ -132,7 +132,7 @@ def customer_quartile_segments(orders: DataFrame) -> DataFrame:
     The cut-offs are exact: the customers are ranked in parallel, and the spend
     at one and at three quarters of the ranks is read as two scalars.
     """
-    ranked = surrogate_key(_spend(orders), ["spend"], "place")
+    ranked = surrogate_key(_spend(orders), ["spend"], "place", unique_rows=True)
     total = ranked.agg(F.max("place")).scalar()
 
     def spend_at(share: float) -> Column:

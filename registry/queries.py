@@ -17,7 +17,7 @@ from crispstar.operators.incremental import incremental_load
 from crispstar.operators.intervals import impute_interval
 from crispstar.operators.keys import surrogate_key
 from crispstar.plans import gold, kpi, silver
-from crispstar.session import scratch_path
+from crispstar.session import materialize, scratch_path
 from crispstar.sources import landing, schemas, tables
 from crispstar.streaming import event_counts, silver_stream, unique_events
 from registry.tables import Layers
@@ -212,7 +212,7 @@ QUERIES: dict[str, Query] = {
     "value_lookup": lambda t: values.value_lookup(
         t.bronze("orders"), "status", ["REF", "refunded"], ("customer_id", "order_date")
     ),
-    "sorted_scan": lambda t: values.sorted_scan(t.silver("customers"), "first_name"),
+    "sorted_scan": lambda t: values.sorted_scan(materialize(t.silver("customers"), "customers"), "first_name"),
     "random_group": lambda t: values.random_group(t.bronze("orders"), "product_id", seed=3),
     "expected_amount": lambda t: rules.expected_amount(t.bronze("orders"), t.bronze("products")),
     "duration_hours": lambda t: rules.duration_hours(t.bronze("tickets")),

@@ -55,11 +55,20 @@ def test_duplicate_and_unique_records_cover_the_table(hot, settings):
     assert rows(dups) == [r for r in rows(hot) if r[0] is not None and counts[r[0]] > 1]
     assert rows(unique) == [r for r in rows(hot) if r[0] is None or counts[r[0]] == 1]
     assert "skew=true" in final_plan(unique)
-    assert "skew=true" in final_plan(dups)
+    assert "skew=true" in final_plan(uniqueness.duplicate_records(hot, "key", ordered=False))
+
+
+def test_sorting_duplicates_splits_copies(spark, settings):
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+    copies = materialize(spark.range(6000, numPartitions=6).select(F.lit("same").alias("key")), "copies")
+    dups = uniqueness.duplicate_records(copies, "key")
+    sizes = dups.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 6000 and max(r["count"] for r in sizes) < 3000
 
 
 def test_star_join_splits_a_hot_key(spark, hot, settings):
-    dim = surrogate_key(hot.filter("key is not null").select("key").distinct(), ["key"], "dim_key")
+    distinct = hot.filter("key is not null").select("key").distinct()
+    dim = surrogate_key(distinct, ["key"], "dim_key", unique_rows=True)
     keys = dict((k, n) for n, k in rows(dim))
     small = gold.with_key(hot, dim, F.col("key"), "dim_key", "dim_key", "key")
     assert "BroadcastHashJoin" in plan(small)

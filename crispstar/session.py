@@ -17,6 +17,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The ids a stream remembers are kept on disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 _local_scratch: dict[str, str] = {}

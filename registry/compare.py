@@ -11,8 +11,9 @@ from collections import Counter
 from pathlib import Path
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from crispstar.session import prepare
 from registry.checks import CHECKS
 from registry.queries import queries
 
@@ -35,9 +36,8 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
-def differences(spark: SparkSession, con: duckdb.DuckDBPyConnection, folder: str, name: str) -> list[str]:
-    """What differs between the query and its check: columns, types, rows."""
-    ours = queries()[name](spark, folder)
+def differences(ours: DataFrame, con: duckdb.DuckDBPyConnection, name: str) -> list[str]:
+    """What differs between the result of a query and its check: columns, types, rows."""
     theirs = con.execute(CHECKS[name])
     names = [d[0] for d in theirs.description]
     found = []
@@ -64,8 +64,6 @@ def differences(spark: SparkSession, con: duckdb.DuckDBPyConnection, folder: str
 
 
 def main(folder: str, wanted: list[str]) -> int:
-    from crispstar.session import prepare
-
     builder = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8")
     spark = prepare(builder.config("spark.ui.enabled", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
@@ -73,7 +71,7 @@ def main(folder: str, wanted: list[str]) -> int:
     for name in wanted or queries():
         begun = time.time()
         try:
-            found = differences(spark, con, folder, name) if name in CHECKS else ["no check"]
+            found = differences(queries()[name](spark, folder), con, name) if name in CHECKS else ["no check"]
         except Exception as e:  # report every query, then fail
             found = [f"{type(e).__name__}: {str(e)[:600]}"]
         bad += bool(found)

@@ -174,7 +174,7 @@ QUERIES: dict[str, Query] = {
     "total_vs_distinct": lambda t: uniqueness.total_vs_distinct(t.bronze("customers"), "customer_id"),
     "distinct_count": lambda t: uniqueness.distinct_count(t.bronze("orders"), "customer_id"),
     "distinct_values": lambda t: uniqueness.distinct_values(t.silver("tickets"), "support_agent"),
-    "surrogate_key_check": lambda t: uniqueness.surrogate_key_check(t.dim_customer(), "customer_key"),
+    "surrogate_key_check": lambda t: uniqueness.surrogate_key_check(t.dim_customer, "customer_key"),
     # value and rule checks
     "value_frequency": lambda t: values.value_frequency(
         t.bronze("clickstream"), "event_type", where=F.col("page_url").isNull()
@@ -302,9 +302,9 @@ QUERIES: dict[str, Query] = {
     "surrogate_key": lambda t: surrogate_key(
         t.bronze("orders").select("order_amount", "order_id"), ["order_amount"], "amount_key"
     ),
-    "dim_customer": lambda t: t.dim_customer(),
-    "dim_product": lambda t: t.dim_product(),
-    "dim_support_agent": lambda t: t.dim_support_agent(),
+    "dim_customer": lambda t: t.dim_customer,
+    "dim_product": lambda t: t.dim_product,
+    "dim_support_agent": lambda t: t.dim_support_agent,
     "dim_date": lambda t: gold.dim_date_between(_date_span(t)),
     "fact_orders": lambda t: t.fact_orders(),
     "fact_orders_v1": lambda t: t.fact_orders(version=1),
@@ -316,22 +316,22 @@ QUERIES: dict[str, Query] = {
     "revenue_stats": lambda t: gold.revenue_stats(t.fact_orders()),
     "top_orders": lambda t: gold.top_orders(t.fact_orders()),
     # measures
-    "kpi_overview": lambda t: kpi.kpi_overview(t.fact_orders(), t.dim_customer(), t.fact_clickstream()),
-    "revenue_trend": lambda t: kpi.revenue_trend(t.fact_orders(), t.dim_date()),
-    "order_trend": lambda t: kpi.order_trend(t.fact_orders(), t.dim_date()),
+    "kpi_overview": lambda t: kpi.kpi_overview(t.fact_orders(), t.dim_customer, t.fact_clickstream()),
+    "revenue_trend": lambda t: kpi.revenue_trend(t.fact_orders(), t.dim_date),
+    "order_trend": lambda t: kpi.order_trend(t.fact_orders(), t.dim_date),
     "revenue_by_category": lambda t: _revenue_by_category(t),
-    "customer_growth": lambda t: kpi.customer_growth(t.dim_customer()),
+    "customer_growth": lambda t: kpi.customer_growth(t.dim_customer),
     "avg_customer_spend": lambda t: kpi.avg_customer_spend(t.fact_orders()),
     "avg_orders_per_customer": lambda t: kpi.avg_orders_per_customer(t.fact_orders()),
     "revenue_distribution": lambda t: kpi.revenue_distribution(t.fact_orders()),
     "customer_segmentation": lambda t: kpi.customer_segmentation(t.fact_orders()),
     "customer_quartile_segments": lambda t: kpi.customer_quartile_segments(t.fact_orders()),
     "website_activity": lambda t: kpi.website_activity(t.fact_clickstream()),
-    "product_categories": lambda t: kpi.product_categories(t.dim_product()),
+    "product_categories": lambda t: kpi.product_categories(t.dim_product),
     "resolution_rate": lambda t: kpi.resolution_rate(t.fact_support_tickets()),
     "resolution_rate_stated": lambda t: kpi.resolution_rate(t.bronze("tickets"), "ticket_resolved"),
     "avg_resolution_time": lambda t: kpi.avg_resolution_time(t.fact_support_tickets()),
-    "ticket_volume": lambda t: kpi.ticket_volume(t.fact_support_tickets(), t.dim_date()),
+    "ticket_volume": lambda t: kpi.ticket_volume(t.fact_support_tickets(), t.dim_date),
     "support_agents": lambda t: _support_agents(t),
     "customer_sentiment": lambda t: kpi.customer_sentiment(t.fact_support_tickets()),
     "issue_types": lambda t: kpi.issue_types(t.fact_support_tickets()),
@@ -373,14 +373,14 @@ def _impute(t: Layers) -> DataFrame:
 
 
 def _revenue_by_category(t: Layers) -> DataFrame:
-    products = t.dim_product()
-    orders = gold.fact_orders(t.silver("orders"), t.dim_customer(), products, t.dim_date())
+    products = t.dim_product
+    orders = gold.fact_orders(t.silver("orders"), t.dim_customer, products, t.dim_date)
     return kpi.revenue_by_category(orders, products)
 
 
 def _support_agents(t: Layers) -> DataFrame:
-    agents = t.dim_support_agent()
-    tickets = gold.fact_support_tickets(t.silver("tickets"), t.dim_customer(), agents, t.dim_date())
+    agents = t.dim_support_agent
+    tickets = gold.fact_support_tickets(t.silver("tickets"), t.dim_customer, agents, t.dim_date)
     return kpi.support_agents(tickets, agents)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 
 from crispstar.plans import gold, silver
@@ -10,6 +12,8 @@ from registry.bronze import bronze
 
 
 class Layers:
+    """Silver tables are plans; a dimension is built once, when it is first asked for."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
@@ -26,27 +30,31 @@ class Layers:
             "clickstream": silver.silver_clickstream,
         }[name](self.bronze(name))
 
+    @cached_property
     def dim_customer(self) -> DataFrame:
         return gold.dim_customer(silver.with_clean_phones(self.silver("customers")))
 
+    @cached_property
     def dim_product(self) -> DataFrame:
         return gold.dim_product(self.silver("products"))
 
+    @cached_property
     def dim_support_agent(self) -> DataFrame:
         return gold.dim_support_agent(self.silver("tickets"))
 
+    @cached_property
     def dim_date(self) -> DataFrame:
         return gold.dim_date(self.spark)
 
     def fact_orders(self, version: int = 2, unknown: bool = False) -> DataFrame:
         return gold.fact_orders(
-            self.silver("orders"), self.dim_customer(), self.dim_product(), self.dim_date(), version, unknown
+            self.silver("orders"), self.dim_customer, self.dim_product, self.dim_date, version, unknown
         )
 
     def fact_support_tickets(self, version: int = 2) -> DataFrame:
         return gold.fact_support_tickets(
-            self.silver("tickets"), self.dim_customer(), self.dim_support_agent(), self.dim_date(), version
+            self.silver("tickets"), self.dim_customer, self.dim_support_agent, self.dim_date, version
         )
 
     def fact_clickstream(self) -> DataFrame:
-        return gold.fact_clickstream(self.silver("clickstream"), self.dim_customer(), self.dim_date())
+        return gold.fact_clickstream(self.silver("clickstream"), self.dim_customer, self.dim_date)

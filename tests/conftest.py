@@ -7,6 +7,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from crispstar.session import prepare  # noqa: E402
+from registry.queries import queries  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -26,6 +27,19 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(scope="session")
+def registered(spark):
+    """The registered queries over the small tables, each built once."""
+    built = {}
+
+    def build(name):
+        if name not in built:
+            built[name] = queries()[name](spark, SMALL)
+        return built[name]
+
+    return build
+
+
 @pytest.fixture
 def settings(spark):
     """Set Spark settings for one test."""

@@ -20,5 +20,5 @@ def test_every_query_has_a_check():
 
 
 @pytest.mark.parametrize("name", QUERIES)
-def test_query_matches_check(spark, con, name):
-    assert differences(spark, con, SMALL, name) == []
+def test_query_matches_check(registered, con, name):
+    assert differences(registered(name), con, name) == []

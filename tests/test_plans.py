@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from crispstar.operators import completeness, uniqueness, values
 from crispstar.plans import gold
 from crispstar.session import materialize
-from registry.queries import QUERIES, queries
+from registry.queries import QUERIES
 from registry.tables import Layers
 from tests.conftest import SMALL, final_plan, plan
 
@@ -26,8 +26,8 @@ SINGLE_TASK = {
 
 
 @pytest.mark.parametrize("name", [n for n in QUERIES if n != "stream_clickstream"])
-def test_no_python_no_funnel_no_cross_join(spark, name):
-    text = plan(queries()[name](spark, SMALL))
+def test_no_python_no_funnel_no_cross_join(registered, name):
+    text = plan(registered(name))
     assert not re.search(r"Python|InPandas|InArrow|CartesianProduct|BroadcastNestedLoopJoin", text)
     funnels = text.split("Exchange SinglePartition")[1:]
     assert bool(funnels) == (name in SINGLE_TASK)

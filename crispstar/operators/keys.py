@@ -41,7 +41,7 @@ def surrogate_key(df: DataFrame, order_by: list[str], name: str, unique_rows: bo
     table = materialize(stamped, name)
     partition = F.shiftright("_stamp", ROW_BITS)
     # One number per shuffle partition: a list bounded by the partition count.
-    sizes = table.groupBy(partition.alias("part")).agg(F.count("*").alias("n")).orderBy("part").collect()
+    sizes = table.groupBy(partition.alias("part")).agg(F.count("*").alias("n")).collect()
     held = {r["part"]: r["n"] for r in sizes}
     before = [0, *accumulate(held.get(p, 0) for p in range(max(held, default=0)))]
     starts = F.array(*[F.lit(n).cast("bigint") for n in before])

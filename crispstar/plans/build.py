@@ -2,53 +2,67 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from crispstar.plans import gold, silver
 from crispstar.sources.tables import publish
 
+Plans = dict[str, Callable[[], DataFrame]]
+
 
-def build_silver(bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def silver_plans(bronze: dict[str, DataFrame]) -> Plans:
     return {
-        "customers": silver.with_clean_phones(silver.silver_customers(bronze["customers"])),
-        "orders": silver.silver_orders(bronze["orders"]),
-        "products": silver.silver_products(bronze["products"]),
-        "support_tickets": silver.silver_tickets(bronze["tickets"]),
-        "clickstream": silver.silver_clickstream(bronze["clickstream"]),
+        "customers": lambda: silver.with_clean_phones(silver.silver_customers(bronze["customers"])),
+        "orders": partial(silver.silver_orders, bronze["orders"]),
+        "products": partial(silver.silver_products, bronze["products"]),
+        "support_tickets": partial(silver.silver_tickets, bronze["tickets"]),
+        "clickstream": partial(silver.silver_clickstream, bronze["clickstream"]),
     }
 
 
-def build_dims(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def dim_plans(spark: SparkSession, cleaned: dict[str, DataFrame]) -> Plans:
     return {
-        "dim_customer": gold.dim_customer(tables["customers"]),
-        "dim_product": gold.dim_product(tables["products"]),
-        "dim_support_agent": gold.dim_support_agent(tables["support_tickets"]),
-        "dim_date": gold.dim_date(spark),
+        "dim_customer": partial(gold.dim_customer, cleaned["customers"]),
+        "dim_product": partial(gold.dim_product, cleaned["products"]),
+        "dim_support_agent": partial(gold.dim_support_agent, cleaned["support_tickets"]),
+        "dim_date": partial(gold.dim_date, spark),
     }
 
 
-def build_facts(tables: dict[str, DataFrame], dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def fact_plans(cleaned: dict[str, DataFrame], dims: dict[str, DataFrame]) -> Plans:
     customers, dates = dims["dim_customer"], dims["dim_date"]
     return {
-        "fact_orders": gold.fact_orders(tables["orders"], customers, dims["dim_product"], dates),
-        "fact_support_tickets": gold.fact_support_tickets(
-            tables["support_tickets"], customers, dims["dim_support_agent"], dates
+        "fact_orders": partial(gold.fact_orders, cleaned["orders"], customers, dims["dim_product"], dates),
+        "fact_support_tickets": partial(
+            gold.fact_support_tickets, cleaned["support_tickets"], customers, dims["dim_support_agent"], dates
         ),
-        "fact_clickstream": gold.fact_clickstream(tables["clickstream"], customers, dates),
+        "fact_clickstream": partial(gold.fact_clickstream, cleaned["clickstream"], customers, dates),
     }
 
 
+def publish_all(spark: SparkSession, folder: str, plans: Plans) -> dict[str, DataFrame]:
+    """Publish the tables of one layer side by side, so that small ones do not leave executors idle."""
+
+    def make(name: str) -> DataFrame:
+        return publish(plans[name](), f"{folder}/{name}")
+
+    with ThreadPoolExecutor(len(plans)) as pool:
+        running = {name: pool.submit(inheritable_thread_target(spark)(partial(make, name))) for name in plans}
+        return {name: task.result() for name, task in running.items()}
+
+
 def build_warehouse(spark: SparkSession, bronze: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
     """Clean, key and publish every table below ``root``; returns scans of the published tables.
 
     Each layer reads the published tables of the layer before, so nothing is
     computed twice and joins see real sizes.
     """
-
-    def publish_all(layer: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-        return {name: publish(df, f"{root}/{layer}/{name}") for name, df in tables.items()}
-
-    cleaned = publish_all("silver", build_silver(bronze))
-    dims = publish_all("gold", build_dims(spark, cleaned))
-    facts = publish_all("gold", build_facts(cleaned, dims))
+    cleaned = publish_all(spark, f"{root}/silver", silver_plans(bronze))
+    dims = publish_all(spark, f"{root}/gold", dim_plans(spark, cleaned))
+    facts = publish_all(spark, f"{root}/gold", fact_plans(cleaned, dims))
     return {**cleaned, **dims, **facts}

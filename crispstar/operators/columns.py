@@ -30,11 +30,15 @@ def sorted_by(df: DataFrame, *leading: Column, named: tuple[str, ...] = ()) -> D
     return df.orderBy(*leading, *others, F.monotonically_increasing_id())
 
 
-def percent(part: Column, whole: Column, digits: int = 2) -> Column:
-    """``part`` as a percentage of ``whole``, rounded half up; NULL for an empty whole.
+def ratio(part: Column, whole: Column, digits: int = 2, unit: str = "1.0") -> Column:
+    """``part`` in units of ``whole``, rounded half up; NULL for an empty whole.
 
     The division is done in decimals, so that a tie such as 1.005 rounds up
     whatever its nearest double is.
     """
-    share = F.try_divide(part * F.lit(Decimal("100.0")), whole)
-    return F.round(share, digits).cast("double")
+    return F.round(F.try_divide(part * F.lit(Decimal(unit)), whole), digits).cast("double")
+
+
+def percent(part: Column, whole: Column, digits: int = 2) -> Column:
+    """``ratio`` in percent."""
+    return ratio(part, whole, digits, "100.0")

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from crispstar.operators.columns import by
 from crispstar.operators.keys import surrogate_key
 
 # The span of the date dimension and the status that earns revenue.
@@ -175,5 +176,5 @@ def revenue_stats(fact: DataFrame) -> DataFrame:
 def top_orders(fact: DataFrame, n: int = 100) -> DataFrame:
     """The ``n`` largest earned orders; the other columns settle equal amounts."""
     rows = earned(fact).select("order_id", "product_key", "quantity", "order_amount")
-    order = [F.col("order_amount").desc(), *[F.col(c).asc_nulls_first() for c in ("order_id", "product_key", "quantity")]]
-    return rows.orderBy(*order).limit(n)
+    ties = [by(c) for c in ("order_id", "product_key", "quantity")]
+    return rows.orderBy(F.col("order_amount").desc(), *ties).limit(n)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crispstar.operators.columns import by, percent
+from crispstar.operators.columns import by, percent, ratio
 from crispstar.operators.keys import surrogate_key
 from crispstar.plans.gold import EARNED, earned
 
@@ -48,7 +48,8 @@ def _per_month(fact: DataFrame, dates: DataFrame, date_key: str, *measures: Colu
 
 def revenue_trend(orders: DataFrame, dates: DataFrame) -> DataFrame:
     daily = _per_month(earned(orders), dates, "date_key", F.sum("order_amount").alias("amount"))
-    return daily.groupBy("year", "month").agg(F.sum("amount").cast(REVENUE).alias("revenue")).orderBy(by("year"), by("month"))
+    monthly = daily.groupBy("year", "month").agg(F.sum("amount").cast(REVENUE).alias("revenue"))
+    return monthly.orderBy(by("year"), by("month"))
 
 
 def order_trend(orders: DataFrame, dates: DataFrame) -> DataFrame:
@@ -75,7 +76,8 @@ def customer_growth(customers: DataFrame) -> DataFrame:
     customer without a signup date has no month and is left out.
     """
     month = F.trunc("signup_date", "month").alias("signup_month")
-    monthly = customers.filter(F.col("signup_date").isNotNull()).groupBy(month).agg(F.count("*").alias("new_customers"))
+    dated = customers.filter(F.col("signup_date").isNotNull())
+    monthly = dated.groupBy(month).agg(F.count("*").alias("new_customers"))
     so_far = Window.orderBy("signup_month").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return monthly.withColumn("total_customers", F.sum("new_customers").over(so_far)).orderBy("signup_month")
 
@@ -93,18 +95,17 @@ def avg_customer_spend(orders: DataFrame) -> DataFrame:
     return _spend(orders).agg(
         F.sum("spend").cast(REVENUE).alias("revenue"),
         F.count("*").alias("customers"),
-        F.round(F.try_divide(F.sum("spend"), F.count("*")), 2).cast("double").alias("avg_spend"),
+        ratio(F.sum("spend"), F.count("*")).alias("avg_spend"),
     )
 
 
 def avg_orders_per_customer(orders: DataFrame) -> DataFrame:
     known = orders.filter(F.col("customer_key").isNotNull())
     per_customer = known.groupBy("customer_key").agg(F.count("*").alias("n"))
-    per_hundred = percent(F.sum("n"), F.count("*"), 0)
     return per_customer.agg(
         F.sum("n").alias("orders"),
         F.count("*").alias("customers"),
-        (per_hundred / 100).alias("avg_orders"),
+        ratio(F.sum("n"), F.count("*")).alias("avg_orders"),
     )
 
 

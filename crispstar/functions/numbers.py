@@ -15,12 +15,12 @@ MONEY = "decimal(10,2)"
 
 
 # What a text must look like at the least before a cast can read it: sign and
-# digits between blanks or control characters for whole numbers, a digit of any
-# script (or a name such as NaN) for the rest. A try_cast throws and catches an exception
-# for every text it refuses; the test keeps the plainly bad texts away from it
-# and never changes a result.
+# digits between blanks or control characters for whole numbers; a digit of any
+# script, or a name such as NaN, for the rest, with or without commas in it. A
+# try_cast throws and catches an exception for every text it refuses; the test
+# keeps the plainly bad texts away from it and never changes a result.
 WHOLE = r"^[\x00-\x20\x7f]*[+-]?[0-9]+[\x00-\x20\x7f]*$"
-FRACTION = r"\p{Nd}|(?i:nan|inf)"
+FRACTION = r"\p{Nd}|(?i:n,*a,*n|i,*n,*f)"
 WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
 
 
@@ -30,9 +30,10 @@ def parse_number(col: Column | str, type_name: str = "double") -> Column:
     return F.when(c.rlike(WHOLE if type_name in WHOLE_TYPES else FRACTION), c.try_cast(type_name))
 
 
-def as_number(col: Column | str) -> Column:
-    """Double from text with thousands commas, NULL when it does not parse."""
-    return parse_number(F.translate(as_column(col), ",", ""))
+def as_number(col: Column | str, type_name: str = "double") -> Column:
+    """Number with a fraction from text with thousands commas, NULL when it does not parse."""
+    c = as_column(col)
+    return F.when(c.rlike(FRACTION), F.replace(c, F.lit(","), F.lit("")).try_cast(type_name))
 
 
 def clean_quantity(col: Column | str) -> Column:
@@ -45,4 +46,4 @@ def clean_quantity(col: Column | str) -> Column:
 
 def clean_amount(col: Column | str) -> Column:
     """Two-place decimal, rounded half up; text and amounts above eight digits are NULL."""
-    return parse_number(F.translate(as_column(col), ",", ""), MONEY)
+    return as_number(col, MONEY)

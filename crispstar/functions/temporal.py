@@ -16,9 +16,10 @@ from crispstar.functions.columns import as_column
 # The accepted layouts, first match wins.
 DATE_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "yyyy-MM-dd", "dd-MM-yyyy")
 TIMESTAMP_FORMATS = ("yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy HH:mm", "dd-MM-yyyy HH:mm")
-ISO_FORMAT = "yyyy-MM-dd HH:mm:ss"
+ISO_FORMATS = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss")
 
 _FIELDS = re.compile(r"'[^']*'|[A-Za-z]+|[^A-Za-z']+")
+_CASTABLE = re.compile(r"yyyy-MM-dd(('T'| )HH:mm:ss(\.S{1,6})?)?")
 
 
 def _fits(c: Column, fmt: str) -> Column:
@@ -43,17 +44,26 @@ def _fits(c: Column, fmt: str) -> Column:
     return F.length(c).between(shortest, longest) & c.rlike(f"^{shape}$")
 
 
-def parse_date_multi(col: Column | str, formats=DATE_FORMATS) -> Column:
-    """Date by the first layout that fits, else NULL."""
-    c = as_column(col)
-    return F.coalesce(*[F.when(_fits(c, f), F.try_to_date(c, f)) for f in formats])
+def _parse(c: Column, fmt: str) -> Column:
+    """Timestamp of a text in one layout, else NULL.
+
+    Text that has an ISO layout is cast, which is several times faster than a
+    formatter and gives the same.
+    """
+    castable = _CASTABLE.fullmatch(fmt)
+    parsed = c.try_cast("timestamp_ntz") if castable else F.try_to_timestamp(c, F.lit(fmt)).cast("timestamp_ntz")
+    return F.when(_fits(c, fmt), parsed)
 
 
 def parse_ts_multi(col: Column | str, formats=TIMESTAMP_FORMATS) -> Column:
     """Timestamp by the first layout that fits, else NULL."""
     c = as_column(col)
-    parsed = [F.when(_fits(c, f), F.try_to_timestamp(c, F.lit(f))) for f in formats]
-    return F.coalesce(*parsed).cast("timestamp_ntz")
+    return F.coalesce(*[_parse(c, f) for f in formats])
+
+
+def parse_date_multi(col: Column | str, formats=DATE_FORMATS) -> Column:
+    """Date by the first layout that fits, else NULL."""
+    return parse_ts_multi(col, formats).cast("date")
 
 
 def parse_ts_iso(col: Column | str) -> Column:
@@ -61,7 +71,7 @@ def parse_ts_iso(col: Column | str) -> Column:
 
     Fractional seconds are refused.
     """
-    return parse_ts_multi(F.translate(as_column(col), "T", " "), (ISO_FORMAT,))
+    return parse_ts_multi(col, ISO_FORMATS)
 
 
 def parse_ts_lenient(col: Column | str) -> Column:

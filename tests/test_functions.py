@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from crispstar import functions as fn
-from crispstar.functions import synonyms
+from crispstar.functions import synonyms, temporal
 from crispstar.functions.temporal import shift_hours
 from crispstar.functions.text import drop_phone_prefix, phone_digits
 
@@ -100,21 +100,31 @@ def test_guards_do_not_change_a_cast(spark):
     for kind in ("int", "bigint", "double", "decimal(10,2)"):
         plain, guarded = F.col("c").try_cast(kind), fn.parse_number("c", kind)
         assert df.filter(~plain.cast("string").eqNullSafe(guarded.cast("string"))).collect() == []
+    commas = [*odd, "1,234.5", ",", ",,1", "n,an", "N/A", "-i,nf", "1,2,3"]
+    df = spark.createDataFrame([(x,) for x in commas], "c string")
+    for kind in ("double", "decimal(10,2)"):
+        plain, guarded = F.translate("c", ",", "").try_cast(kind), fn.as_number("c", kind)
+        assert df.filter(~plain.cast("string").eqNullSafe(guarded.cast("string"))).collect() == []
     stamps = ["2024-01-02", "2024", "T10:00", "now", "epoch", "12:30", "x", "2024-01-02T10:00:00Z"]
     df = spark.createDataFrame([(x,) for x in stamps], "c string")
     plain = F.col("c").try_cast("timestamp").cast("timestamp_ntz")
     assert df.filter(~plain.eqNullSafe(fn.parse_ts_lenient("c"))).count() == 0
 
 
-def test_shapes_do_not_change_a_parse(spark):
-    texts = ["2024-01-02", "2024-1-2", "02-01-2024", "2024-01-02T08:30:00.1", "2024-01-02T08:30:00.123456",
-             "2024-01-02T08:30:00.1234567", "2024-01-02T08:30:00", "02024-01-02", "2024-01-02 ", "0000-01-01",
-             "9999-12-31", "2023-02-29", "2024-02-29"]
+def test_shapes_and_casts_do_not_change_a_parse(spark):
+    days = ["2024-01-02", "2024-1-2", "02-01-2024", "02024-01-02", "2024-01-02 ", "0000-01-01", "9999-12-31",
+            "2023-02-29", "2024-02-29", "01-01-0000", "31-04-2024", "2024-00-10", "1582-10-10", "0001-01-01",
+            "2024-01-2 ", "+024-01-02", "-024-01-02", "2024-01-02\n"]
+    times = ["08:30:00", "24:00:00", "23:59:59", "23:59:60", "08:60:00", "08:30", "8:30:00", "08:30:00.1",
+             "08:30:00.123456", "08:30:00.1234567", "08:30:00.", "08:30:00Z", "08:30:00+01:00"]
+    texts = [*days, *(f"2024-01-02{sep}{t}" for sep in "T " for t in times), "01/02/2024 08:30", "01-02-2024 08:30"]
     df = spark.createDataFrame([(x,) for x in texts], "c string")
-    from crispstar.functions.temporal import DATE_FORMATS
-
-    plain = F.coalesce(*[F.try_to_date("c", f) for f in DATE_FORMATS])
+    plain = F.coalesce(*[F.try_to_date("c", f) for f in temporal.DATE_FORMATS])
     assert df.filter(~plain.eqNullSafe(fn.parse_date_multi("c"))).collect() == []
+    plain = F.coalesce(*[F.try_to_timestamp("c", F.lit(f)) for f in temporal.TIMESTAMP_FORMATS]).cast("timestamp_ntz")
+    assert df.filter(~plain.eqNullSafe(fn.parse_ts_multi("c"))).collect() == []
+    plain = F.try_to_timestamp(F.translate("c", "T", " "), F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    assert df.filter(~plain.eqNullSafe(fn.parse_ts_iso("c"))).collect() == []
 
 
 def test_hours(spark):

@@ -16,7 +16,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
 from crispstar.llm.common import arrow_types, batched, in_arrow, raw, text_of
 from crispstar.llm.suffix_automaton import Passage, Reference, SuffixAutomaton, spans
@@ -24,28 +23,61 @@ from crispstar.session import materialize
 
 WINDOW, ANCHOR = 35, 10
 _MOST = np.uint64((1 << 64) - 1)
-# Words of automata kept by a task, and words whose anchors are found at once.
-_HELD_WORDS, _BLOCK_WORDS = 200_000, 200_000
-_CACHED = 400_000
+# Words of automata kept by a task, and bytes of text hashed at once.
+_HELD_WORDS, _BLOCK_BYTES = 200_000, 1 << 20
+_BASE = 0x9E3779B97F4A7C15
 _PASSAGES = "starts array<int>, texts array<binary>"
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHED:
-            self.clear()
-        self[word] = h = xxh64_intdigest(word)
-        return h
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base of the word hash and of its inverse, modulo 2**64."""
+    if len(_known_powers[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            factors = np.full(max(n, _BLOCK_BYTES + 2), base, np.uint64)
+            factors[0] = 1
+            _known_powers[i] = np.multiply.accumulate(factors)
+    return _known_powers[0][:n], _known_powers[1][:n]
 
 
-_hashes = _Hashes()
+_known_powers = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+
+
+class Words:
+    """The words of some texts: where each begins and ends in all texts put together, and its hash.
+
+    Equal words have equal hashes; different ones that had would only cost time, since
+    hashes choose what automata of the words themselves are asked.
+    """
+
+    def __init__(self, texts: list[bytes]):
+        data = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+        space = _IS_SPACE[data]
+        edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+        if len(data) and not space[0]:
+            edge = np.r_[0, edge]
+        self.begins, self.ends = edge[::2], edge[1::2]
+        offsets = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        # Of text i: words self.first[i] up to before self.first[i + 1]; self.offset[i] is where it begins.
+        self.first, self.offset = np.searchsorted(self.begins, offsets), offsets[:-1]
+        powers, inverse = _powers(len(data) + 1)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers[:-1], out=sums[1:])
+        hashes = (sums[self.ends] - sums[self.begins]) * inverse[self.begins]
+        hashes = (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        self.hashes = hashes ^ (hashes >> np.uint64(32))
+
+    def cut(self, texts: list[bytes], i: int, a: int, b: int) -> bytes:
+        """Words ``a`` up to before ``b`` of text ``i``, with the white space between them."""
+        a, b = self.first[i] + a, min(self.first[i] + b, self.first[i + 1])
+        return texts[i][self.begins[a] - self.offset[i] : self.ends[b - 1] - self.offset[i]]
 
 
 def _rolled(words: np.ndarray, size: int) -> np.ndarray:
     """A 64-bit hash of each ``size`` consecutive word hashes."""
     out = np.zeros(max(0, len(words) - size + 1), np.uint64)
     for i in range(size):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + words[i : i + len(out)]
+        out = out * np.uint64(_BASE) + words[i : i + len(out)]
     out = (out ^ (out >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return out ^ (out >> np.uint64(32))
 
@@ -60,35 +92,40 @@ def _slid(x: np.ndarray, size: int, pick) -> np.ndarray:
     return out
 
 
-def anchors(docs: list[list[bytes]], window: int = WINDOW, anchor: int = ANCHOR) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Positions and hashes of each document's anchors: in every window, its smallest ``anchor``-word hash.
+def anchors(words: Words, window: int = WINDOW, anchor: int = ANCHOR) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Positions and hashes of each text's anchors: in every window, its smallest ``anchor``-word hash.
 
     What is picked depends on the window alone, so equal windows hold equal anchors.
     """
-    lengths = [len(d) for d in docs]
-    words = np.fromiter((_hashes[w] for d in docs for w in d), np.uint64, sum(lengths))
-    ends = np.cumsum(lengths)
-    if len(words) < window:
-        return [(np.zeros(0, np.int64), np.zeros(0, np.uint64)) for _ in docs]
-    grams, reach = _rolled(words, anchor), window - anchor + 1
+    first, ends = words.first[:-1], words.first[1:]
+    if len(words.hashes) < window:
+        return [(np.zeros(0, np.int64), np.zeros(0, np.uint64)) for _ in ends]
+    grams, reach = _rolled(words.hashes, anchor), window - anchor + 1
     for e in ends[:-1]:
-        grams[max(0, e - anchor + 1) : e] = _MOST  # over the end of a document
+        grams[max(0, e - anchor + 1) : e] = _MOST  # over the end of a text
     least = _slid(grams, reach, np.minimum)
-    valid = np.zeros(len(least), bool)
-    for start, end in zip(np.r_[0, ends[:-1]], ends):
-        valid[start : max(start, end - window + 1)] = True
-    padded = np.concatenate([np.zeros(reach - 1, np.uint64), np.where(valid, least, 0), np.zeros(reach - 1, np.uint64)])
+    least[~_within(words, window)] = 0
+    padded = np.concatenate([np.zeros(reach - 1, np.uint64), least, np.zeros(reach - 1, np.uint64)])
     picked = np.flatnonzero(_slid(padded, reach, np.maximum) == grams)
-    cuts = np.searchsorted(picked, np.r_[0, ends])
-    return [(picked[a:b] - s, grams[picked[a:b]]) for a, b, s in zip(cuts, cuts[1:], np.r_[0, ends[:-1]])]
+    cuts = np.searchsorted(picked, words.first)
+    return [(picked[a:b] - s, grams[picked[a:b]]) for a, b, s in zip(cuts, cuts[1:], first)]
+
 
+def _within(words: Words, size: int) -> np.ndarray:
+    """For each ``size`` consecutive words of all texts, whether they are of one text."""
+    out = np.zeros(max(0, len(words.hashes) - size + 1), bool)
+    for a, b in zip(words.first, words.first[1:]):
+        out[a : max(a, b - size + 1)] = True
+    return out
 
-def _blocks(texts: list[bytes]) -> Iterator[tuple[int, list[list[bytes]]]]:
+
+def _blocks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
+    """Consecutive texts of about a block's size, with the number of the first."""
     first, held, n = 0, [], 0
     for i, text in enumerate(texts):
-        held.append(text.split())
-        n += len(held[-1])
-        if n >= _BLOCK_WORDS:
+        held.append(text)
+        n += len(text)
+        if n >= _BLOCK_BYTES:
             yield first, held
             first, held, n = i + 1, [], 0
     if held:
@@ -99,47 +136,35 @@ def _signed(x: np.ndarray) -> list[int]:
     return x.view(np.int64).tolist()
 
 
-def _anchor_rows(batch: pa.RecordBatch) -> Iterable[tuple]:
-    routes = batch.column("route").to_pylist()
-    for first, docs in _blocks(raw(batch, "text")):
-        for route, (_, found) in zip(routes[first:], anchors(docs)):
-            values, counts = np.unique(found, return_counts=True)
-            yield from ((v, route, n) for v, n in zip(_signed(values), counts.tolist()))
-
-
-def _passages(words: list[bytes], starts: Iterable[int], reach: int) -> tuple[list[int], list[bytes]]:
-    """The stretches of words within reach of some positions, as starts and texts."""
-    found = spans([max(0, s) for s in starts], reach)
-    return [a for a, _ in found], [b" ".join(words[a:b]) for a, b in found]
+def _keys(values: list[np.ndarray], of: list[int]) -> pa.RecordBatch:
+    """``v, of, n``: each document's distinct hashes and how often it has them."""
+    counted = [np.unique(x, return_counts=True) for x in values]
+    v, n = (np.concatenate([c[i] for c in counted]) for i in (0, 1))
+    repeated = np.repeat(np.array(of, np.int64), [len(c[0]) for c in counted])
+    return pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)), pa.array(repeated), pa.array(n.astype(np.int32))], names=["v", "of", "n"])
 
 
-def _targets(text: bytes, hits: dict[int, int], window: int, anchor: int) -> dict[int, list[int]]:
-    """For each reference: starts of the first windows that hold one of its anchors."""
-    words = text.split()
-    at, values = anchors([words], window, anchor)[0]
-    out = defaultdict(list)
-    for position, value in zip(at.tolist(), _signed(values)):
-        if value in hits:
-            out[hits[value]].append(position + anchor - window)
-    return {"words": words, "of": out}
+def _anchor_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        routes = batch.column("route").to_pylist()
+        for first, texts in _blocks(raw(batch, "text")):
+            yield _keys([values for _, values in anchors(Words(texts))], routes[first : first + len(texts)])
 
 
-def _asked(window: int, anchor: int, own: bool):
-    """Passages of each candidate for the references it shares anchors with; with ``own``, those it is the reference for."""
-    reach = 2 * window - anchor
-
-    def rows(batch: pa.RecordBatch) -> Iterable[tuple]:
-        columns = (batch.column(c).to_pylist() for c in ("p", "route", "hits"))
-        for p, route, hits, text in zip(*columns, raw(batch, "text")):
-            found = _targets(text, {h["v"]: h["to"] for h in hits or []}, window, anchor)
-            for to, starts in found["of"].items():
-                if own and to != route:
-                    continue
-                a, t = _passages(found["words"], starts, reach)
-                # A stretch that was cut off at the document's start reaches less far.
-                yield to, p, a, t
-
-    return rows
+def _asked(texts: list[bytes], hits: list[dict[int, int]], window: int, anchor: int) -> Iterator[list[dict]]:
+    """Passages of each document for the references that it shares anchors with, itself included."""
+    words = Words(texts)
+    for i, ((at, values), to) in enumerate(zip(anchors(words, window, anchor), hits)):
+        near = defaultdict(list)
+        for position, value in zip(at.tolist(), _signed(values)):
+            if value in to:
+                near[to[value]].append(max(0, position + anchor - window))
+        # From the first word of the first window with the anchor to the last word of the last.
+        found = {ref: spans(starts, 2 * window - anchor) for ref, starts in near.items()}
+        yield [
+            {"to": ref, "starts": [a for a, _ in todo], "texts": [words.cut(texts, i, a, b) for a, b in todo]}
+            for ref, todo in found.items()
+        ]
 
 
 def _read(starts: list[int], texts: list[bytes]) -> list[Passage]:
@@ -171,9 +196,9 @@ def _matched(window: int):
                 p = batch.column("p")[i].as_py()
                 if p == ref_p:
                     continue
-                passages = _read(batch.column("starts")[i].as_py(), batch.column("texts")[i].as_py())
-                found, other = held[ref_p][0].match(passages)
-                yield (*_result(p, found, window)[:3], *_rest(passages, other, window))
+                starts, texts = batch.column("starts")[i].as_py(), batch.column("texts")[i].as_py()
+                found, rest = held[ref_p][0].match(starts, texts)
+                yield (*_result(p, found, window)[:3], *rest)
         yield from map(closed, held)
 
     return rows
@@ -184,22 +209,12 @@ def _result(p: int, starts: list[int], window: int) -> tuple:
     return p, [a for a, _ in found], [b for _, b in found], [], []
 
 
-def _rest(passages: list[Passage], other: list[int], window: int) -> tuple[list[int], list[bytes]]:
-    found, todo = ([], []), spans(other, window)
-    for at, words in passages:
-        for a, b in todo:
-            if at <= a and b <= at + len(words):
-                found[0].append(a)
-                found[1].append(b" ".join(words[a - at : b - at]))
-    return found
-
-
 _RESULT = "p long, starts array<int>, ends array<int>, rest_starts array<int>, rest_texts array<binary>"
 
 
-def _match(asked: DataFrame, references: DataFrame, window: int, label: str) -> DataFrame:
-    """Stream the passages that ask for a reference through its automaton."""
-    refs = references.select("to", F.col("p").alias("ref_p"), F.col("starts").alias("ref_starts"), F.col("texts").alias("ref_texts"))
+def _match(asked: DataFrame, window: int, label: str) -> DataFrame:
+    """Stream the passages that ask for a reference through its automaton; a reference asks for its ``own`` passages."""
+    refs = asked.filter("own").select("to", F.col("p").alias("ref_p"), F.col("starts").alias("ref_starts"), F.col("texts").alias("ref_texts"))
     # Sorted by reference, so that a task builds each automaton once; a hot reference can be split over tasks.
     pairs = asked.join(refs.hint("merge"), "to").select("p", "starts", "texts", "ref_p", "ref_starts", "ref_texts")
     names, types = arrow_types(asked, _RESULT)
@@ -207,12 +222,12 @@ def _match(asked: DataFrame, references: DataFrame, window: int, label: str) ->
     return materialize(pairs.mapInArrow(lambda it: batched(run(it), names, types, 2000), _RESULT), label)
 
 
-def _hits(keys: DataFrame, by: str) -> DataFrame:
-    """For each ``by``: the keys ``v`` found more than once, with the smallest ``by`` that has them."""
-    repeated = keys.groupBy("v").agg(F.sum("n").alias("total"), F.min(by).alias("to")).filter(F.col("total") > 1)
+def _hits(keys: DataFrame) -> DataFrame:
+    """For each document ``of``: its keys ``v`` found more than once, with the smallest ``of`` that has them."""
+    repeated = keys.groupBy("v").agg(F.sum("n").alias("total"), F.min("of").alias("to")).filter(F.col("total") > 1)
     # Written, so that both sides of the join are plain exchanges, which can be split at a hot key.
     found = materialize(repeated.select("v", "to"), "repeated")
-    return keys.join(found, "v").groupBy(by).agg(F.collect_set(F.struct("v", "to")).alias("hits"))
+    return keys.join(found, "v").groupBy("of").agg(F.collect_set(F.struct("v", "to")).alias("hits"))
 
 
 def _merged(pieces: list[dict], window: int) -> list[Passage]:
@@ -237,34 +252,41 @@ def _second_round(first: DataFrame, window: int) -> DataFrame:
 
     rest = materialize(in_arrow(left, merged, f"p long, {_PASSAGES}", 2000), "unmatched")
 
-    def hashed(words: list[bytes]) -> list[int]:
-        return _signed(_rolled(np.fromiter((_hashes[w] for w in words), np.uint64, len(words)), window))
-
-    def keys(batch: pa.RecordBatch) -> Iterable[tuple]:
-        for x in batch.to_pylist():
-            for _, words in _read(x["starts"], x["texts"]):
-                yield from ((v, x["p"], 1) for v in hashed(words))
-
-    hits = _hits(in_arrow(rest, keys, "v long, p long, n int"), "p")
-
-    def asked(own: bool):
-        def rows(batch: pa.RecordBatch) -> Iterable[tuple]:
-            for x in batch.to_pylist():
-                to, out = {h["v"]: h["to"] for h in x["hits"]}, defaultdict(list)
-                for at, words in _read(x["starts"], x["texts"]):
-                    for i, v in enumerate(hashed(words)):
-                        if v in to and (not own or to[v] == x["p"]):
-                            out[to[v]].append((at + i, words[i : i + window]))
-                for ref, found in out.items():
-                    text = {at + i: w for at, ws in found for i, w in enumerate(ws)}
-                    todo = spans([at for at, _ in found], window)
-                    yield ref, x["p"], [a for a, _ in todo], [b" ".join([text[i] for i in range(a, b)]) for a, b in todo]
+    def hashed(batch: pa.RecordBatch) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
+        """Document, first word, text and window hashes of each passage."""
+        every = [(p, a, t) for p, at, ts in zip(*(batch.column(c).to_pylist() for c in ("p", "starts", "texts"))) for a, t in zip(at, ts)]
+        for first, texts in _blocks([t for _, _, t in every]):
+            words = Words(texts)
+            rolled = _rolled(words.hashes, window)
+            for i, (a, b) in enumerate(zip(words.first, words.first[1:])):
+                yield *every[first + i][:2], texts[i], rolled[a : max(a, b - window + 1)]
 
-        return rows
-
-    joined = rest.join(hits, "p")
-    schema = f"to long, p long, {_PASSAGES}"
-    return _match(in_arrow(joined, asked(False), schema, 2000), in_arrow(joined, asked(True), schema, 2000), window, "matched-rest")
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of = defaultdict(list)
+            for p, _, _, values in hashed(batch):
+                of[p].append(values)
+            if of:
+                yield _keys([np.concatenate(x) for x in of.values()], list(of))
+
+    hits = _hits(rest.mapInArrow(keys, "v long, of long, n int"))
+
+    def asked(batch: pa.RecordBatch) -> Iterable[tuple]:
+        to = {p: {h["v"]: h["to"] for h in hs} for p, hs in zip(batch.column("p").to_pylist(), batch.column("hits").to_pylist())}
+        near: dict[tuple[int, int], list[tuple[int, list[bytes]]]] = defaultdict(list)
+        for p, at, text, values in hashed(batch):
+            found = [(i, to[p][v]) for i, v in enumerate(_signed(values)) if v in to[p]]
+            words = text.split() if found else []
+            for i, ref in found:
+                near[ref, p].append((at + i, words[i : i + window]))
+        for (ref, p), windows in near.items():
+            text = {at + i: w for at, ws in windows for i, w in enumerate(ws)}
+            todo = spans([at for at, _ in windows], window)
+            yield ref, p, ref == p, [a for a, _ in todo], [b" ".join([text[i] for i in range(a, b)]) for a, b in todo]
+
+    joined = rest.join(hits, rest["p"] == hits["of"]).drop("of")
+    found = in_arrow(joined, asked, f"to long, p long, own boolean, {_PASSAGES}", 2000)
+    return _match(materialize(found, "asked-rest"), window, "matched-rest")
 
 
 def repeated_spans(
@@ -283,33 +305,37 @@ def repeated_spans(
         F.xxhash64(F.col(id_col), text).bitwiseAND(F.lit((1 << 40) - 1))
     )
     routed = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), route.alias("route"))
-    found = materialize(in_arrow(routed.select("route", "text"), _anchor_rows, "v long, route long, n int"), "anchors")
-    hits = _hits(found, "route").withColumnRenamed("route", "of_route")
+    found = materialize(routed.select("route", "text").mapInArrow(_anchor_keys, "v long, of long, n int"), "anchors")
+    hits = _hits(found)
 
     def rows(batch: pa.RecordBatch) -> Iterable[tuple]:
-        columns = (batch.column(c).to_pylist() for c in ("id", "route", "hits"))
-        for i, route, hits, text in zip(*columns, raw(batch, "text")):
-            words = text.split()
-            yield i, route, len(words), sha256(b" ".join(words)).hexdigest(), hits, text if hits else None
-
-    schema = "id long, route long, n_words long, all_sha256 string, hits array<struct<v: long, to: long>>, text binary"
-    joined = routed.join(hits, routed["route"] == hits["of_route"], "left").select("id", "route", "text", "hits")
+        ids, routes, hits = (batch.column(c).to_pylist() for c in ("id", "route", "hits"))
+        for first, texts in _blocks(raw(batch, "text")):
+            here = range(first, first + len(texts))
+            some = [(t, {h["v"]: h["to"] for h in hits[i]}) for i, t in zip(here, texts) if hits[i]]
+            asked = iter(_asked([t for t, _ in some], [h for _, h in some], window, anchor)) if some else iter(())
+            for i, text in zip(here, texts):
+                words = text.split()
+                whole = sha256(b" ".join(words)).hexdigest()
+                yield ids[i], routes[i], len(words), whole, next(asked) if hits[i] else None, text if hits[i] else None
+
+    schema = (
+        "id long, route long, n_words long, all_sha256 string,"
+        " asked array<struct<to: long, starts: array<int>, texts: array<binary>>>, text binary"
+    )
+    joined = routed.join(hits, routed["route"] == hits["of"], "left").select("id", "route", "text", "hits")
     rows_ = materialize(in_arrow(joined, rows, schema, 2000).withColumn("p", F.monotonically_increasing_id()), "candidates")
-
-    candidates = rows_.filter(F.col("hits").isNotNull()).select("p", "route", "hits", "text")
-    asked = f"to long, p long, {_PASSAGES}"
-    first = _match(
-        in_arrow(candidates, _asked(window, anchor, False), asked, 2000),
-        in_arrow(candidates, _asked(window, anchor, True), asked, 2000),
-        window, "matched",
-    )
+    asked = rows_.select("p", "route", F.explode("asked").alias("ask")).select(
+        "ask.to", "p", (F.col("ask.to") == F.col("route")).alias("own"), "ask.starts", "ask.texts"
+    )
+    first = _match(asked, window, "matched")
     second = _second_round(first, window)
     both = first.select("p", "starts", "ends").unionByName(second.select("p", "starts", "ends"))
     marks = both.filter(F.size("starts") > 0).groupBy("p").agg(F.collect_list(F.struct("starts", "ends")).alias("marks"))
-    plain = rows_.filter(F.col("hits").isNull()).select("id", "n_words", "all_sha256").withColumns(
+    plain = rows_.filter(F.col("asked").isNull()).select("id", "n_words", "all_sha256").withColumns(
         {"text": F.lit(None).cast("binary"), "marks": F.lit(None).cast(marks.schema["marks"].dataType)}
     )
-    marked = rows_.filter(F.col("hits").isNotNull()).join(marks, "p", "left").select("id", "n_words", "all_sha256", "text", "marks")
+    marked = rows_.filter(F.col("asked").isNotNull()).join(marks, "p", "left").select("id", "n_words", "all_sha256", "text", "marks")
     return marked.unionByName(plain).withColumnRenamed("id", id_col)
 
 

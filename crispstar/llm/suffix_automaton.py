@@ -77,6 +77,7 @@ class Reference:
         self.passages, self.size = passages, size
         self.automaton = SuffixAutomaton(words for _, words in passages)
         self.hit: set[int] = set()
+        self.known: dict[bytes, tuple] = {}
 
     @cached_property
     def states(self) -> list[tuple[int, int]]:
@@ -88,17 +89,32 @@ class Reference:
         count = Counter(s for _, s in self.states)
         return [at for at, s in self.states if count[s] > 1 or s in self.hit]
 
-    def match(self, passages: list[Passage]) -> tuple[list[int], list[int]]:
-        """Starts of the windows of another document's passages that occur here, and of those that do not."""
-        found, other = [], []
-        for at, words in passages:
-            here = set()
-            for i, state in self.automaton.windows(words, self.size):
-                here.add(i)
-                self.hit.add(state)
-            found += [at + i for i in sorted(here)]
-            other += [at + i for i in range(len(words) - self.size + 1) if i not in here]
-        return found, other
+    def match(self, starts: list[int], texts: list[bytes]) -> tuple[list[int], tuple[list[int], list[bytes]]]:
+        """Starts of the windows of another document's passages that occur here, and what is left of the passages.
+
+        Left are the stretches of windows that do not occur here. Copies bring the same
+        passages again and again; what was found for one is kept.
+        """
+        found: list[int] = []
+        left: tuple[list[int], list[bytes]] = ([], [])
+        for at, text in zip(starts, texts):
+            if text not in self.known:
+                if len(self.known) >= 256:
+                    self.known.clear()
+                self.known[text] = self._match(text.split())
+            here, rest = self.known[text]
+            found += [at + i for i in here]
+            left[0].extend([at + i for i, _ in rest])
+            left[1].extend([t for _, t in rest])
+        return found, left
+
+    def _match(self, words: list[bytes]) -> tuple[list[int], list[tuple[int, bytes]]]:
+        here = []
+        for i, state in self.automaton.windows(words, self.size):
+            here.append(i)
+            self.hit.add(state)
+        lacking = set(range(len(words) - self.size + 1)).difference(here)
+        return here, [(a, b" ".join(words[a:b])) for a, b in spans(lacking, self.size)]
 
 
 def spans(starts: Iterable[int], size: int) -> list[tuple[int, int]]:

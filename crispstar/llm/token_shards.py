@@ -132,8 +132,8 @@ def stride(length: int = LENGTH) -> int:
 
 
 def _shard_files(spark: SparkSession, out: str) -> DataFrame:
-    schema = "path string, modificationTime timestamp, length long, content binary, shard int"
-    return spark.read.format("binaryFile").schema(schema).load(out)
+    found = spark.read.format("binaryFile").load(out)
+    return found if "shard" in found.columns else found.withColumn("shard", F.lit(0))  # no shard was written
 
 
 def manifest(spark: SparkSession, out: str, length: int = LENGTH) -> DataFrame:

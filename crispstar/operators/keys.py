@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import accumulate
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from crispstar.operators.columns import by, rest_of
@@ -40,11 +38,10 @@ def surrogate_key(df: DataFrame, order_by: list[str], name: str, unique_rows: bo
     )
     table = materialize(stamped, name)
     partition = F.shiftright("_stamp", ROW_BITS)
-    # One number per shuffle partition: a list bounded by the partition count.
-    sizes = table.groupBy(partition.alias("part")).agg(F.count("*").alias("n")).collect()
-    held = {r["part"]: r["n"] for r in sizes}
-    before = [0, *accumulate(held.get(p, 0) for p in range(max(held, default=0)))]
-    starts = F.array(*[F.lit(n).cast("bigint") for n in before])
+    # One row per shuffle partition, numbered by a running sum and broadcast.
+    sizes = table.groupBy(partition.alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
     place = F.col("_stamp").bitwiseAND(F.lit((1 << ROW_BITS) - 1)) + 1
-    key = F.element_at(starts, partition.cast("int") + 1) + place
-    return table.select(key.alias(name), *df.columns)
+    numbered = table.join(F.broadcast(starts), partition == F.col("_part"))
+    return numbered.select((F.col("_before") + place).alias(name), *df.columns)

@@ -27,13 +27,17 @@ def date_order_violations(df: DataFrame, earlier: str, later: str) -> DataFrame:
 
 
 def future_dates(df: DataFrame, cols: Sequence[str], as_of: Column | None = None, parser=None) -> DataFrame:
-    """Rows where any of the columns lies after ``as_of`` (today when not given).
+    """Rows where any of the columns lies after ``as_of``.
 
+    Without it, dates are compared with today and timestamps with the present
+    moment, as the wall clock of the session shows it where they carry no zone.
     ``parser`` turns text columns into timestamps first.
     """
-    limit = F.current_date() if as_of is None else as_of
     read = parser or F.col
-    return df.filter(reduce(or_, [read(c) > limit for c in cols]))
+    now = {"date": F.current_date(), "timestamp_ntz": F.localtimestamp()}
+    kinds = [f.dataType.simpleString() for f in df.select(*[read(c) for c in cols]).schema]
+    limits = [now.get(k, F.current_timestamp()) if as_of is None else as_of for k in kinds]
+    return df.filter(reduce(or_, [read(c) > limit for c, limit in zip(cols, limits)]))
 
 
 def inverted_intervals(

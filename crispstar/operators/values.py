@@ -184,20 +184,28 @@ def length_lookup(df: DataFrame, col: str, n: int) -> DataFrame:
 
 
 def preview(df: DataFrame, n: int, order_by: tuple[str, ...] = ()) -> DataFrame:
-    """The first ``n`` rows; the named columns, then all others, fix which ones."""
-    order = [by(c) for c in (*order_by, *rest_of(df, *order_by))]
-    return df.orderBy(*order).limit(n)
+    """Some ``n`` rows; with named columns the first by these and then all others.
+
+    Without an order the first rows at hand are taken, and the table is not sorted.
+    """
+    if not order_by:
+        return df.limit(n)
+    return df.orderBy(*[by(c) for c in (*order_by, *rest_of(df, *order_by))]).limit(n)
 
 
-def sample_rows(df: DataFrame, percentage: float, n: int, key: str, seed: int = 0) -> DataFrame:
-    """A percentage of the rows, drawn by a hash of the key, then at most ``n`` of them.
+def sample_rows(df: DataFrame, percentage: float, n: int | None, key: str, seed: int = 0) -> DataFrame:
+    """A percentage of the rows, drawn by a hash of the key; of these at most ``n``, or all.
 
     A hash draw gives the same sample for any partitioning. The first eight hex
-    digits of the hash are uniform, so the share below the threshold is the
-    wanted percentage.
+    digits of the hash are uniform, so the share of numbers below the threshold is
+    the wanted percentage, and all are at 100. Rows without a key are drawn by all of
+    their columns.
     """
-    threshold = f"{min(int(percentage / 100 * 16**8), 16**8 - 1):08x}"
-    draw = F.md5(F.concat_ws("#", F.col(key), F.lit(str(seed))).cast("binary"))
-    drawn = df.withColumn("_draw", draw).filter(F.substring("_draw", 1, 8) < threshold)
-    order = [F.col("_draw"), *[by(c) for c in df.columns]]
-    return drawn.orderBy(*order).limit(n).drop("_draw")
+    whole = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    text = F.coalesce(F.col(key).cast("string"), whole)
+    draw = F.md5(F.concat_ws("#", text, F.lit(str(seed))).cast("binary"))
+    drawn = df.withColumn("_draw", draw)
+    drawn = drawn.filter(F.conv(F.substring("_draw", 1, 8), 16, 10).cast("long") < int(percentage / 100 * 16**8))
+    if n is not None:
+        drawn = drawn.orderBy(F.col("_draw"), *[by(c) for c in df.columns]).limit(n)
+    return drawn.drop("_draw")

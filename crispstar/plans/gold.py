@@ -57,16 +57,24 @@ def _calendar(days: DataFrame) -> DataFrame:
     )
 
 
-def dim_date_between(span: DataFrame) -> DataFrame:
-    """One row per day of a one-row span (``start_date``, ``end_date``)."""
-    days = F.sequence(F.col("start_date"), F.col("end_date"), F.expr("interval 1 day"))
-    return _calendar(span.select(F.explode(days).alias("full_date")))
+def dim_date_between(span: DataFrame, longest: int | None = None) -> DataFrame:
+    """One row per day of a one-row span (``start_date``, ``end_date``), which is read at once.
+
+    A span of more than ``longest`` days, such as a dirty year makes, is an error.
+    """
+    start, end = span.select("start_date", "end_date").first()
+    if start is None or end is None:
+        start, end = dt.date(1970, 1, 1), dt.date(1969, 12, 31)
+    days = (end - start).days + 1
+    if longest is not None and days > longest:
+        raise ValueError(f"{days} days from {start} to {end}, more than {longest}")
+    return dim_date(span.sparkSession, start, end)
 
 
 def dim_date(spark: SparkSession, start: dt.date = FIRST_DAY, end: dt.date = LAST_DAY) -> DataFrame:
-    """One row per day from start to end."""
-    bounds = spark.range(1).select(F.lit(start).alias("start_date"), F.lit(end).alias("end_date"))
-    return dim_date_between(bounds)
+    """One row per day from start to end: a range, of which Catalyst knows the length."""
+    days = spark.range(max(0, (end - start).days + 1))
+    return _calendar(days.select(F.date_add(F.lit(start), F.col("id").cast("int")).alias("full_date")))
 
 
 def with_key(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,9 +22,6 @@ RUNTIME_SETTINGS = {
     ),
 }
 
-_local_scratch: dict[str, str] = {}
-
-
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session the caller already owns."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -36,19 +32,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the one ``spark.checkpoint.dir`` names.
 
-    A local session without the setting gets a temporary folder of its own. On
-    a cluster a machine-local folder would be invisible to the other executors,
-    so there the setting is required.
+    There is no other: a folder of one machine would be invisible to the other
+    executors, so the setting is required under every master.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="crispstar-")
-    return _local_scratch[app]
+    raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -3,17 +3,48 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
-def csv_scan(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Read a headered CSV. Without a schema Spark infers the types in an extra pass."""
-    reader = spark.read.option("header", True)
+def csv_scan(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | None = None,
+    bad_records: str | None = None,
+    multi_line: bool = False,
+) -> DataFrame:
+    """Read a headered CSV. Without a schema Spark infers the types in an extra pass.
+
+    With a schema its columns are taken by their clean name, wherever they stand in
+    the header; other columns of the header are left out, and a declared column that
+    is not there is an error. Every file must have the header of the first. A line with too
+    few or too many fields, or with a value not of its type, goes whole into the
+    column ``bad_records``; without that argument it ends the job.
+
+    Quoted line breaks need ``multi_line``, which reads each file in one task.
+    """
+    reader = spark.read.options(header=True, multiLine=multi_line)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+    header = reader.csv(path).columns
+    declared = {f.name: f.dataType for f in schema}
+    names = clean_names(header)
+    missing = [c for c in declared if c not in names]
+    if missing:
+        raise ValueError(f"columns not in the header of {path}: {missing}")
+    fields = [StructField(raw, declared.get(c, StringType())) for raw, c in zip(header, names)]
+    if bad_records:
+        fields.append(StructField(bad_records, StringType()))
+        reader = reader.option("columnNameOfCorruptRecord", bad_records)
+    else:
+        reader = reader.option("mode", "FAILFAST")
+    # Lines are held against the whole header, also where few columns are asked for.
+    scanned = reader.options(enforceSchema=False, columnPruning=False).schema(StructType(fields)).csv(path)
+    kept = [*names, *([bad_records] if bad_records else [])]
+    return scanned.toDF(*kept).select(*declared, *kept[len(names) :])
 
 
 def clean_name(name: str) -> str:
@@ -21,13 +52,18 @@ def clean_name(name: str) -> str:
     return "_".join(re.findall("[A-Za-z0-9]+", name))
 
 
-def sanitize_columns(df: DataFrame) -> DataFrame:
-    """Rename every column to its clean name; two names that become one are an error."""
-    names = [clean_name(c) for c in df.columns]
-    clashes = sorted({n for n in names if names.count(n) > 1 or not n})
+def clean_names(names: list[str]) -> list[str]:
+    """The clean names in order; two that become one, or one that vanishes, are an error."""
+    cleaned = [clean_name(c) for c in names]
+    clashes = sorted({n for n in cleaned if cleaned.count(n) > 1 or not n})
     if clashes:
         raise ValueError(f"column names collide or vanish after cleaning: {clashes}")
-    return df.toDF(*names)
+    return cleaned
+
+
+def sanitize_columns(df: DataFrame) -> DataFrame:
+    """Rename every column to its clean name; two names that become one are an error."""
+    return df.toDF(*clean_names(df.columns))
 
 
 def bronze_load(
@@ -37,17 +73,25 @@ def bronze_load(
     database: str = "default",
     location: str | None = None,
     schemas: dict[str, StructType] | None = None,
+    bad_records: str | None = "corrupt_record",
+    multi_line: bool = False,
 ) -> list[str]:
     """Load each named file below ``base`` into a table, replacing it; returns the table names.
 
-    With a ``location`` the tables are kept there instead of in the warehouse folder.
+    A table is replaced only once its new rows are written, so a failed load leaves
+    the old one. With a ``location`` each load is a folder of its own below it, and
+    older loads stay until they are removed; otherwise tables are in the warehouse
+    folder. Tables with a schema keep malformed lines in ``bad_records``.
     """
     loaded = []
     for name, file_name in files.items():
-        raw = csv_scan(spark, f"{base.rstrip('/')}/{file_name}", (schemas or {}).get(name))
+        raw = csv_scan(spark, f"{base.rstrip('/')}/{file_name}", (schemas or {}).get(name), bad_records, multi_line)
+        target, staged = f"{database}.{name}", f"{database}.{name}__loading"
         writer = sanitize_columns(raw).write.mode("overwrite")
         if location:
-            writer = writer.option("path", f"{location.rstrip('/')}/{name}")
-        writer.saveAsTable(f"{database}.{name}")
-        loaded.append(f"{database}.{name}")
+            writer = writer.option("path", f"{location.rstrip('/')}/{name}/load-{uuid.uuid4().hex[:12]}")
+        writer.saveAsTable(staged)
+        spark.sql(f"DROP TABLE IF EXISTS {target}")
+        spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
+        loaded.append(target)
     return loaded

@@ -321,7 +321,11 @@ ORDER_RULES = {
 CHECKS: dict[str, str] = {
     # sources, sinks, table maintenance
     # A CSV cannot tell an empty string from a missing one: both are read as NULL.
-    "csv_scan": over("bronze_orders", "SELECT * REPLACE (nullif(quantity, '') AS quantity) FROM bronze_orders"),
+    "csv_scan": over("bronze_orders", """SELECT * REPLACE (nullif(quantity, '') AS quantity),
+        CAST(NULL AS VARCHAR) AS corrupt_record FROM bronze_orders"""),
+    "csv_scan_by_name": over(
+        "bronze_products", "SELECT *, product_id LIKE '%7' AS corrupt_record FROM bronze_products"
+    ),
     "csv_scan_inferred": over(
         "bronze_tickets",
         """SELECT * REPLACE (CAST(ticket_created AS TIMESTAMP) AS ticket_created,
@@ -331,8 +335,9 @@ CHECKS: dict[str, str] = {
     "bronze_load": over(
         "bronze_tickets",
         "bronze_clickstream",
-        """SELECT ticket_id AS id, customer_id, issue_type AS kind, support_agent AS detail FROM bronze_tickets
-        UNION ALL SELECT event_id, customer_id, event_type, page_url FROM bronze_clickstream""",
+        """SELECT *, CAST(NULL AS VARCHAR) AS corrupt_record, 'default.loaded_tickets' AS loaded FROM bronze_tickets
+        UNION ALL BY NAME
+        SELECT *, CAST(NULL AS VARCHAR) AS corrupt_record, 'default.loaded_clickstream' AS loaded FROM bronze_clickstream""",
     ),
     "table_scan_preview": over(
         "silver_customers",

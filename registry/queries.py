@@ -40,7 +40,20 @@ def _landed(t: Layers, name: str) -> str:
 
 
 def _csv_scan(t: Layers) -> DataFrame:
-    return landing.csv_scan(t.spark, _landed(t, "orders"), schemas.ORDERS)
+    return landing.csv_scan(t.spark, _landed(t, "orders"), schemas.ORDERS, bad_records="corrupt_record")
+
+
+def _csv_scan_by_name(t: Layers) -> DataFrame:
+    """Products whose columns stand in another order, beside one that is not declared; some lines have a field too many."""
+    path = scratch_path(t.spark, "landing-products")
+    quoted = [F.concat(F.lit('"'), F.col(c), F.lit('"')) for c in ("category", "price", "product_name", "product_id")]
+    line = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in quoted], F.lit("batch-1"))
+    surplus = F.when(F.col("product_id").endswith("7"), F.lit(",surplus")).otherwise(F.lit(""))
+    lines = t.bronze("products").select(F.concat(line, surplus).alias("category,price,product_name,product_id,batch"))
+    # A quote that no text holds: the lines are written as they are.
+    lines.write.options(header=True, sep="\x01", quote="\x02", escape="\x03").csv(path)
+    scanned = landing.csv_scan(t.spark, path, schemas.PRODUCTS, bad_records="corrupt_record")
+    return scanned.withColumn("corrupt_record", F.col("corrupt_record").isNotNull())
 
 
 def _csv_scan_inferred(t: Layers) -> DataFrame:
@@ -64,12 +77,8 @@ def _bronze_load(t: Layers) -> DataFrame:
         t.bronze(name.removeprefix("loaded_")).write.options(**keep).csv(f"{base}/{file_name}")
     typed = {"loaded_tickets": schemas.TICKETS, "loaded_clickstream": schemas.CLICKSTREAM}
     names = landing.bronze_load(t.spark, files, base, location=f"{base}/tables", schemas=typed)
-    tickets, events = (t.spark.table(n) for n in names)
-    tickets = tickets.select("ticket_id", "customer_id", "issue_type", "support_agent")
-    events = events.select("event_id", "customer_id", "event_type", "page_url")
-    return tickets.toDF("id", "customer_id", "kind", "detail").unionByName(
-        events.toDF("id", "customer_id", "kind", "detail")
-    )
+    tickets, events = (t.spark.table(n).withColumn("loaded", F.lit(n)) for n in names)
+    return tickets.unionByName(events, allowMissingColumns=True)
 
 
 def _publish_table(t: Layers) -> DataFrame:
@@ -134,6 +143,7 @@ def _order_rules() -> dict:
 QUERIES: dict[str, Query] = {
     # sources, sinks, table maintenance
     "csv_scan": _csv_scan,
+    "csv_scan_by_name": _csv_scan_by_name,
     "csv_scan_inferred": _csv_scan_inferred,
     "sanitize_columns": _sanitize_columns,
     "bronze_load": _bronze_load,

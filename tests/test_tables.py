@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from crispstar import session
 from crispstar.sources import landing, tables
-from crispstar.sources.schemas import ORDERS
+from crispstar.sources.schemas import ORDERS, PRODUCTS
 from tests.conftest import rows
 
 
@@ -42,6 +42,53 @@ def test_explicit_schema_needs_no_inference_job(spark, tmp_path):
     assert landing.csv_scan(spark, str(tmp_path / "o.csv"), ORDERS).schema == ORDERS
 
 
+def test_columns_are_taken_by_name_and_bad_lines_kept(spark, tmp_path):
+    path = tmp_path / "p.csv"
+    path.write_text('category,product id,product_name,price,extra\ntoys,P1,"Car\nred",5,x\ntoys,P2,Bus,6,x,y\ntoys,P3\n')
+    schema = PRODUCTS
+    got = landing.csv_scan(spark, str(path), schema, "bad", multi_line=True)
+    assert got.columns == [*schema.names, "bad"]
+    by_id = {r.product_id: r for r in got.collect()}
+    assert tuple(by_id["P1"]) == ("P1", "Car\nred", "toys", "5", None)
+    assert by_id["P2"].product_name == "Bus" and "toys,P2,Bus,6,x,y" in by_id["P2"].bad
+    assert by_id["P3"].category == "toys" and by_id["P3"].price is None and by_id["P3"].bad is not None
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landing.csv_scan(spark, str(path), schema, multi_line=True).collect()
+    path.write_text("category,product_id,product_name,price,extra\ntoys,P2,Bus,6,x,y\ntoys,P4,Van,7,x\n")
+    one_line = landing.csv_scan(spark, str(path), schema, "bad").select("product_id", "bad")
+    assert rows(one_line) == [("P2", "toys,P2,Bus,6,x,y"), ("P4", None)]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landing.csv_scan(spark, str(path), schema).select("product_id").collect()
+    path.write_text("category,product_id,price\n")
+    with pytest.raises(ValueError, match="product_name"):
+        landing.csv_scan(spark, str(path), schema)
+
+
+def test_every_file_has_the_same_header(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("category,product_id,product_name,price\ntoys,P1,Car,5\n")
+    (folder / "b.csv").write_text("product_id,category,product_name,price\nP2,toys,Bus,6\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        landing.csv_scan(spark, str(folder), PRODUCTS, "bad").collect()
+
+
+def test_a_failed_load_leaves_the_old_table(spark, tmp_path):
+    (tmp_path / "y.csv").write_text("product_id,product_name,category,price\nP1,Car,toys,5\n")
+    load = lambda **more: landing.bronze_load(
+        spark, {"loaded_y": "y.csv"}, str(tmp_path), location=str(tmp_path / "t"), schemas={"loaded_y": PRODUCTS}, **more
+    )
+    load()
+    (tmp_path / "y.csv").write_text("product_id,product_name,category,price\nP1,Car,toys,5,6\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        load(bad_records=None)
+    assert rows(spark.table("loaded_y")) == [("P1", "Car", "toys", "5", None)]
+    load()
+    assert spark.table("loaded_y").first()["corrupt_record"] == "P1,Car,toys,5,6"
+    spark.sql("DROP TABLE loaded_y")
+    spark.sql("DROP TABLE IF EXISTS loaded_y__loading")
+
+
 def test_modes(spark, numbers, tmp_path):
     path = str(tmp_path / "t")
     with pytest.raises(ValueError, match="no such table"):

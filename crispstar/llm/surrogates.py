@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from functools import reduce
 from hashlib import blake2b
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -43,8 +45,8 @@ PATTERNS = {
     "person": rf"(?<!\w)(?:{TITLES})\.?[  ]+{_NAME}(?:[  ]{_NAME})?",
 }
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items()))
-# Every pattern needs one of these.
-NEEDED = rf"[0-9@]|[a-fA-F]{{32}}|{TITLES}"
+# Every pattern needs one of these or a form of address; those are sought one by one, as bytes.
+NEEDED = r"[0-9@]|[a-fA-F]{32}"
 _LIMIT = 12
 
 
@@ -216,7 +218,8 @@ def replace_personal(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
     empty one; empty texts, NULL and repeated ids pass through. Repeated rows are replaced alike.
     """
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    may = F.coalesce(F.col("text").rlike(NEEDED), F.lit(False))
+    addressed = [F.col("text").contains(a) for names in ADDRESSES.values() for a in names]
+    may = F.coalesce(reduce(or_, addressed, F.col("text").rlike(NEEDED)), F.lit(False))
 
     def found(batch: pa.RecordBatch) -> Iterable[tuple]:
         for i, text in zip(batch.column("id").to_pylist(), raw(batch, "text")):

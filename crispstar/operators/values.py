@@ -161,9 +161,12 @@ def sorted_scan(df: DataFrame, col: str) -> DataFrame:
 
 
 def random_group(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
-    """One group picked at random, with its row count; the same seed picks the same group."""
+    """One group picked at random, with its row count; the same seed picks the same group.
+
+    NULL is a group of its own and is drawn like an empty text.
+    """
     counted = df.groupBy(key).agg(F.count("*").alias("orders_count"))
-    draw = F.md5(F.concat_ws("#", F.col(key), F.lit(str(seed))).cast("binary"))
+    draw = F.md5(F.concat_ws("#", F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(str(seed))).cast("binary"))
     return counted.orderBy(draw, by(key)).limit(1)
 
 

@@ -108,11 +108,15 @@ def fact_orders(
     dates: DataFrame,
     version: int = 2,
     unknown: bool = False,
+    unique_products: bool = False,
 ) -> DataFrame:
     """Orders with customer, product and date keys. Version 1 has no status.
 
-    A product id that occurs twice in the dimension doubles its orders.
+    A product id that occurs twice in the dimension doubles its orders, unless
+    ``unique_products`` looks up the smallest key of each id: then every order is one row.
     """
+    if unique_products:
+        products = products.groupBy("product_id").agg(F.min("product_key").alias("product_key"))
     keyed = with_key(orders, customers, F.col("customer_id"), "customer_key", "customer_key", "customer_id", unknown)
     keyed = with_key(keyed, products, F.col("product_id"), "product_key", "product_key", "product_id", unknown)
     keyed = with_date_key(keyed, dates, F.col("order_date").cast("date"), unknown=unknown)

@@ -16,6 +16,7 @@ SOURCES = {
     "bronze_products": ("part",),
     "bronze_tickets": ("events",),
     "bronze_clickstream": ("events",),
+    "bronze_mixed_tickets": ("events",),
 }
 
 BRONZE_SQL = {
@@ -39,11 +40,11 @@ SELECT CASE WHEN c_custkey % 97 = 96 THEN NULL ELSE concat('CUST-', lpad(CAST(c_
 FROM (SELECT c_custkey, c_nationkey, c_mktsegment, {copies} AS copy_no FROM {customer}) c
 """,
     # Every fiftieth order repeats the id of the order before it. The product
-    # follows the customer, so products grow with the data.
+    # follows the customer, so products grow with the data; some orders have none.
     "bronze_orders": """
 SELECT concat('ORD-', lpad(CAST(CASE WHEN o_orderkey % 50 = 7 THEN o_orderkey - 1 ELSE o_orderkey END AS STRING), 12, '0')) AS order_id,
   CASE WHEN o_orderkey % 101 = 0 THEN NULL ELSE concat('CUST-', lpad(CAST(o_custkey AS STRING), 10, '0')) END AS customer_id,
-  concat('PROD-', lpad(CAST(o_custkey + o_orderkey % 5 AS STRING), 10, '0')) AS product_id,
+  CASE WHEN o_orderkey % 89 = 3 THEN NULL ELSE concat('PROD-', lpad(CAST(o_custkey + o_orderkey % 5 AS STRING), 10, '0')) END AS product_id,
   CASE o_orderkey % 8 WHEN 0 THEN 'five' WHEN 1 THEN '2.0' WHEN 2 THEN '' WHEN 3 THEN '-3' WHEN 4 THEN ' Five ' WHEN 5 THEN 'n/a' ELSE CAST(o_orderkey % 9 + 1 AS STRING) END AS quantity,
   CASE o_orderkey % 10 WHEN 0 THEN concat('-', CAST(o_orderkey % 13 AS STRING), '.25') WHEN 1 THEN concat('1,', lpad(CAST(o_orderkey % 1000 AS STRING), 3, '0'), '.50')
     WHEN 2 THEN 'N/A' WHEN 3 THEN '-50' ELSE concat(CAST(o_orderkey % 13 AS STRING), '.25') END AS order_amount,
@@ -81,6 +82,16 @@ SELECT concat('EVT-', CAST(event_id AS STRING)) AS event_id, concat('SES-', CAST
   CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN replace(t, ' ', 'T') WHEN 2 THEN concat(t, '.250') ELSE t END AS timestamp,
   concat('run-', CAST(event_id % 3 AS STRING)) AS ingest_run_id
 FROM (SELECT event_id, user_id, event_type, substr(CAST(ts AS STRING), 1, 19) AS t FROM {events}) e
+""",
+    # Tickets of three hours and some minutes, in three layouts and in none.
+    "bronze_mixed_tickets": """
+SELECT concat('TKT-', CAST(event_id AS STRING)) AS ticket_id,
+  CASE event_id % 4 WHEN 0 THEN concat(c, ':00') WHEN 1 THEN concat(substr(c, 6, 2), '/', substr(c, 9, 2), '/', substr(c, 1, 4), substr(c, 11, 6))
+    WHEN 2 THEN concat(substr(c, 9, 2), '-', substr(c, 6, 2), '-', substr(c, 1, 4), substr(c, 11, 6)) ELSE 'soon' END AS ticket_created,
+  CASE WHEN event_id % 19 = 0 THEN 'n/a' WHEN event_id % 3 = 0 THEN concat(r, ':00') WHEN event_id % 3 = 1 THEN concat(substr(r, 6, 2), '/', substr(r, 9, 2), '/', substr(r, 1, 4), substr(r, 11, 6))
+    ELSE concat(substr(r, 9, 2), '-', substr(r, 6, 2), '-', substr(r, 1, 4), substr(r, 11, 6)) END AS ticket_resolved,
+  CASE event_id % 7 WHEN 0 THEN CAST(3.37 AS DOUBLE) WHEN 1 THEN NULL ELSE CAST(3.25 AS DOUBLE) END AS resolution_time_hours
+FROM (SELECT event_id, substr(CAST(ts AS STRING), 1, 16) AS c, substr(CAST(ts + INTERVAL '195' MINUTE AS STRING), 1, 16) AS r FROM {events}) e
 """,
 }
 

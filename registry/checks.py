@@ -222,7 +222,7 @@ SHARED: dict[str, tuple[tuple[str, ...], str]] = {
             FROM silver_clickstream
             LEFT JOIN (SELECT customer_id, customer_key FROM dim_customer) USING (customer_id)""",
     ),
-    # Orders as the measures see them: one row per matching product.
+    # Orders with one row per matching product.
     "sales": (
         ("silver_orders", "silver_products", "silver_customers"),
         f"""SELECT o.*, p.category, c.customer_id AS known_customer, {in_calendar("o.order_date")} AS day
@@ -230,9 +230,21 @@ SHARED: dict[str, tuple[tuple[str, ...], str]] = {
             LEFT JOIN (SELECT customer_id FROM silver_customers WHERE customer_id IS NOT NULL) c
             ON o.customer_id = c.customer_id""",
     ),
+    # Orders as the measures see them: each once, whatever products there are.
+    "sold": (
+        ("silver_orders", "silver_customers"),
+        f"""SELECT o.*, c.customer_id AS known_customer, {in_calendar("o.order_date")} AS day FROM silver_orders o
+            LEFT JOIN (SELECT customer_id FROM silver_customers WHERE customer_id IS NOT NULL) c
+            ON o.customer_id = c.customer_id""",
+    ),
+    "first_products": (
+        ("dim_product",),
+        """SELECT product_id, product_key, category FROM dim_product WHERE product_id IS NOT NULL
+            QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY product_key) = 1""",
+    ),
     "spend": (
-        ("sales",),
-        """SELECT known_customer, CAST(coalesce(sum(order_amount), 0) AS DECIMAL(20,2)) AS spend FROM sales
+        ("sold",),
+        """SELECT known_customer, CAST(coalesce(sum(order_amount), 0) AS DECIMAL(20,2)) AS spend FROM sold
             WHERE status = 'success' AND known_customer IS NOT NULL GROUP BY ALL""",
     ),
     "span": (
@@ -293,14 +305,14 @@ TICKET_COLS = (
 PHONE_LOG = [(0, "create"), (1, "update"), (2, "update"), (3, "restore")]
 
 
-def reconcile(parse) -> str:
+def reconcile(parse, tickets: str = "bronze_tickets") -> str:
     return over(
-        "bronze_tickets",
+        tickets,
         f"""SELECT count(*) AS total_checked, count(*) FILTER (WHERE calc = stated) AS matched,
         count(*) FILTER (WHERE calc <> stated) AS mismatched FROM (
           SELECT {hours("s", "e")} AS calc, round(resolution_time_hours, 2) AS stated FROM (
             SELECT {parse("ticket_created")} AS s, {parse("ticket_resolved")} AS e, resolution_time_hours
-            FROM bronze_tickets) WHERE s <= e)""",
+            FROM {tickets}) WHERE s <= e)""",
     )
 
 
@@ -392,6 +404,12 @@ CHECKS: dict[str, str] = {
         count(ticket_resolved) FILTER (WHERE ticket_created IS NULL) AS first_missing,
         count(ticket_created) FILTER (WHERE ticket_resolved IS NULL) AS second_missing FROM silver_tickets""",
     ),
+    "null_combination_parsed": over(
+        "bronze_tickets",
+        f"""SELECT count(*) FILTER (WHERE coalesce(s, e) IS NULL) AS both_missing,
+        count(e) FILTER (WHERE s IS NULL) AS first_missing, count(s) FILTER (WHERE e IS NULL) AS second_missing
+        FROM (SELECT {iso_ts("ticket_created")} AS s, {iso_ts("ticket_resolved")} AS e FROM bronze_tickets)""",
+    ),
     "null_rows": over("bronze_clickstream", "SELECT * FROM bronze_clickstream WHERE timestamp IS NULL"),
     "null_share_by_group": over(
         "bronze_clickstream",
@@ -549,7 +567,7 @@ CHECKS: dict[str, str] = {
     "random_group": over(
         "bronze_orders",
         """SELECT product_id, count(*) AS orders_count FROM bronze_orders GROUP BY product_id
-        ORDER BY md5(product_id || '#3'), product_id LIMIT 1""",
+        ORDER BY md5(coalesce(product_id, '') || '#3'), product_id NULLS FIRST LIMIT 1""",
     ),
     "expected_amount": over(
         "bronze_orders",
@@ -565,7 +583,7 @@ CHECKS: dict[str, str] = {
     ),
     "duration_reconcile": reconcile(iso_ts),
     "duration_reconcile_lenient": reconcile(any_ts),
-    "duration_reconcile_multi": reconcile(multi_ts),
+    "duration_reconcile_multi": reconcile(multi_ts, "bronze_mixed_tickets"),
     "duration_mismatches": over(
         "bronze_tickets",
         f"""SELECT *, {hours(any_ts("ticket_created"), any_ts("ticket_resolved"))} AS calculated_hours
@@ -612,8 +630,8 @@ CHECKS: dict[str, str] = {
         "bronze_orders", f"SELECT order_id, order_date, {any_date('order_date')} AS cleaned FROM bronze_orders"
     ),
     "parse_ts_multi": over(
-        "bronze_tickets",
-        f"SELECT ticket_id, ticket_resolved, {multi_ts('ticket_resolved')} AS cleaned FROM bronze_tickets",
+        "bronze_mixed_tickets",
+        f"SELECT ticket_id, ticket_resolved, {multi_ts('ticket_resolved')} AS cleaned FROM bronze_mixed_tickets",
     ),
     "parse_ts_iso": over(
         "bronze_clickstream",
@@ -705,6 +723,15 @@ CHECKS: dict[str, str] = {
         """SELECT * REPLACE (ifnull(customer_key, -1) AS customer_key, ifnull(product_key, -1) AS product_key,
         ifnull(date_key, -1) AS date_key) FROM fact_orders""",
     ),
+    "fact_orders_unique_products": over(
+        "silver_orders",
+        "dim_customer",
+        "first_products",
+        f"""SELECT order_id, customer_key, product_key, {day_key("order_date")} AS date_key, quantity, order_amount,
+        payment_method, status FROM silver_orders
+        LEFT JOIN (SELECT customer_id, customer_key FROM dim_customer) USING (customer_id)
+        LEFT JOIN first_products USING (product_id)""",
+    ),
     "fact_support_tickets": table("fact_support_tickets"),
     "fact_support_tickets_v1": over(
         "fact_support_tickets",
@@ -733,22 +760,24 @@ CHECKS: dict[str, str] = {
     ),
     # measures
     "kpi_overview": over(
-        "sales",
+        "sold",
         """SELECT CAST(sum(order_amount) FILTER (WHERE status = 'success') AS DECIMAL(20,2)) AS revenue,
         count(*) AS orders, (SELECT count(*) FROM silver_customers) AS customers,
         CAST(sum(quantity) FILTER (WHERE status = 'success') AS BIGINT) AS products_sold,
-        (SELECT count(*) FROM events) AS website_events FROM sales""",
+        (SELECT count(*) FROM events) AS website_events FROM sold""",
     ),
     "revenue_trend": over(
-        "sales",
+        "sold",
         per_month(
-            "CAST(sum(order_amount) AS DECIMAL(20,2)) AS revenue", "sales", "day", "status = 'success'"
+            "CAST(sum(order_amount) AS DECIMAL(20,2)) AS revenue", "sold", "day", "status = 'success'"
         ),
     ),
-    "order_trend": over("sales", per_month("count(*) AS orders", "sales", "day")),
+    "order_trend": over("sold", per_month("count(*) AS orders", "sold", "day")),
     "revenue_by_category": over(
-        "sales",
-        """SELECT category, CAST(sum(order_amount) AS DECIMAL(20,2)) AS revenue FROM sales
+        "sold",
+        "first_products",
+        """SELECT category, CAST(sum(order_amount) AS DECIMAL(20,2)) AS revenue FROM sold
+        LEFT JOIN first_products USING (product_id)
         WHERE status = 'success' GROUP BY category""",
     ),
     "customer_growth": over(
@@ -765,9 +794,9 @@ CHECKS: dict[str, str] = {
         FROM (SELECT sum(spend) AS r, count(*) AS n FROM spend)""",
     ),
     "avg_orders_per_customer": over(
-        "sales",
+        "sold",
         f"""SELECT n AS orders, c AS customers, {pct("n", "c", 0)} / 100 AS avg_orders FROM
-        (SELECT count(*) AS n, count(DISTINCT known_customer) AS c FROM sales WHERE known_customer IS NOT NULL)""",
+        (SELECT count(*) AS n, count(DISTINCT known_customer) AS c FROM sold WHERE known_customer IS NOT NULL)""",
     ),
     "revenue_distribution": over(
         "spend",

@@ -165,6 +165,7 @@ QUERIES: dict[str, Query] = {
     "null_combination": lambda t: comp.null_combination(
         t.silver("tickets"), "ticket_created", "ticket_resolved"
     ),
+    "null_combination_parsed": lambda t: comp.null_combination(_parsed_tickets(t), "ticket_created", "ticket_resolved"),
     "null_rows": lambda t: comp.null_rows(t.bronze("clickstream"), "timestamp"),
     "null_share_by_group": lambda t: comp.null_share_by_group(t.bronze("clickstream"), "page_url", "event_type"),
     "duplicate_keys": lambda t: uniqueness.duplicate_keys(t.bronze("customers"), "customer_id"),
@@ -230,7 +231,7 @@ QUERIES: dict[str, Query] = {
     "duration_reconcile_lenient": lambda t: rules.duration_reconcile(
         t.bronze("tickets"), parser=fn.parse_ts_lenient
     ),
-    "duration_reconcile_multi": lambda t: rules.duration_reconcile(t.bronze("tickets"), parser=fn.parse_ts_multi),
+    "duration_reconcile_multi": lambda t: rules.duration_reconcile(t.bronze("mixed_tickets"), parser=fn.parse_ts_multi),
     "duration_mismatches": lambda t: rules.duration_mismatches(t.bronze("tickets")),
     "fractional_values": lambda t: values.fractional_values(t.bronze("tickets"), "resolution_time_hours"),
     "length_histogram": lambda t: values.length_histogram(
@@ -263,7 +264,7 @@ QUERIES: dict[str, Query] = {
         "orders", "order_id", "order_date", cleaned=lambda: fn.parse_date_multi("order_date")
     ),
     "parse_ts_multi": _projection(
-        "tickets", "ticket_id", "ticket_resolved", cleaned=lambda: fn.parse_ts_multi("ticket_resolved")
+        "mixed_tickets", "ticket_id", "ticket_resolved", cleaned=lambda: fn.parse_ts_multi("ticket_resolved")
     ),
     "parse_ts_iso": _projection(
         "clickstream", "event_id", "timestamp", cleaned=lambda: fn.parse_ts_iso("timestamp")
@@ -319,6 +320,7 @@ QUERIES: dict[str, Query] = {
     "fact_orders": lambda t: t.fact_orders(),
     "fact_orders_v1": lambda t: t.fact_orders(version=1),
     "fact_orders_unknown_member": lambda t: t.fact_orders(unknown=True),
+    "fact_orders_unique_products": lambda t: t.orders_once(),
     "fact_support_tickets": lambda t: t.fact_support_tickets(),
     "fact_support_tickets_v1": lambda t: t.fact_support_tickets(version=1),
     "fact_clickstream": lambda t: t.fact_clickstream(),
@@ -326,16 +328,16 @@ QUERIES: dict[str, Query] = {
     "revenue_stats": lambda t: gold.revenue_stats(t.fact_orders()),
     "top_orders": lambda t: gold.top_orders(t.fact_orders()),
     # measures
-    "kpi_overview": lambda t: kpi.kpi_overview(t.fact_orders(), t.dim_customer, t.fact_clickstream()),
-    "revenue_trend": lambda t: kpi.revenue_trend(t.fact_orders(), t.dim_date),
-    "order_trend": lambda t: kpi.order_trend(t.fact_orders(), t.dim_date),
+    "kpi_overview": lambda t: kpi.kpi_overview(t.orders_once(), t.dim_customer, t.fact_clickstream()),
+    "revenue_trend": lambda t: kpi.revenue_trend(t.orders_once(), t.dim_date),
+    "order_trend": lambda t: kpi.order_trend(t.orders_once(), t.dim_date),
     "revenue_by_category": lambda t: _revenue_by_category(t),
     "customer_growth": lambda t: kpi.customer_growth(t.dim_customer),
-    "avg_customer_spend": lambda t: kpi.avg_customer_spend(t.fact_orders()),
-    "avg_orders_per_customer": lambda t: kpi.avg_orders_per_customer(t.fact_orders()),
-    "revenue_distribution": lambda t: kpi.revenue_distribution(t.fact_orders()),
-    "customer_segmentation": lambda t: kpi.customer_segmentation(t.fact_orders()),
-    "customer_quartile_segments": lambda t: kpi.customer_quartile_segments(t.fact_orders()),
+    "avg_customer_spend": lambda t: kpi.avg_customer_spend(t.orders_once()),
+    "avg_orders_per_customer": lambda t: kpi.avg_orders_per_customer(t.orders_once()),
+    "revenue_distribution": lambda t: kpi.revenue_distribution(t.orders_once()),
+    "customer_segmentation": lambda t: kpi.customer_segmentation(t.orders_once()),
+    "customer_quartile_segments": lambda t: kpi.customer_quartile_segments(t.orders_once()),
     "website_activity": lambda t: kpi.website_activity(t.fact_clickstream()),
     "product_categories": lambda t: kpi.product_categories(t.dim_product),
     "resolution_rate": lambda t: kpi.resolution_rate(t.fact_support_tickets()),
@@ -375,17 +377,19 @@ def _synonym_join(t: Layers) -> DataFrame:
     return short.select("customer_id", "email", "source")
 
 
+def _parsed_tickets(t: Layers) -> DataFrame:
+    """Tickets with both ends parsed and none filled in."""
+    return t.bronze("tickets").withColumns({c: fn.parse_ts_iso(c) for c in ("ticket_created", "ticket_resolved")})
+
+
 def _impute(t: Layers) -> DataFrame:
-    ends = {c: fn.parse_ts_iso(c) for c in ("ticket_created", "ticket_resolved")}
-    parsed = t.bronze("tickets").withColumns(ends)
-    filled = impute_interval(parsed, "ticket_created", "ticket_resolved", "resolution_time_hours")
+    filled = impute_interval(_parsed_tickets(t), "ticket_created", "ticket_resolved", "resolution_time_hours")
     return filled.select("ticket_id", "resolution_time_hours", "ticket_created", "ticket_resolved")
 
 
 def _revenue_by_category(t: Layers) -> DataFrame:
     products = t.dim_product
-    orders = gold.fact_orders(t.silver("orders"), t.dim_customer, products, t.dim_date)
-    return kpi.revenue_by_category(orders, products)
+    return kpi.revenue_by_category(t.orders_once(), products)
 
 
 def _support_agents(t: Layers) -> DataFrame:

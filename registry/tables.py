@@ -46,11 +46,15 @@ class Layers:
     def dim_date(self) -> DataFrame:
         return gold.dim_date(self.spark)
 
-    def fact_orders(self, version: int = 2, unknown: bool = False) -> DataFrame:
+    def fact_orders(self, version: int = 2, unknown: bool = False, unique_products: bool = False) -> DataFrame:
         return gold.fact_orders(
-            self.silver("orders"), self.dim_customer, self.dim_product, self.dim_date, version, unknown
+            self.silver("orders"), self.dim_customer, self.dim_product, self.dim_date, version, unknown, unique_products
         )
 
+    def orders_once(self) -> DataFrame:
+        """The fact as the measures see it: one row per order."""
+        return self.fact_orders(unique_products=True)
+
     def fact_support_tickets(self, version: int = 2) -> DataFrame:
         return gold.fact_support_tickets(
             self.silver("tickets"), self.dim_customer, self.dim_support_agent, self.dim_date, version

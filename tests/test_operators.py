@@ -156,6 +156,9 @@ def test_duplicate_products_fan_out_unless_deduplicated(star):
     assert [(r[0], r[1], r[2], r[3]) for r in rows(fact)] == [
         ("o1", 2, 1, 20240304), ("o2", 2, 2, None), ("o3", None, None, None), ("o4", None, 1, 20240304)
     ]
+    once = gold.fact_orders(orders, customers, gold.dim_product(products), dates, unique_products=True)
+    assert sorted(r[0] for r in rows(once)) == ["o1", "o2", "o3", "o4"]
+    assert kpi.kpi_overview(once, customers, orders).first()["orders"] == orders.count()
     unknown = gold.fact_orders(orders, customers, single, dates, unknown=True)
     assert rows(unknown)[2][1:4] == (-1, -1, -1)
     assert "status" not in gold.fact_orders(orders, customers, single, dates, version=1).columns

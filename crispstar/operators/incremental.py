@@ -2,22 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crispstar.operators.uniqueness import dedup_by_key
 from crispstar.session import materialize
 
 
-def incremental_load(current: DataFrame, batch: DataFrame, key: str, order_by: list | None = None) -> DataFrame:
+def incremental_load(
+    current: DataFrame, batch: DataFrame, key: str, order_by: list | None = None, newest_by: str | None = None
+) -> DataFrame:
     """Upsert: keys of the batch replace their rows, other rows stay; NULL is a key of its own.
 
-    Within the batch the first row by ``order_by`` wins. The winners are written
+    Within the batch the first row by ``order_by`` wins. With ``newest_by`` the row
+    with the largest value there wins over both sides, so that a late batch does not
+    undo a newer row; NULL is oldest, and of equals the batch wins. The winners are written
     once: while they are small the current table is only filtered by a broadcast
     of their keys and never shuffled, beyond that it is a sort-merge join that
     AQE may split.
     """
-    winners = materialize(dedup_by_key(batch, key, order_by), "batch")
+    newest = [F.col(newest_by).desc_nulls_last()] if newest_by else []
+    winners = materialize(dedup_by_key(batch, key, [*newest, *(order_by or [])]), "batch")
+    same = F.col(key).eqNullSafe(F.col("_key"))
     replaced = winners.select(F.col(key).alias("_key"))
-    kept = current.join(replaced, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    kept = current.join(replaced, same, "left_anti")
+    if newest_by:
+        before = current.join(replaced, same, "left_semi").withColumn("_from_batch", F.lit(0))
+        rivals = before.unionByName(winners.withColumn("_from_batch", F.lit(1)))
+        winners = dedup_by_key(rivals, key, [*newest, F.col("_from_batch").desc()]).drop("_from_batch")
     return kept.unionByName(winners)
+
+
+def load_partitions(
+    spark: SparkSession, path: str, batch: DataFrame, key: str, partition_by: str, newest_by: str | None = None
+) -> None:
+    """``incremental_load`` into a Parquet table, rewriting only the partitions that the batch has rows for.
+
+    A key belongs to one partition. The new partitions are written to the scratch
+    folder first, since they are read from what they replace. What passes through the
+    driver is the names of the partitions touched.
+    """
+    values = [row[0] for row in batch.select(partition_by).distinct().collect()]
+    named = F.col(partition_by).isin([v for v in values if v is not None])
+    touched = named | F.col(partition_by).isNull() if None in values else named
+    # The type that the batch has, not the one that folder names suggest.
+    current = spark.read.schema(batch.schema).parquet(path).select(*batch.columns).filter(touched)
+    merged = materialize(incremental_load(current, batch, key, newest_by=newest_by), "partitions")
+    writer = merged.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by)
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)

@@ -124,6 +124,16 @@ def fact_orders(
     return keyed.select("order_id", "customer_key", "product_key", "date_key", *measures)
 
 
+def with_month(fact: DataFrame, date_key: str = "date_key") -> DataFrame:
+    """The fact with year and month of a date key, such as 202403, to be partitioned by. No key, no month."""
+    return fact.withColumn("date_month", F.floor(F.col(date_key) / 100).cast("int"))
+
+
+def in_years(fact: DataFrame, first: int, last: int) -> DataFrame:
+    """Rows of these years; a table partitioned by ``date_month`` reads no other."""
+    return fact.filter(F.col("date_month").between(first * 100 + 1, last * 100 + 12))
+
+
 def fact_support_tickets(
     tickets: DataFrame,
     customers: DataFrame,

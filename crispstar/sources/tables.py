@@ -42,10 +42,18 @@ def read_table(spark: SparkSession, table: str) -> DataFrame:
     return read_version(spark, table, version)
 
 
-def publish(df: DataFrame, table: str, mode: str = "create_or_replace", operation: str | None = None) -> DataFrame:
+def publish(
+    df: DataFrame,
+    table: str,
+    mode: str = "create_or_replace",
+    operation: str | None = None,
+    partition_by: str | None = None,
+) -> DataFrame:
     """Write ``df`` as the next version and return a scan of it.
 
-    ``create`` refuses an existing table, ``replace`` a missing one.
+    ``create`` refuses an existing table, ``replace`` a missing one. With
+    ``partition_by`` each value of that column is a folder; rows are dealt by it, and
+    a large partition is split over several tasks. Keep one partitioning per table.
     """
     spark = df.sparkSession
     last = current_version(spark, table)
@@ -57,10 +65,14 @@ def publish(df: DataFrame, table: str, mode: str = "create_or_replace", operatio
         raise ValueError(f"no such table: {table}")
     version = 0 if last is None else last + 1
     # A version folder without a log row is left over from a failed publish.
-    df.write.mode("overwrite").parquet(f"{table}/data/version={version}")
+    folder = f"{table}/data/version={version}"
+    if partition_by:
+        df.hint("rebalance", F.col(partition_by)).write.mode("overwrite").partitionBy(partition_by).parquet(folder)
+    else:
+        df.write.mode("overwrite").parquet(folder)
     entry = [F.lit(version).alias("version"), F.lit(operation or mode).alias("operation")]
     spark.range(1, numPartitions=1).select(*entry).write.mode("append").parquet(f"{table}/log")
-    return spark.read.schema(df.schema).parquet(f"{table}/data/version={version}")
+    return spark.read.schema(df.schema).parquet(folder).select(*df.columns)
 
 
 def update_column(df: DataFrame, col: str, expr: Column, where: Column | None = None) -> DataFrame:

@@ -1,5 +1,5 @@
 """Clickstream as a stream."""
 
-from crispstar.streaming.clickstream import event_counts, silver_stream, unique_events
+from crispstar.streaming.clickstream import event_counts, silver_stream, undated_events, unique_events, write_counts
 
-__all__ = ["event_counts", "silver_stream", "unique_events"]
+__all__ = ["event_counts", "silver_stream", "undated_events", "unique_events", "write_counts"]

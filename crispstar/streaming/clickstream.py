@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from crispstar.plans.silver import silver_clickstream
 from crispstar.sources.schemas import CLICKSTREAM
 
+# A window needs a time; that of undated events is not used.
+NEVER = "1970-01-01 00:00:00"
+
 
 def silver_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
     """New Parquet files of a folder, cleaned by the same projection as the batch table."""
@@ -21,14 +25,34 @@ def unique_events(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     """One row per event id among events no further apart than the delay.
 
     The state holds the ids of the last ``delay`` only. A watermark needs a
-    timestamp with a zone, and an event without one cannot be placed in time.
+    timestamp with a zone, and an event without one cannot be placed in time:
+    ``undated_events`` has those.
     """
     timed = events.filter(F.col("timestamp").isNotNull()).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
     return timed.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
+def undated_events(events: DataFrame) -> DataFrame:
+    """The events that ``unique_events`` leaves out, each as it came; write them beside it."""
+    return events.filter(F.col("timestamp").isNull())
+
+
 def event_counts(events: DataFrame, window: str = "1 day") -> DataFrame:
     """Events per tumbling window and type. Rows later than the watermark are dropped."""
     slot = F.window("timestamp", window)
     counted = events.groupBy(slot, "event_type").agg(F.count("*").alias("events"))
     return counted.select(F.col("window.start").alias("window_start"), "event_type", "events")
+
+
+def write_counts(events: DataFrame, folder: str, state: str, window: str = "1 day") -> StreamingQuery:
+    """Keep the counts of all windows in a folder, replaced after each micro-batch; late rows are counted.
+
+    The state holds a row per window and type, undated events under NULL.
+    """
+    dated = events.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    slot = F.window(F.coalesce("timestamp", F.lit(NEVER).cast("timestamp")), window)["start"]
+    start = F.when(F.col("timestamp").isNotNull(), slot).alias("window_start")
+    counted = dated.select(start, "event_type").groupBy("window_start", "event_type").agg(F.count("*").alias("events"))
+    writer = counted.writeStream.outputMode("complete").option("checkpointLocation", state)
+    writer = writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(folder))
+    return writer.trigger(availableNow=True).start()

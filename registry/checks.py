@@ -864,6 +864,15 @@ CHECKS: dict[str, str] = {
           {titled("regexp_replace(first_name, '[0-9]', '', 'g')")} AS first_name) FROM bronze_customers
           WHERE source = 'MACHINERY' ORDER BY customer_id, {first(*CUSTOMER_REST)})""",
     ),
+    "load_partitions": over(
+        "bronze_orders",
+        f"""SELECT if(again, 'again', status) AS status, if(again, 4, revision) AS revision,
+        * EXCLUDE (status, revision, again)
+        FROM (SELECT *, revision <= 4 AND payment_method <> 'iou' AS again FROM (
+          SELECT DISTINCT ON (order_id) *, CAST(length(order_amount) AS INTEGER) AS revision
+          FROM bronze_orders ORDER BY order_id, {first(*ORDER_COLS.split()[1:])}))
+        WHERE payment_method IN ('UPI', 'cash', 'iou')""",
+    ),
     "quality_rules": over(
         "bronze_orders",
         " UNION ALL ".join(
@@ -878,6 +887,11 @@ CHECKS: dict[str, str] = {
         + ", ".join(f"if(coalesce({rule}, false), NULL, '{name}')" for name, rule in ORDER_RULES.items())
         + ") AS failed_rules FROM bronze_orders) WHERE failed_rules <> ''",
     ),
+    "stream_window_counts": over(
+        "silver_clickstream",
+        """SELECT date_trunc('day', timestamp) AS window_start, event_type, count(*) AS events
+        FROM silver_clickstream GROUP BY ALL""",
+    ),
     "stream_clickstream": over(
         "silver_clickstream",
         """SELECT date_trunc('day', timestamp) AS window_start, event_type, count(DISTINCT event_id) AS events

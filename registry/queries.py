@@ -13,13 +13,13 @@ from crispstar.functions import text
 from crispstar.functions.synonyms import STATUS
 from crispstar.operators import completeness as comp
 from crispstar.operators import rules, uniqueness, values
-from crispstar.operators.incremental import incremental_load
+from crispstar.operators.incremental import incremental_load, load_partitions
 from crispstar.operators.intervals import impute_interval
 from crispstar.operators.keys import surrogate_key
 from crispstar.plans import gold, kpi, silver
 from crispstar.session import materialize, scratch_path
 from crispstar.sources import landing, schemas, tables
-from crispstar.streaming import event_counts, silver_stream, unique_events
+from crispstar.streaming import event_counts, silver_stream, unique_events, write_counts
 from registry.tables import Layers
 
 Query = Callable[[Layers], DataFrame]
@@ -131,6 +131,26 @@ def _incremental_load(t: Layers) -> DataFrame:
     return incremental_load(raw, batch, "customer_id")
 
 
+def _stream_window_counts(t: Layers) -> DataFrame:
+    """Files in any order, a few at a time: counts per day and type, late and undated events included."""
+    source, sink, state = (scratch_path(t.spark, f"windows-{x}") for x in ("in", "out", "state"))
+    t.bronze("clickstream").repartition(6, "event_id").write.parquet(source)
+    write_counts(silver_stream(t.spark, source, files_per_trigger=2), sink, state).awaitTermination()
+    counted = t.spark.read.parquet(sink)
+    return counted.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def _load_partitions(t: Layers) -> DataFrame:
+    """Orders kept by payment method: a batch that is newer for some orders and older for others."""
+    path = scratch_path(t.spark, "orders-by-method")
+    raw = uniqueness.dedup_by_key(t.bronze("orders"), "order_id").withColumn("revision", F.length("order_amount"))
+    raw.write.partitionBy("payment_method").parquet(path)
+    again = raw.filter("payment_method IN ('UPI', 'cash')").withColumn("status", F.lit("again"))
+    again = again.withColumn("revision", F.lit(4))
+    load_partitions(t.spark, path, again, "order_id", "payment_method", newest_by="revision")
+    return t.spark.read.schema(raw.schema).parquet(path).filter("payment_method IN ('UPI', 'cash', 'iou')")
+
+
 def _order_rules() -> dict:
     return {
         "customer_known": F.col("customer_id").isNotNull(),
@@ -349,9 +369,11 @@ QUERIES: dict[str, Query] = {
     "issue_types": lambda t: kpi.issue_types(t.fact_support_tickets()),
     # announced extensions
     "incremental_load": _incremental_load,
+    "load_partitions": _load_partitions,
     "quality_rules": lambda t: rules.quality_rules(t.bronze("orders"), _order_rules()),
     "quality_quarantine": lambda t: _quarantine(t),
     "stream_clickstream": _stream_clickstream,
+    "stream_window_counts": _stream_window_counts,
 }
 
 

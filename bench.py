@@ -40,6 +40,13 @@ HEADLINE = [
     "kpi_overview",
     "revenue_by_category",
     "customer_segmentation",
+    "customer_quartile_segments",
+    "valid_ticket_filter",
+    "incremental_load",
+    "stream_clickstream",
+    "csv_scan_by_name",
+    "load_partitions",
+    "stream_window_counts",
 ]
 
 

@@ -38,10 +38,10 @@ def surrogate_key(df: DataFrame, order_by: list[str], name: str, unique_rows: bo
     )
     table = materialize(stamped, name)
     partition = F.shiftright("_stamp", ROW_BITS)
-    # One row per shuffle partition, numbered by a running sum and broadcast.
+    # One row per shuffle partition, numbered by a running sum, written once and broadcast.
     sizes = table.groupBy(partition.alias("_part")).agg(F.count("*").alias("_n"))
     before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    starts = materialize(sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_before")), "starts")
     place = F.col("_stamp").bitwiseAND(F.lit((1 << ROW_BITS) - 1)) + 1
     numbered = table.join(F.broadcast(starts), partition == F.col("_part"))
     return numbered.select((F.col("_before") + place).alias(name), *df.columns)

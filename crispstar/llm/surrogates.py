@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterable
 from functools import reduce
 from hashlib import blake2b
@@ -15,11 +16,23 @@ from pyspark.sql import functions as F
 from crispstar.llm.common import in_arrow, raw, text_of
 from crispstar.session import materialize
 
-# Forms of address that tell a gender, given names by script and gender, and syllables of family names.
+# Forms of address that tell a gender or none ("u"; one that ends in a full stop needs it), given names by
+# script and gender, and syllables of family names.
 ADDRESSES = {
-    "m": ["Mr", "Mister", "Sir", "Herr", "Señor", "Sr", "Don", "Monsieur", "господин", "г-н"],
-    "f": ["Mrs", "Ms", "Miss", "Madam", "Frau", "Señora", "Sra", "Doña", "Madame", "Mme", "госпожа", "г-жа"],
-}
+    "m": [
+        "Mr", "MR", "Mister", "Sir", "Lord", "Herr", "Herrn", "HERR", "Señor", "señor", "Sr", "Don", "don", "Monsieur", "monsieur", "M.", "Signor", "signor",
+        "господин", "Господин", "господина", "господину", "г-н", "Г-н", "Κύριος", "κύριος", "κύριο",
+    ],
+    "f": [
+        "Mrs", "MRS", "Ms", "MS", "Miss", "Madam", "Lady", "Dame", "Frau", "FRAU", "Fräulein", "Señora", "señora", "Sra", "Señorita", "señorita", "Srta", "Doña", "doña",
+        "Madame", "madame", "Mme", "Mademoiselle", "mademoiselle", "Mlle", "Signora", "signora", "Dra", "Doctora", "doctora",
+        "госпожа", "Госпожа", "госпожи", "госпоже", "г-жа", "Г-жа", "Κυρία", "κυρία",
+    ],
+    "u": [
+        "Dr", "DR", "dr.", "Doctor", "Doktor", "doctor", "docteur", "Docteur", "Prof", "PROF", "prof.", "Professor", "professor", "Mx", "Rev", "Reverend", "Captain", "Capt",
+        "доктор", "Доктор", "д-р", "Д-р", "профессор", "Профессор", "проф.", "κ.",
+    ],
+}
 GIVEN = {
     ("latin", "m"): ["adam", "bruno", "carl", "david", "emil", "felix", "georg", "hugo", "ivan", "jonas", "karim", "leon", "marco", "noah", "oscar", "paul"],
     ("latin", "f"): ["anna", "berta", "clara", "diana", "elena", "flora", "greta", "hanna", "irene", "julia", "karla", "laura", "maria", "nora", "olga", "paula"],
@@ -33,8 +46,18 @@ SYLLABLES = {
     "cyrillic": ["ба", "вол", "гор", "дем", "кор", "лан", "мир", "нов", "пет", "род", "сав", "тих", "федь", "хар", "шум", "яр"],
     "greek": ["βα", "γαλ", "δημ", "θαν", "καρ", "λαμ", "μαρ", "νικ", "παπ", "ραλ", "σταθ", "τσακ"],
 }
-TITLES = "|".join(sorted((re.escape(a) for names in ADDRESSES.values() for a in names), key=len, reverse=True))
-_NAME = r"[^\W\d_][^\W\d_'’-]*"
+_GENDER = {a: g for g, names in ADDRESSES.items() for a in names}
+TITLES = "|".join(sorted((re.escape(a) + r"\.?" * (a[-1] != ".") for a in _GENDER), key=len, reverse=True))
+_CAPITAL = "[" + "".join(c for c in map(chr, range(128, 1 << 16)) if c.isupper() or c.istitle()) + "A-Z]"
+_LETTER = r"[^\W\d_][̀-ͯ]*"
+# A part between hyphens holds letters and apostrophes, but not the 's of a possessive.
+_PART = rf"{_CAPITAL}[̀-ͯ]*(?:{_LETTER})*(?:(?!['’]s(?!\w))['’](?:{_LETTER})+)*"
+_NAME = rf"(?:{_CAPITAL}\.(?:[-‐‑]{_CAPITAL}\.)*|{_PART}(?:[-‐‑](?:{_LETTER})+(?:(?!['’]s(?!\w))['’](?:{_LETTER})+)*)*)"
+_BETWEEN = r"(?:(?:von|vom|van|der|den|de|la|las|los|del|della|di|da|dos|das|do|du|le|al|bin|ibn|zu|zum|zur|ter|ten|af|av|y)[\u00a0 ]+){0,3}"
+_NAMED = rf"{_BETWEEN}(?:[dl]['’](?={_CAPITAL}))?{_NAME}"
+_SEGMENT = re.compile(rf"[dl]['’](?={_CAPITAL})|(?P<segment>(?:{_LETTER})+(?:(?!['’]s(?!\w))['’](?:{_LETTER})+)*)")
+_BARE = re.compile(rf"(?<!\w){_PART}(?!\w)")
+_SUFFIXES = {"Jr", "Sr", "II", "III", "IV"}
 PATTERNS = {
     "email": r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+",
     "secret": r"(?<!\w)[0-9a-fA-F]{32,128}(?!\w)",
@@ -42,12 +65,16 @@ PATTERNS = {
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "card": r"(?<![\w+])(?:\d{4}[ -]?){3}\d{4}(?!\w)",
     "phone": r"(?<![\w+])\+?\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]\d{3,4}[ .-]?\d{2,4}(?!\w)",
-    "person": rf"(?<!\w)(?:{TITLES})\.?[  ]+{_NAME}(?:[  ]{_NAME})?",
+    "person": rf"(?<!\w)(?=[{''.join(sorted({a[0] for a in _GENDER}))}])(?:(?:{TITLES})(?:[  ]+|(?<=\.)))+(?P<names>{_NAMED}(?:(?:[  ]+|(?<=\.))(?!(?:{TITLES})(?!\w)){_NAMED})*)",
 }
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items()))
 # Every pattern needs one of these or a form of address; those are sought one by one, as bytes.
 NEEDED = r"[0-9@]|[a-fA-F]{32}"
-_LIMIT = 12
+# Short titles in small letters are sought with what follows them: they stand within many words.
+STEMS = sorted({b for a in _GENDER for b in ([a + c for c in " \u00a0."] if a.islower() and len(a) < 5 and a[-1] != "." else [a])})
+STEMS = [a for a in STEMS if not any(b != a and b in a for b in STEMS)]
+_LIMIT, _GIVEN_LIMIT = 12, 3
+Piece = tuple[int, int, str, str]
 
 
 def _script(word: str) -> str:
@@ -55,32 +82,101 @@ def _script(word: str) -> str:
     return "cyrillic" if "Ѐ" <= c <= "ӿ" else "greek" if "Ͱ" <= c <= "Ͽ" else "latin"
 
 
-def _person(found: str) -> tuple[str, str, list[str]]:
-    """Form of address as written, gender, and the capitalised names after it."""
-    title, *names = re.split(r"[  ]+", found)
-    bare = title.rstrip(".")
-    gender = next(g for g, names_ in ADDRESSES.items() if bare in names_)
-    return title, gender, [n for i, n in enumerate(names) if n[0].isupper() and (i == 0 or names[i - 1][0].isupper())]
+def _bare_value(name: str) -> str:
+    return unicodedata.normalize("NFC", name).replace("’", "'").lower()
 
 
-def entities(text: str) -> Iterable[tuple[int, int, str, str]]:
-    """Begin, end, type and value of what is found: values are equal where the form alone differs."""
+def _name_parts(m: re.Match) -> list[list[Piece]]:
+    """The capitalised parts of a name, each as its segments between hyphens: ``begin, end, "name" or "initial", value``."""
+    text, stop, parts = m.string, m.end("names"), []
+    found = [x for x in _SEGMENT.finditer(text, m.start("names"), stop) if x["segment"]]
+    for x in found:
+        hyphen = text[x.start() - 1] in "-‐‑"
+        if not hyphen and (x.group()[0].islower() or parts and x.group() in _SUFFIXES):
+            continue
+        letter = len(_bare_value(x.group())) == 1 and (x is not found[-1] or text[x.end() : x.end() + 1] == "." and x.end() < stop)
+        piece = (x.start(), x.end(), "initial" if letter else "name", _bare_value(x.group()))
+        if hyphen and parts:
+            parts[-1].append(piece)
+        else:
+            parts.append([piece])
+    return parts
+
+
+def _persons(matches: list[re.Match]) -> tuple[list[tuple[str, str, list[Piece]]], dict[str, str]]:
+    """Type, value and pieces of each person of one text, and the kind of every name in it.
+
+    The last part of several is the family name, the others are given names. A part that
+    stands alone after its title is what it is in a longer name of the text, else a family name.
+    """
+    read, kinds, gendered = [], {}, {}
+    for m in matches:
+        titles = re.findall(TITLES, m.string[m.start() : m.start("names")])
+        gender = next((g for t in titles if (g := _GENDER.get(t) or _GENDER[t.rstrip(".")]) != "u"), "u")
+        read.append((gender, _name_parts(m)))
+    for gender, parts in read:
+        for n, part in enumerate(parts):
+            for _, _, kind, value in part:
+                if kind == "name" and len(parts) > 1:
+                    role = "family" if n == len(parts) - 1 else f"given-{gender}"
+                    kinds.setdefault(value, role)
+                    if role in ("given-m", "given-f"):
+                        gendered.setdefault(value, role)
+    out = []
+    for gender, parts in read:
+        pieces = []
+        for n, part in enumerate(parts):
+            for begin, end, kind, value in part:
+                if kind == "name" and len(parts) == 1:
+                    kind = kinds.setdefault(value, "family")
+                elif kind == "name":
+                    kind = "family" if n == len(parts) - 1 else f"given-{gender}"
+                pieces.append((begin, end, gendered.get(value, kind) if kind == "given-u" else kind, value))
+        out.append((f"person-{gender}", " ".join("-".join(p[3] for p in part) for part in parts), pieces))
+    return out, {v: gendered.get(v, k) if k == "given-u" else k for v, k in kinds.items()}
+
+
+def found_in(text: str) -> list[tuple[int, int, str, str, list[Piece]]]:
+    """Begin, end, type and value of what is found, and the pieces that get a surrogate each.
+
+    A person is a name after a form of address, or a name of such a person that stands
+    alone anywhere in the same text.
+    """
+    out, persons = [], []
     for m in _ANY.finditer(text):
-        kind, found, begin = m.lastgroup, m.group(), m.start()
+        kind, found, begin, end = m.lastgroup, m.group(), m.start(), m.end()
         if kind == "person":
-            title, gender, names = _person(found)
-            if not names:
-                continue
-            begin += found.index(names[0], len(title))
-            found = re.match(r"[  ]".join(map(re.escape, names)), text[begin:]).group()
-            yield begin, begin + len(found), f"person-{gender}", " ".join(names).lower()
-        elif kind == "email":
+            persons.append(m)
+            continue
+        if kind == "email":
             found = found.rstrip(".-")
-            yield begin, begin + len(found), kind, found.lower()
+            value, end = found.lower(), begin + len(found)
         elif kind in ("card", "phone"):
-            yield begin, m.end(), kind, re.sub(r"\D", "", found)
+            value = re.sub(r"\D", "", found)
         else:
-            yield begin, m.end(), kind, found.replace(" ", "").lower()
+            value = found.replace(" ", "").lower()
+        out.append((begin, end, kind, value, [(begin, end, kind, value)]))
+    if not persons:
+        return out
+    named, kinds = _persons(persons)
+    out += [(p[0][0], p[-1][1], kind, value, p) for kind, value, p in named if p]
+    out.sort()
+    bare, at = [], 0
+    spans = sorted([(m.start(), m.end()) for m in persons] + [(a, b) for a, b, kind, *_ in out if not kind.startswith("person")])
+    for begin, end in [*spans, (len(text), len(text))]:
+        for x in _BARE.finditer(text, at, begin):
+            value = _bare_value(x.group())
+            if len(value) > 1 and (kind := kinds.get(value)):
+                gender = "u" if kind == "family" else kind[-1]
+                bare.append((x.start(), x.end(), f"person-{gender}", value, [(x.start(), x.end(), kind, value)]))
+        at = end
+    return sorted(out + bare)
+
+
+def entities(text: str) -> Iterable[tuple[int, int, str, str]]:
+    """Begin, end, type and value of what is found: values are equal where the form alone differs."""
+    for begin, end, kind, value, _ in found_in(text):
+        yield begin, end, kind, value
 
 
 class _Draw:
@@ -117,18 +213,14 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes) -> str:
     """The surrogate that a value gets at an attempt. After some, it may be longer than the value."""
     draw = _Draw(key, kind, value, attempt)
     longer = max(0, attempt - _LIMIT)
-    if kind.startswith("person"):
-        names = value.split(" ")
-        out = []
-        for i, name in enumerate(names):
-            script = _script(name)
-            if i == 0 and len(names) > 1:
-                pool = GIVEN[script, kind[-1]]
-                out.append(pool[draw.below(len(pool))])
-            else:
-                pool = SYLLABLES[script]
-                out.append("".join(pool[draw.below(len(pool))] for _ in range(3 + longer)))
-        return " ".join(out)
+    if kind == "family":
+        pool = SYLLABLES[_script(value)]
+        return "".join(pool[draw.below(len(pool))] for _ in range(3 + longer))
+    if kind.startswith("given"):
+        script = _script(value)
+        pool = [n for g in "mf" if kind[-1] in (g, "u") for n in GIVEN[script, g]]
+        more = SYLLABLES[script]
+        return pool[draw.below(len(pool))] + "".join(more[draw.below(len(more))] for _ in range(attempt - _GIVEN_LIMIT))
     if kind == "email":
         local, _, host = value.partition("@")
         *labels, top = host.split(".")
@@ -153,12 +245,20 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes) -> str:
     return digits
 
 
+def initial(letter: str, key: bytes) -> str:
+    """The initial that replaces one: another letter of its script, no two the same among the plain letters."""
+    first, n = {"cyrillic": ("а", 32), "greek": ("α", 17), "latin": ("a", 26)}[_script(letter)]
+    draw, letters = _Draw(key, "initial", first), [chr(ord(first) + i) for i in range(n)]
+    for i in range(n - 1, 0, -1):  # one cycle through all letters, so that none stays
+        j = draw.below(i)
+        letters[i], letters[j] = letters[j], letters[i]
+    return letters[(ord(letter[0]) - ord(first)) % n]
+
+
 def dressed(found: str, kind: str, value: str) -> str:
     """A surrogate in the form of what it replaces: its separators and its case."""
-    if kind.startswith("person"):
-        words = value.split(" ")
-        cased = [w.upper() if f.isupper() and len(f) > 1 else w.capitalize() for w, f in zip(words, re.split(r"[  ]", found))]
-        return " ".join(cased)
+    if kind == "family" or kind == "initial" or kind.startswith("given"):
+        return value if found[0].islower() else value.upper() if found.isupper() and len(found) > 1 else value.capitalize()
     if kind == "email" or kind == "ip":
         return value.upper() if found.isupper() else value
     rest, out = iter(value), []
@@ -184,9 +284,9 @@ def assigned(values: DataFrame, key: bytes) -> DataFrame:
 
     Each round draws a surrogate for what has none yet. Where several drew the same,
     the first keeps it; the others, and those that drew a value of the table or a
-    surrogate given before, draw again. Persons are one kind here, whatever their gender.
+    surrogate given before, draw again. Given and family names are one kind here.
     """
-    group = lambda c: F.regexp_replace(c, "-[mf]$", "")
+    group = lambda c: F.regexp_replace(c, "^(given.*|family)$", "name")
     taken = values.select(group("kind").alias("group"), F.col("value").alias("surrogate")).distinct()
     pending, done = values.withColumn("attempt", F.lit(0)), None
     while True:
@@ -210,7 +310,10 @@ def replace_personal(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
     drawn from a key: digits for digits, letters of the same script and case, valid
     card check digits for valid ones, given names of the same gender. A value has
     one surrogate in the whole table, in whatever form it is written, and no two
-    values share one.
+    values share one. Each given and family name is a value, so a family name alone, and
+    a name repeated in the same text without a title, follow the full name. A given name
+    after a title of no gender follows the same name after one that tells it. An
+    initial becomes another letter, the same in the whole table.
 
     Only rows in which a pattern can match are looked at by Python and shuffled; the
     others pass through. Distinct values are found by partial counts, so one value
@@ -218,36 +321,45 @@ def replace_personal(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
     empty one; empty texts, NULL and repeated ids pass through. Repeated rows are replaced alike.
     """
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    addressed = [F.col("text").contains(a) for names in ADDRESSES.values() for a in names]
+    addressed = [F.col("text").contains(a) for a in STEMS]
     may = F.coalesce(reduce(or_, addressed, F.col("text").rlike(NEEDED)), F.lit(False))
 
     def found(batch: pa.RecordBatch) -> Iterable[tuple]:
         for i, text in zip(batch.column("id").to_pylist(), raw(batch, "text")):
-            seen = sorted({(k, v) for _, _, k, v in entities(text.decode("utf-8", "replace"))})
-            if seen:
+            held = found_in(text.decode("utf-8", "replace"))
+            if held:
+                seen = sorted({(k, v) for *_, pieces in held for _, _, k, v in pieces if k != "initial"})
                 yield i, text, [{"kind": k, "value": v} for k, v in seen]
 
     schema = "id long, text binary, seen array<struct<kind: string, value: string>>"
     hits = materialize(in_arrow(named.filter(may), found, schema, 1000).withColumn("row", F.monotonically_increasing_id()), "personal")
     each = hits.select("row", F.explode("seen").alias("e")).select("row", "e.kind", "e.value")
-    given = materialize(assigned(each.select("kind", "value").distinct(), key), "given")
+    values = each.select("kind", "value").distinct()
+    told = values.filter("kind IN ('given-m', 'given-f')").groupBy(F.col("value").alias("told_value")).agg(F.min("kind").alias("told"))
+    same = (F.col("kind") == "given-u") & (F.col("value") == F.col("told_value"))
+    asked = materialize(values.join(told, same, "left").select("kind", "value", F.coalesce("told", "kind").alias("as_kind")), "asked")
+    drawn = assigned(asked.select(F.col("as_kind").alias("kind"), "value").distinct(), key).withColumnRenamed("kind", "as_kind")
+    given = materialize(asked.join(drawn, ["as_kind", "value"]).select("kind", "value", "surrogate"), "given")
     by_row = each.join(given, ["kind", "value"]).groupBy("row").agg(F.collect_list(F.struct("kind", "value", "surrogate")).alias("given"))
 
     def replaced(batch: pa.RecordBatch) -> Iterable[tuple]:
         for i, text, given_ in zip(batch.column("id").to_pylist(), raw(batch, "text"), batch.column("given").to_pylist()):
-            new, parts, at, n = {(g["kind"], g["value"]): g["surrogate"] for g in given_}, [], 0, 0
+            new, parts, at, n = {(g["kind"], g["value"]): g["surrogate"] for g in given_ or []}, [], 0, 0
             whole = text.decode("utf-8", "replace")
-            for a, b, kind, value in entities(whole):
-                parts += [whole[at:a], dressed(whole[a:b], kind, new[kind, value])]
-                at, n = b, n + 1
+            for *_, pieces in found_in(whole):
+                n += 1
+                for a, b, kind, value in pieces:
+                    to = initial(value, key) if kind == "initial" else new[kind, value]
+                    parts += [whole[at:a], dressed(whole[a:b], kind, to)]
+                    at = b
             yield i, "".join([*parts, whole[at:]]), n
 
-    changed = in_arrow(hits.select("row", "id", "text").join(by_row, "row"), replaced, "id long, text string, n_entities long", 1000)
+    changed = in_arrow(hits.select("row", "id", "text").join(by_row, "row", "left"), replaced, "id long, text string, n_entities long", 1000)
 
     def untouched(batch: pa.RecordBatch) -> Iterable[tuple]:
         for i, text, none in zip(batch.column("id").to_pylist(), raw(batch, "text"), batch.column("text").is_null().to_pylist()):
             whole = text.decode("utf-8", "replace")
-            if next(iter(entities(whole)), None) is None:
+            if not found_in(whole):
                 yield i, None if none else whole, 0
 
     looked = in_arrow(named.filter(may), untouched, "id long, text string, n_entities long", 1000)

@@ -382,6 +382,30 @@ def test_surrogates(spark):
     assert not {t.split()[0] for t in replaced} & {f"a{i}@b.example.com" for i in range(10)}
 
 
+def test_surrogates_take_whole_names_and_follow_them(spark):
+    texts = [
+        "Ms Anna-Maria Weber met Mr. J. Smith.", "Mr. John Ronald Smith came. Later Mr. Smith sat; John and SMITH's dog left.",
+        "Señor Gabriel García Márquez", "Mr O'Brien’s car", "Dr. Anna Weber", "Frau Prof. Dr. Eva von der Leyen-Meier", "г-н И. Петров. Петров ушёл", "Monsieur d'Artagnan",
+        "Smith is no name here", "Mr. X",
+    ]
+    got = {r.doc_id: r for r in surrogates.replace_personal(table(spark, [(i, t, "s") for i, t in enumerate(texts)]), b"k").collect()}
+    new = [got[i].text for i in range(len(texts))]
+    for secret in ("Anna", "Maria", "Weber", "J. ", "John", "Ronald", "Gabriel", "García", "Márquez", "Brien", "Eva", "Leyen", "Meier", "И.", "Петров", "Artagnan", "X"):
+        assert not any(secret in t for t in new), secret
+    assert [got[i].n_entities for i in range(len(texts))] == [2, 4, 1, 1, 1, 1, 2, 1, 0, 1] and new[8] == texts[8]
+    given, middle, family = new[1].split(" ")[1:4]
+    assert new[1] == f"Mr. {given} {middle} {family} came. Later Mr. {family} sat; {given} and {family.upper()}'s dog left."
+    anna, weber = new[4].split(" ")[1:]
+    assert new[0].startswith(f"Ms {anna}-") and f" {weber} met Mr. " in new[0] and new[0].endswith(f". {family}.") and anna.lower() in surrogates.GIVEN["latin", "f"]
+    assert new[3].endswith("’s car") and new[5].startswith("Frau Prof. Dr. ") and " von der " in new[5] and new[7].startswith("Monsieur d'")
+
+
+def test_initials_never_stay_and_never_meet():
+    for letters in ("abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщъыьэюя"):
+        new = [surrogates.initial(c, b"k") for c in letters]
+        assert sorted(new) == list(letters) and all(a != b for a, b in zip(new, letters))
+
+
 def test_surrogates_stay_distinct_where_forms_run_out(spark):
     values = spark.createDataFrame([("email", f"{a}@example.org") for a in "abcdefghijklmnopqrstuvwxyz"], "kind string, value string")
     got = surrogates.assigned(values, b"k").collect()

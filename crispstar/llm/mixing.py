@@ -10,6 +10,8 @@ from crispstar.session import materialize
 
 WEIGHTS = (5.0, 2.0, 1.0)
 REPEATS, BLOCK, SHARD_ROWS, SEED = 3, 64, 1000, "mix"
+# A source has no more shards than hold so many blocks each, because the last block of a stream counts as whole.
+STREAM_BLOCKS = 64
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
@@ -86,9 +88,15 @@ def _placed(docs: DataFrame, key: str, id_col: str, weights, repeats: int, block
         "sized",
     )
     shards = sized.count() // shard_rows + 1
-    dealt = sized.withColumn("shard", _number("salt") % shards)
+    sources = materialize(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
+    own = sources.select(
+        F.col("source").alias("in_source"), F.floor(F.col("source_size") / (block * STREAM_BLOCKS) + 1).cast("long").alias("own_shards")
+    )
+    # Rows without words fill nothing; they are dealt to all shards, so that many of them do not meet in one.
+    of = F.when(F.col("size") > 0, F.least(F.lit(shards), "own_shards")).otherwise(shards)
+    dealt = sized.join(own, F.col("source").eqNullSafe(F.col("in_source"))).withColumn("shard", _number("salt") % of).drop("in_source", "own_shards")
     streams = dealt.groupBy("source", "shard").agg(F.sum("size").alias("stream_size"))
-    aims = targets(streams.groupBy("source").agg(F.sum("stream_size").alias("source_size")), weights, repeats)
+    aims = targets(sources, weights, repeats)
 
     all_words = F.sum("target").over(Window.partitionBy("every"))
     seats = aims.withColumn("every", F.lit(0)).withColumn("seats", F.floor(all_words / block + 0.5))
@@ -132,15 +140,17 @@ def mix(
 
     Sizes count words; NULL texts have none and NULL is a source of its own. Each
     source's words are cut into blocks of ``block`` words, in shards of a seeded
-    order; Sainte-Lague deals as many blocks as the targets hold to the sources, and
+    order, as many as its own words fill with ``STREAM_BLOCKS`` blocks each and one
+    per ``shard_rows`` rows of the table at most; Sainte-Lague deals as many blocks as the targets hold to the sources, and
     each source's to its shards; within a shard the blocks that the quota asks for are
     drawn evenly from a seeded start. ``taken`` is how many of the document's words lie
     in drawn blocks, repeats counted, ``repeats`` times its size at most. Ties of
     the order are settled by size and text, so reruns agree; a source without words
     has a target of 0. An empty table gives no rows.
 
-    A source's words are taken within half a block per shard of its target; sources
-    far below a block are taken to the nearest block.
+    The last block of a shard counts as whole in the quota, so a source may fall short
+    of its target by what its shards' last blocks lack, half a block each on average
+    and again for each repeat; sources far below a block are taken to the nearest block.
     """
     rows = _placed(docs, id_col, id_col, weights, repeats, block, shard_rows, seed)
     taken = _upto(F.col("end"), block) - _upto(F.col("begin"), block)

@@ -319,6 +319,18 @@ def test_mixing(spark, docs):
     assert +per_row == +want
 
 
+def test_small_sources_of_a_large_table_come_near_their_targets(spark):
+    rows = spark.range(100_000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 200 == 0, "small").when(F.col("id") % 3 == 0, "void").otherwise("big").alias("source"),
+        F.when(F.col("id") % 200 == 0, F.repeat(F.lit("w "), 12)).when(F.col("id") % 3 > 0, F.repeat(F.lit("w "), 30)).alias("text"),
+    )
+    got = mixing.mix(rows).groupBy("source_size").agg(F.first("target").alias("target"), F.sum("taken").alias("taken"), F.count("*").alias("n")).collect()
+    share = {r.source_size: r.taken / r.target for r in got if r.source_size}
+    assert sorted(r.n for r in got) == [500, 33_167, 66_333] and len(share) == 2
+    assert all(0.98 < s < 1.02 for s in share.values()), share
+
+
 def test_sainte_lague(spark):
     rng = np.random.default_rng(4)
     for seats in (0, 1, 7, 100, 1001):

@@ -19,15 +19,17 @@ POSITIVES, UNLABELLED, FEATURES = 6_000, 12_000, 2_048
 LEAST_SUPPORT, LEAST_RATIO = 4, 3.0
 _LETTERS = re.compile(r"[^\W\d_]+")
 _CACHED = 400_000
+# Evidence is weighed over windows of two stretches of so many words.
+STRETCH = 128
 
 
 def word_features(chunk: bytes) -> tuple[int, ...]:
     """Hashes of the words in a chunk of text, and of their first three to six letters."""
-    found = []
-    for word in _LETTERS.findall(chunk.decode("utf-8", "replace").lower()):
-        found.append("w" + word)
-        found += [f"{n}{word[:n]}" for n in range(3, 7) if len(word) > n]
-    return tuple([xxh64_intdigest(f.encode()) >> 1 for f in found])
+    return tuple([f for word in _LETTERS.findall(chunk.decode("utf-8", "replace").lower()) for f in _of_word(word)])
+
+
+def _of_word(word: str) -> list[int]:
+    return [xxh64_intdigest(f.encode()) >> 1 for f in ("w" + word, *[f"{n}{word[:n]}" for n in range(3, 7) if len(word) > n])]
 
 
 def nn_pu_fit(x: np.ndarray, positive: np.ndarray, prior: float, seed: int = 0, epochs: int = 40, rate: float = 0.03) -> tuple[np.ndarray, float]:
@@ -70,30 +72,49 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """The mean of some linear classifiers over the presence of word features."""
+    """The mean of some linear classifiers over the presence of word features in windows of a text.
+
+    Chance features add up with the length of a text, so a classifier sees two stretches
+    of ``STRETCH`` words at a time, each stretch with the next. The odds of a text are the
+    mean odds of its windows: a long text needs evidence in many windows or much of it in
+    one, and the whole text counts. A text of one stretch is one window.
+    """
 
     def __init__(self, features: list[int], weights: np.ndarray, biases: np.ndarray):
         self.at = {f: i for i, f in enumerate(features)}
         self.weights, self.biases = weights, biases
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.known: dict[bytes, tuple[int, tuple]] = {}
+
+    def _words(self, chunk: bytes) -> tuple[int, tuple[tuple[int, tuple[int, ...]], ...]]:
+        """How many words a chunk has, and the place and feature numbers of those that have any."""
+        words = _LETTERS.findall(chunk.decode("utf-8", "replace").lower())
+        hits = [(n, tuple([self.at[f] for f in _of_word(word) if f in self.at])) for n, word in enumerate(words)]
+        return len(words), tuple([h for h in hits if h[1]])
 
-    def present(self, text: bytes) -> list[int]:
-        """Numbers of the features that a text has."""
-        known, found = self.known, set()
+    def present(self, text: bytes) -> tuple[int, dict[int, set[int]]]:
+        """How many words a text has, and the numbers of the features of each stretch that has any."""
+        known, found, at = self.known, {}, 0
         for chunk in text.split():
-            hits = known.get(chunk)
-            if hits is None:
+            seen = known.get(chunk)
+            if seen is None:
                 if len(known) >= _CACHED:
                     known.clear()
-                known[chunk] = hits = tuple({self.at[f] for f in word_features(chunk) if f in self.at})
-            if hits:
-                found.update(hits)
-        return sorted(found)
+                known[chunk] = seen = self._words(chunk)
+            for n, hits in seen[1]:
+                found.setdefault((at + n) // STRETCH, set()).update(hits)
+            at += seen[0]
+        return at, found
 
     def score(self, text: bytes) -> float:
-        at = self.present(text)
-        z = self.weights[at].sum(axis=0) + self.biases if at else self.biases
-        return float(_sigmoid(z).mean())
+        words, found = self.present(text)
+        if not found:
+            return float(_sigmoid(self.biases).mean())
+        begins = sorted({b for s in found for b in (s, max(s - 1, 0))})
+        z = np.array([self.weights[sorted(found.get(b, set()) | found.get(b + 1, set()))].sum(axis=0) for b in begins])
+        most = z.max(axis=0)
+        windows = max(words / STRETCH, len(begins))
+        odds = (np.exp(z - most).sum(axis=0) + (windows - len(begins)) * np.exp(-most)) / windows
+        return float(_sigmoid(np.log(odds) + most + self.biases).mean())
 
 
 def _sample(ids: DataFrame, n: int, seed: int) -> DataFrame:

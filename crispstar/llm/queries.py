@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crispstar.llm import bpe, exact_dedup, mixing, simhash, substring_dedup, surrogates, token_shards, topk, toxicity, virtual_slots
+from crispstar.llm import bpe, exact_dedup, merkle, mixing, simhash, substring_dedup, surrogates, token_shards, topk, toxicity, virtual_slots
 from crispstar.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,10 +75,15 @@ def op10_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.tampered_manifest(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_token_shards, op2_pii_surrogates, op3_exact_dedup, op4_substring_dedup, op5_toxicity,
         op6_exact_top_k, op7_bpe_round_trip, op8_simhash_near_dedup, op9_virtual_slot_shards, op10_source_mixing,
+        op11_merkle_manifest,
     )
 }

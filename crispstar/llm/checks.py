@@ -108,8 +108,8 @@ SELECT doc_id, size, source_size, target, taken FROM tk JOIN ta USING (source)
 """
 
 # The unsigned CRC-32 of a short ASCII text, byte by byte and bit by bit.
-_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({0}, ''), c -> ascii(c)::BIGINT)),
-    (r, b) -> list_reduce(list_concat([xor(r, b)], range(8)), (x, i) -> xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split({0}, ''), lambda c: ascii(c)::BIGINT)),
+    lambda r, b: list_reduce(list_concat([xor(r, b)], range(8)), lambda x, i: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))), 4294967295)"""
 
 
 def _counted(*values: str) -> str:

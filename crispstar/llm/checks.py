@@ -161,10 +161,31 @@ SELECT doc_id, leaf, sub.h AS subroot, tv.h AS root, sha256(proof) AS proof_sha2
 FROM wb JOIN tv ON tv.n = 1 AND tv.level = wb.level JOIN p USING (row) JOIN sub ON sub.tree = p.tree
 """
 
+_TRIE = f"""
+WITH t AS (
+    SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+           sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS i,
+           {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+o AS (SELECT c, list(said ORDER BY i) AS said, {_CRC32.format("c::VARCHAR")} % 9 AS h FROM t GROUP BY c),
+r AS (SELECT o.c, list_concat(coalesce(list_slice(b.said, 1, o.h), []), list_slice(o.said, o.h + 1, len(o.said))) AS said FROM o LEFT JOIN o b ON b.c = o.c - o.c % 5),
+p AS (SELECT c, d, list_slice(said, 1, d) AS prefix, d = len(said) AS ends, CASE WHEN d = 0 THEN 0 ELSE strlen(said[d].text) END AS size
+      FROM (SELECT c, said, unnest(range(0, len(said) + 1)) AS d FROM r)),
+n AS (SELECT min(c) AS c, d, prefix, count(*) AS n_convs, any_value(size) AS size,
+             sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends_sha256 FROM p GROUP BY d, prefix),
+l AS (SELECT n.*, up.c AS up FROM n LEFT JOIN n up ON n.d > 0 AND up.d = n.d - 1 AND up.prefix = list_slice(n.prefix, 1, n.d - 1)),
+k AS (SELECT l.*, (SELECT count(*) FROM l x WHERE x.up = l.c AND x.d = l.d + 1) AS n_children FROM l),
+s AS (SELECT a.c, a.d, count(*) FILTER (WHERE u.n_children = 0) AS n_leaves, sum((u.n_convs - 1) * u.size)::BIGINT AS saved_tokens
+      FROM k u JOIN p ON p.c = u.c AND p.d <= u.d JOIN k a ON a.d = p.d AND a.prefix = p.prefix GROUP BY a.c, a.d)
+SELECT c AS conv_id, d AS depth, up AS parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 FROM k JOIN s USING (c, d)
+"""
+
 CHECKS: dict[str, str] = {
     "op3_exact_dedup": _EXACT,
     "op4_substring_dedup": _SUBSTRING,
     "op6_exact_top_k": _TOP_K,
     "op10_source_mixing": _MIX,
     "op11_merkle_manifest": _MERKLE,
+    "op12_prefix_trie": _TRIE,
 }

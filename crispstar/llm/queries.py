@@ -9,7 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crispstar.llm import bpe, exact_dedup, merkle, mixing, prefix_trie, simhash, substring_dedup, surrogates, token_shards, topk, toxicity, virtual_slots
+from crispstar.llm import bpe, exact_dedup, merkle, mixing, prefix_trie, simhash, substring_dedup, surrogates, syncmers, token_shards, topk, toxicity, virtual_slots
 from crispstar.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,11 +83,15 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.conversation_trie(_table(spark, folder, "conversations"))
 
 
+def op13_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return syncmers.syncmer_fingerprints(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
         op1_token_shards, op2_pii_surrogates, op3_exact_dedup, op4_substring_dedup, op5_toxicity,
         op6_exact_top_k, op7_bpe_round_trip, op8_simhash_near_dedup, op9_virtual_slot_shards, op10_source_mixing,
-        op11_merkle_manifest, op12_prefix_trie,
+        op11_merkle_manifest, op12_prefix_trie, op13_syncmer_fingerprints,
     )
 }

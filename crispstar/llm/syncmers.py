@@ -11,12 +11,13 @@ from __future__ import annotations
 from base64 import b64encode
 from bisect import bisect_left
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from hashlib import sha256
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
@@ -26,8 +27,8 @@ from crispstar.session import materialize
 
 K, S = 32, 8
 _BASE, _MIX = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9
-# Characters that are hashed at once.
-_BLOCK = 1 << 20
+# Bytes of text that are hashed at once.
+_BLOCK = 1 << 18
 
 
 def _rolled(values: np.ndarray, size: int) -> np.ndarray:
@@ -151,9 +152,8 @@ def anchors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            ids, texts = batch.column("id").to_pylist(), [t.decode("utf-8", "replace") for t in raw(batch, "text")]
-            for block in _blocks(texts):
-                for i, (at, hashes) in zip(ids[block], closed_syncmers(texts[block], k, s)):
+            for block, texts in _blocks(batch):
+                for i, (at, hashes) in zip(block.column("id").to_pylist(), closed_syncmers(texts, k, s)):
                     yield from ((i, x, h) for x, h in zip(at.tolist(), hashes.view(np.int64).tolist()))
 
     read = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -161,15 +161,16 @@ def anchors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     return read.mapInArrow(lambda it: batched(rows(it), names, types), "id long, at long, hash long").withColumnRenamed("id", id_col)
 
 
-def _blocks(texts: list[str]) -> Iterator[slice]:
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Consecutive rows with about a block's size of text, so that no batch is copied whole."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
     first, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= _BLOCK:
-            yield slice(first, i + 1)
-            first, size = i + 1, 0
-    if first < len(texts):
-        yield slice(first, len(texts))
+    for i, n in enumerate(sizes.tolist(), 1):
+        size += n
+        if size >= _BLOCK or i == batch.num_rows:
+            rows = batch.slice(first, i - first)
+            yield rows, [t.decode("utf-8", "replace") for t in raw(rows, "text")]
+            first, size = i, 0
 
 
 def edited(text: str, following: str) -> str:
@@ -184,10 +185,8 @@ def _compared(k: int, s: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         last: list[tuple] = []
         for batch in batches:
-            ids, parts, looks = (batch.column(c).to_pylist() for c in ("id", "part", "look"))
-            texts = [t.decode("utf-8", "replace") for t in raw(batch, "text")]
-            for block in _blocks(texts):
-                met = [*last, *zip(ids[block], parts[block], looks[block], texts[block], fingerprints(texts[block], k, s))]
+            for block, texts in _blocks(batch):
+                met = [*last, *zip(*(block.column(c).to_pylist() for c in ("id", "part", "look")), texts, fingerprints(texts, k, s))]
                 pairs = [(a, b) for a, b in pairwise(met) if a[1] == b[1]]
                 changed = [edited(a[3], b[3]) for a, b in pairs]
                 for (a, b), text, other in zip(pairs, changed, fingerprints(changed, k, s)):
@@ -257,4 +256,4 @@ def syncmer_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str
     met = sent.repartitionById(len(starts), "part").sortWithinPartitions("part", "look", "key").select("id", "text", "part", "look")
     names, types = arrow_types(met, schema)
     rows = _compared(k, s)
-    return met.mapInArrow(lambda batches: batched(rows(batches), names, types, 1000), schema)
+    return met.mapInArrow(lambda batches: batched(rows(batches), names, types, 200), schema)

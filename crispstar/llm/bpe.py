@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 from tokenizers.models import BPE
 
-from crispstar.llm.common import in_arrow, raw
+from crispstar.llm.common import BoundedCache, in_arrow, raw, sliced
 
 _SPACES = b" \t\n\v\f\r"
-_CACHED = 500_000
 # Letters that stay what they are under every normal form, and marks that no contraction starts with.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!,.:;?]*)")
 
@@ -48,20 +47,6 @@ def byte_letters() -> list[str]:
     return [chr(b if b in prints else next(spare)) for b in range(256)]
 
 
-class _Cache(dict):
-    """Results by key, emptied when it holds too many."""
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, key):
-        if len(self) >= _CACHED:
-            self.clear()
-        self[key] = made = self.make(key)
-        return made
-
-
 class ForcedBoundaryEncoder:
     """Encodes as the tokenizer file says, fragment by fragment.
 
@@ -92,8 +77,9 @@ class ForcedBoundaryEncoder:
         at = {c: b for b, c in enumerate(self.letters)}
         self.spaces_cut = not any(at[p[0]] in _SPACES or at[p[1]] in _SPACES for p in self.inside)
         self.plain = spec.get("normalizer") == _LOWER and spec.get("pre_tokenizer") == _LETTERS
-        self.words, self.chunks = _Cache(self._word), _Cache(self._chunk)
-        self.digests = _Cache(self._digest)
+        held = lambda ids: 56 + 8 * len(ids)
+        self.words, self.chunks = BoundedCache(self._word, held), BoundedCache(self._chunk, held)
+        self.digests = BoundedCache(self._digest, lambda made: 190 + len(made[1]) + len(made[2]))
 
     def _pairs_inside(self) -> set[str]:
         """Two letters side by side in any token, the suffix of word ends not counted."""
@@ -174,15 +160,14 @@ class ForcedBoundaryEncoder:
         return sum(counts), sha256(b" ".join(ids)).hexdigest(), sha256(b" ".join(decoded)).hexdigest()
 
 
-_loaded: dict[int, ForcedBoundaryEncoder] = {}
+_loaded: dict[str, ForcedBoundaryEncoder] = {}
 
 
 def encoder(file: str) -> ForcedBoundaryEncoder:
     """One encoder per Python worker and tokenizer file, with its caches."""
-    mark = hash(file)
-    if mark not in _loaded:
-        _loaded[mark] = ForcedBoundaryEncoder(file)
-    return _loaded[mark]
+    if file not in _loaded:
+        _loaded[file] = ForcedBoundaryEncoder(file)
+    return _loaded[file]
 
 
 def read_tokenizer(path: str) -> str:
@@ -196,7 +181,7 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     def rows(batch: pa.RecordBatch) -> Iterable[tuple]:
         bpe = encoder(file.value)
-        return ((i, bpe.encode(t)) for i, t in zip(batch.column("id").to_pylist(), raw(batch, "text")))
+        return ((i, bpe.encode(t)) for part in sliced(batch, "text") for i, t in zip(part.column("id").to_pylist(), raw(part, "text")))
 
     return in_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), rows, "id long, ids array<int>", 2000)
 
@@ -223,7 +208,7 @@ def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 
     def rows(batch: pa.RecordBatch) -> Iterable[tuple]:
         bpe = encoder(file.value)
-        return ((i, *bpe.digest(t)) for i, t in zip(batch.column("id").to_pylist(), raw(batch, "text")))
+        return ((i, *bpe.digest(t)) for part in sliced(batch, "text") for i, t in zip(part.column("id").to_pylist(), raw(part, "text")))
 
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return in_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), rows, schema).withColumnRenamed("id", id_col)

@@ -62,49 +62,62 @@ def _apportioned(name: str, source: str, group: str, party: str, votes: str, sea
 
 
 _NUMBER = "('0x' || substr({}, 1, 7))::BIGINT"
+_DRAWS = """CASE WHEN {0} = 0 THEN 0 ELSE
+    sh[(({0} * 16 - 1) // n + 1)::INTEGER].earlier + rounds * ({0} - sh[(({0} * 16 - 1) // n + 1)::INTEGER].lo)
+    + (({0} - sh[(({0} * 16 - 1) // n + 1)::INTEGER].lo)::HUGEINT * sh[(({0} * 16 - 1) // n + 1)::INTEGER].extra
+       + sh[(({0} * 16 - 1) // n + 1)::INTEGER].start) // sh[(({0} * 16 - 1) // n + 1)::INTEGER].nb
+    - sh[(({0} * 16 - 1) // n + 1)::INTEGER].start // sh[(({0} * 16 - 1) // n + 1)::INTEGER].nb END"""
+
+
+def _words_upto(word: str) -> str:
+    whole, after = _DRAWS.format(f"({word} // 64)"), _DRAWS.format(f"({word} // 64 + 1)")
+    return f"(({whole}) * 64 + CASE WHEN {word} % 64 = 0 THEN 0 ELSE (({after}) - ({whole})) * ({word} % 64) END)"
+
+
 _MIX = rf"""
 WITH d AS (
-    SELECT doc_id, coalesce(source, chr(1114111)) AS source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size,
-           md5('mix:' || coalesce(doc_id::VARCHAR, 'null')) AS salt, md5(coalesce(text, '')) AS text_md5
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}'))::BIGINT AS size,
+           md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))) AS salt
     FROM documents
 ),
-p AS (SELECT *, {_NUMBER.format('salt')} % ((SELECT count(*) FROM d) // 1000 + 1) AS shard FROM d),
-st AS (SELECT 0 AS every, source, shard, sum(size)::BIGINT AS stream_size FROM p GROUP BY ALL),
 so AS (
-    SELECT source, sum(stream_size)::BIGINT AS source_size, 3.0::DOUBLE * sum(stream_size) AS lim,
+    SELECT 0 AS every, source, source_size, 3.0::DOUBLE * source_size AS lim,
            ([5.0, 2.0, 1.0])[((row_number() OVER (ORDER BY source) - 1) % 3 + 1)::INTEGER]::DOUBLE AS weight
-    FROM st GROUP BY source
+    FROM (SELECT coalesce(source, chr(1114111)) AS source, sum(size)::BIGINT AS source_size FROM d GROUP BY ALL)
 ),
 ra AS (
     SELECT *, (sum(source_size) OVER () - coalesce(sum(lim) OVER b, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS rate
     FROM so WINDOW b AS (ORDER BY lim / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ),
 fr AS (SELECT arg_min(rate, lim / weight) AS free FROM ra WHERE lim > weight * rate),
-ta AS (
-    SELECT 0 AS every, source, source_size, CASE WHEN lim <= weight * rate THEN lim ELSE weight * (SELECT free FROM fr) END AS target FROM ra
-),
+ta AS (SELECT every, source, source_size, CASE WHEN lim <= weight * rate THEN lim ELSE weight * (SELECT free FROM fr) END AS target FROM ra),
 tb AS (SELECT *, floor(sum(target) OVER () / 64 + 0.5)::BIGINT AS seats FROM ta),
 {_apportioned("qs", "tb", "every", "source", "target", "seats")},
-sq AS (SELECT st.*, coalesce(quota, 0) AS source_quota FROM st LEFT JOIN qs USING (source)),
-{_apportioned("qd", "sq", "source", "shard", "stream_size", "source_quota")},
-ps AS (
-    SELECT st.source, st.shard, greatest(ceil(stream_size / 64)::BIGINT, 1) AS blocks, coalesce(qd.quota, 0) AS quota,
-           {_NUMBER.format("md5(concat_ws(':', 'mix', nullif(st.source, chr(1114111)), st.shard::VARCHAR))")} AS start
-    FROM st LEFT JOIN qd USING (source, shard)
+wa AS (
+    SELECT ta.*, ceil(source_size / 64)::BIGINT AS n, CASE WHEN quota > 0 AND source_size >= 64 THEN quota * 64.0::DOUBLE ELSE target END AS wanted
+    FROM ta LEFT JOIN qs USING (source) WHERE source_size > 0
 ),
-po AS (
-    SELECT p.*, blocks, least(quota, 3 * blocks) AS quota, start % blocks AS start,
-           sum(size) OVER (PARTITION BY source, shard ORDER BY salt, size, text_md5 ROWS UNBOUNDED PRECEDING)::BIGINT AS e
-    FROM p JOIN ps USING (source, shard)
+ro AS (SELECT *, least(floor(wanted / source_size), 3)::BIGINT AS rounds FROM wa),
+re AS (
+    SELECT *, CASE WHEN rounds < 3 THEN least(greatest(floor((wanted - rounds * source_size) / least(source_size, 64) + 0.5), 0), n) ELSE 0 END::BIGINT AS rest
+    FROM ro
 ),
-cu AS (SELECT *, unnest([e, e - size]) AS w, unnest([1, -1]) AS sign FROM po),
-dr AS (
-    SELECT *, quota // blocks * (w // 64) + (w // 64 * (quota % blocks) + start) // blocks - start // blocks AS upto,
-           quota // blocks * (w // 64 + 1) + ((w // 64 + 1) * (quota % blocks) + start) // blocks - start // blocks AS beyond
-    FROM cu
+st AS (SELECT *, shard * n // 16 AS lo, (shard + 1) * n // 16 - shard * n // 16 AS nb FROM re, (SELECT unnest(range(0, 16)) AS shard)),
+{_apportioned("qd", "st", "source", "shard", "nb", "rest")},
+sh AS (
+    SELECT source, any_value(n) AS n, any_value(rounds) AS rounds, list({{'lo': lo, 'nb': nb, 'extra': extra, 'earlier': earlier, 'start': start}} ORDER BY shard) AS sh
+    FROM (SELECT st.*, coalesce(quota, 0) AS extra, coalesce(sum(rounds * nb + coalesce(quota, 0)) OVER (PARTITION BY source ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS earlier,
+                 CASE WHEN nb > 0 THEN {_NUMBER.format("md5(concat_ws(':', 'mix', nullif(source, chr(1114111)), shard::VARCHAR))")} % nb ELSE 0 END AS start
+          FROM st LEFT JOIN qd USING (source, shard))
+    GROUP BY source
 ),
-tk AS (SELECT doc_id, source, size, salt, text_md5, e, sum(sign * (upto * 64 + (beyond - upto) * (w % 64)))::BIGINT AS taken FROM dr GROUP BY ALL)
-SELECT doc_id, size, source_size, target, taken FROM tk JOIN ta USING (source)
+po AS (
+    SELECT doc_id, size, coalesce(source, chr(1114111)) AS source,
+           sum(size) OVER (PARTITION BY source ORDER BY salt, size ROWS UNBOUNDED PRECEDING)::BIGINT AS e
+    FROM d
+)
+SELECT doc_id, size, source_size, target, CASE WHEN size > 0 THEN {_words_upto("e")} - {_words_upto("(e - size)")} ELSE 0 END::BIGINT AS taken
+FROM po JOIN ta USING (source) LEFT JOIN sh USING (source)
 """
 
 # The unsigned CRC-32 of a short ASCII text, byte by byte and bit by bit.

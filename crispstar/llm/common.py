@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,9 +16,28 @@ WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def text_of(name: str) -> Column:
+def text_of(name: str | Column) -> Column:
     """The text with NULL as empty."""
-    return F.coalesce(F.col(name), F.lit(""))
+    return F.coalesce(F.col(name) if isinstance(name, str) else name, F.lit(""))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def sliced(batch: pa.RecordBatch, name: str, most: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a batch with about ``most`` bytes of a text column, one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy(zero_copy_only=False)
+    first, size = 0, 0
+    for i, n in enumerate(sizes.tolist(), 1):
+        size += n
+        if size >= most or i == batch.num_rows:
+            yield batch.slice(first, i - first)
+            first, size = i, 0
 
 
 def raw(batch: pa.RecordBatch, name: str) -> list[bytes]:
@@ -72,3 +92,27 @@ def batched(rows: Iterable[tuple], names: list[str], types: list[pa.DataType], c
 
 def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
+
+
+class BoundedCache(dict):
+    """Results by text key, emptied when keys and results hold too many bytes; long keys are not kept.
+
+    ``cost`` is what a result holds beside its key. Text without spaces is one long chunk a
+    document, which will not come again.
+    """
+
+    def __init__(self, make: Callable, cost: Callable, most: int = 48 << 20, longest: int = 64):
+        super().__init__()
+        self.make, self.cost, self.most, self.longest, self.size = make, cost, most, longest, 0
+
+    def __missing__(self, key):
+        made = self.make(key)
+        if len(key) > self.longest:
+            return made
+        # An entry of a dictionary with its key costs about 150 bytes more than the key's text.
+        self.size += 150 + len(key) + self.cost(made)
+        if self.size > self.most:
+            self.clear()
+            self.size = 150 + len(key) + self.cost(made)
+        self[key] = made
+        return made

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crispstar.llm.common import SPACE, identified, text_of
+from crispstar.llm.common import SPACE, identified, text_of, unused
 from crispstar.session import materialize
 
 COUNTERS = 1024
@@ -59,7 +59,8 @@ def exact_duplicates(
 
     Frequent digests are found by Misra-Gries summaries, counted exactly with
     their winners, and settled on the map side against the broadcast winners;
-    only the others are shuffled, so no group in a task is large. An empty table
+    only the others are shuffled. Their groups are reduced to a minimum and a count, in part
+    before the shuffle, and joined back, so no task holds a group. An empty table
     gives no rows; other columns are ignored.
     """
     digest = F.unhex(F.sha2(F.regexp_replace(text_of(text_col), SPACE, " "), 256))
@@ -74,10 +75,9 @@ def exact_duplicates(
         "winners",
     )
     heavy = digests.join(F.broadcast(winners), "digest")
-    group = Window.partitionBy("digest")
-    light = digests.join(F.broadcast(winners.select("digest")), "digest", "left_anti").select(
-        "*", F.min(place).over(group).alias("first"), F.count("*").over(group).alias("group_size")
-    )
+    light = digests.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
+    groups = materialize(light.groupBy("digest").agg(F.min(place).alias("first"), F.count("*").alias("group_size")), "groups")
+    light = light.join(groups, "digest")
     return heavy.unionByName(light).select(
         F.col("id").alias(id_col),
         F.col("first.id").alias("keep_id"),
@@ -89,7 +89,12 @@ def exact_duplicates(
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their columns."""
-    keyed = identified(docs, id_col, "dedup_key")
-    dropped = exact_duplicates(keyed, id_col, text_col, "dedup_key").filter(~F.col("kept")).select("dedup_key")
-    return keyed.join(dropped, "dedup_key", "left_anti").select(*docs.columns)
+    """The rows of ``docs`` that stay, with their columns, whatever these are called.
+
+    Of equal texts the row with the smallest id stays, NULL ids last, of rows with one id one of them.
+    NULL and empty texts are one group; an empty table gives no rows.
+    """
+    key = unused(docs, "dedup_key")
+    keyed = identified(docs, id_col, key)
+    dropped = exact_duplicates(keyed, id_col, text_col, key).filter(~F.col("kept")).select(key)
+    return keyed.join(dropped, key, "left_anti").select(*docs.columns)

@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from crispstar.llm.common import WORD, identified, text_of
+from crispstar.llm.common import WORD, identified, text_of, unused
+from crispstar.operators.ordered import in_blocks, running_sum
 from crispstar.session import materialize
 
 WEIGHTS = (5.0, 2.0, 1.0)
-REPEATS, BLOCK, SHARD_ROWS, SEED = 3, 64, 1000, "mix"
-# A source has no more shards than hold so many blocks each, because the last block of a stream counts as whole.
-STREAM_BLOCKS = 64
+# Shards of each source, whatever its size.
+REPEATS, BLOCK, SHARDS, SEED = 3, 64, 16, "mix"
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
@@ -65,59 +65,72 @@ def apportioned(parties: DataFrame, group: list[str], party: list[str], votes: s
     )
 
 
-def _drawn(block: Column, blocks: Column, quota: Column, start: Column) -> Column:
-    """How many of the first ``block`` of a stream's blocks are drawn, counting repeats.
+def _drawn(block: Column, blocks: Column, extra: Column, rounds: Column, start: Column) -> Column:
+    """How many of the first ``block`` of a shard's blocks are drawn, counting repeats.
 
-    A quota of ``r * blocks + s`` takes each block ``r`` times and ``s`` of them,
-    evenly spaced from a seeded start, once more.
+    Each block is drawn ``rounds`` times and ``extra`` of them, evenly spaced from a seeded
+    start, once more. The product may pass 64 bits, so it is a decimal.
     """
-    once = quota % blocks
-    spaced = F.floor((block * once + start) / blocks) - F.floor(start / blocks)
-    return F.floor(quota / blocks) * block + spaced
+    spaced = F.call_function("div", block.cast("decimal(19,0)") * extra.cast("decimal(18,0)") + start, blocks.cast("decimal(19,0)"))
+    return rounds * block + F.when(blocks > 0, spaced - F.call_function("div", start, blocks)).otherwise(0)
 
 
-def _placed(docs: DataFrame, key: str, id_col: str, weights, repeats: int, block: int, shard_rows: int, seed: str) -> DataFrame:
-    """``key`` and the stretch ``begin, end`` of its shard's stream that each row fills, with the stream's blocks and quota."""
-    text = text_of("text")
-    salt = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))).cast("binary"))
-    sized = materialize(
-        docs.select(
-            key, "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-            salt.alias("salt"), F.md5(text.cast("binary")).alias("text_md5"),
-        ),
-        "sized",
-    )
-    shards = sized.count() // shard_rows + 1
-    sources = materialize(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
-    own = sources.select(
-        F.col("source").alias("in_source"), F.floor(F.col("source_size") / (block * STREAM_BLOCKS) + 1).cast("long").alias("own_shards")
-    )
-    # Rows without words fill nothing; they are dealt to all shards, so that many of them do not meet in one.
-    of = F.when(F.col("size") > 0, F.least(F.lit(shards), "own_shards")).otherwise(shards)
-    dealt = sized.join(own, F.col("source").eqNullSafe(F.col("in_source"))).withColumn("shard", _number("salt") % of).drop("in_source", "own_shards")
-    streams = dealt.groupBy("source", "shard").agg(F.sum("size").alias("stream_size"))
+def _quotas(sources: DataFrame, weights, repeats: int, block: int, shards: int, seed: str) -> DataFrame:
+    """One row per source: ``of_source, source_size, target, before`` (words of the sources before it)``, n`` (blocks)``, rounds``
+    and, for each shard, ``first`` block, number of ``blocks``, ``extra`` blocks drawn, draws ``earlier``, and ``start``."""
     aims = targets(sources, weights, repeats)
-
     all_words = F.sum("target").over(Window.partitionBy("every"))
     seats = aims.withColumn("every", F.lit(0)).withColumn("seats", F.floor(all_words / block + 0.5))
-    quotas = apportioned(seats, ["every"], ["source"], "target", "seats").select(
-        F.col("source").alias("of_source"), "source_size", "target", F.col("quota").alias("source_quota")
+    dealt = apportioned(seats, ["every"], ["source"], "target", "seats")
+    before = Window.orderBy(F.col("source").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    size = F.col("source_size")
+    # A source without a block, or smaller than one, is drawn by its target, in blocks of its own words.
+    wanted = F.when((F.col("quota") > 0) & (size >= block), (F.col("quota") * block).cast("double")).otherwise(F.col("target"))
+    rounds = F.least(F.floor(F.col("wanted") / size), F.lit(repeats)).cast("long")
+    rest = F.floor((F.col("wanted") - F.col("rounds") * size) / F.least(size, F.lit(block)) + 0.5)
+    per_source = (
+        dealt.filter(size > 0).withColumns({"wanted": wanted, "n": F.ceil(size / block)})
+        .withColumn("rounds", rounds)
+        .withColumn("rest", F.when(F.col("rounds") < repeats, F.least(F.greatest(rest, F.lit(0)), F.col("n"))).otherwise(0).cast("long"))
+    )
+    per_source = materialize(per_source.select("source", "n", "rounds", "rest"), "source-quotas")
+    at = lambda j: F.call_function("div", j * F.col("n"), F.lit(shards))
+    streams = per_source.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard")).withColumns(
+        {"first": at(F.col("shard")), "blocks": at(F.col("shard") + 1) - at(F.col("shard"))}
     )
-    of_shards = streams.join(quotas, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
-    blocks = F.greatest(F.ceil(F.col("stream_size") / block), F.lit(1))
     start = _number(F.md5(F.concat_ws(":", F.lit(seed), "source", F.col("shard").cast("string")).cast("binary")))
-    per_shard = materialize(
-        apportioned(of_shards, ["source"], ["shard"], "stream_size", "source_quota").select(
-            F.col("source").alias("of_source"), F.col("shard").alias("of_shard"), "source_size", "target",
-            F.least("quota", blocks * repeats).alias("quota"), blocks.alias("blocks"), (start % blocks).alias("start"),
-        ),
-        "quotas",
-    )
+    drawn = apportioned(streams, ["source"], ["shard"], "blocks", "rest").withColumn(
+        "start", F.when(F.col("blocks") > 0, start % F.col("blocks")).otherwise(0)
+    )
+    per_shard = drawn.withColumn("draws", F.col("rounds") * F.col("blocks") + F.col("quota"))
+    earlier = F.sum("draws").over(Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
+    shard = F.struct("shard", "first", "blocks", F.col("quota").alias("extra"), F.coalesce(earlier, F.lit(0)).alias("earlier"), "start")
+    listed = per_shard.withColumn("_shard", shard).groupBy("source").agg(
+        F.sort_array(F.collect_list("_shard")).alias("shards"), F.first("n").alias("n"), F.first("rounds").alias("rounds")
+    )
+    named = aims.withColumn("before", F.coalesce(F.sum("source_size").over(before), F.lit(0))).withColumnRenamed("source", "of_source")
+    return materialize(named.join(listed, F.col("source").eqNullSafe(F.col("of_source")), "left").drop("source"), "quotas")
 
-    order = Window.partitionBy("source", "shard").orderBy("salt", "size", "text_md5")
-    ends = dealt.withColumn("end", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    on = F.col("source").eqNullSafe(F.col("of_source")) & (F.col("shard") == F.col("of_shard"))
-    return ends.join(per_shard, on).withColumn("begin", F.col("end") - F.col("size"))
+
+def _placed(docs: DataFrame, key: str, id_col: str, weights, repeats: int, block: int, shards: int, seed: str) -> DataFrame:
+    """``key`` and the stretch ``begin, end`` of its source's words that each row fills, with the source's quotas.
+
+    A source's rows follow each other in a seeded order of their id and text, as part of one order of all rows.
+    """
+    text = text_of("text")
+    digest = F.md5(text.cast("binary"))
+    salt = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), digest).cast("binary"))
+    sized = materialize(
+        docs.select(
+            F.col(key).alias("row_id"), "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.unhex(salt).alias("salt")
+        ),
+        "sized",
+    )
+    sources = materialize(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
+    quotas = _quotas(sources, weights, repeats, block, shards, seed)
+    summed = running_sum(in_blocks(sized, ["source", "salt", "size"]), F.col("size"), "upto")
+    joined = summed.join(quotas, F.col("source").eqNullSafe(F.col("of_source")))
+    return joined.withColumn("end", F.col("upto") - F.col("before")).withColumn("begin", F.col("end") - F.col("size"))
 
 
 def _number(digest) -> Column:
@@ -125,59 +138,70 @@ def _number(digest) -> Column:
     return F.conv(F.substring(digest, 1, 7), 16, 10).cast("long")
 
 
-def _upto(word: Column, block: int) -> Column:
-    """Words drawn among the first ``word`` words of the stream: of whole blocks, and of the block that it ends in."""
-    drawn = lambda b: _drawn(b, F.col("blocks"), F.col("quota"), F.col("start"))
-    whole = F.floor(word / block)
-    return drawn(whole) * block + (drawn(whole + 1) - drawn(whole)) * (word % block)
+def _draws(block: Column, shards: int) -> Column:
+    """How many of the first ``block`` blocks of a source are drawn, counting repeats: those of earlier shards, and of the one it ends in."""
+    # Block b ends in the shard whose blocks, from first on, hold number b - 1.
+    j = F.call_function("div", block.cast("decimal(19,0)") * shards - 1, F.col("n").cast("decimal(19,0)")).cast("int")
+    at = F.get("shards", j)
+    within = _drawn(block - at["first"], at["blocks"], at["extra"], F.col("rounds"), at["start"])
+    return F.when(block > 0, at["earlier"] + within).otherwise(0)
+
+
+def _upto(word: Column, block: int, shards: int) -> Column:
+    """Words drawn among the first ``word`` words of the source: of whole blocks, and of the block that it ends in."""
+    whole, over = F.call_function("div", word, F.lit(block)), word % block
+    drawn = _draws(whole, shards)
+    partly = F.when(over > 0, (_draws(whole + 1, shards) - drawn) * over).otherwise(0)
+    return drawn * block + partly
 
 
 def mix(
     docs: DataFrame, id_col: str = "doc_id", weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS,
-    block: int = BLOCK, shard_rows: int = SHARD_ROWS, seed: str = SEED,
+    block: int = BLOCK, shards: int = SHARDS, seed: str = SEED,
 ) -> DataFrame:
     """One row per document of ``docs(id, source, text)``: ``id, size, source_size, target, taken``.
 
     Sizes count words; NULL texts have none and NULL is a source of its own. Each
-    source's words are cut into blocks of ``block`` words, in shards of a seeded
-    order, as many as its own words fill with ``STREAM_BLOCKS`` blocks each and one
-    per ``shard_rows`` rows of the table at most; Sainte-Lague deals as many blocks as the targets hold to the sources, and
-    each source's to its shards; within a shard the blocks that the quota asks for are
-    drawn evenly from a seeded start. ``taken`` is how many of the document's words lie
+    source's words, its documents in a seeded order, are cut into blocks of ``block`` words, and
+    its blocks into ``shards`` shards, whatever the size of the table. Sainte-Lague deals as
+    many blocks as the targets hold to the sources. A source's quota is whole rounds of its words and,
+    for the rest, blocks that Sainte-Lague deals to its shards; within a shard they
+    are drawn evenly from a seeded start. ``taken`` is how many of the document's words lie
     in drawn blocks, repeats counted, ``repeats`` times its size at most. Ties of
-    the order are settled by size and text, so reruns agree; a source without words
-    has a target of 0. An empty table gives no rows.
+    the order are settled by size, so reruns agree; a source without words
+    has a target of 0. An empty table gives no rows; other columns are ignored.
 
-    The last block of a shard counts as whole in the quota, so a source may fall short
-    of its target by what its shards' last blocks lack, half a block each on average
-    and again for each repeat; sources far below a block are taken to the nearest block.
+    Only the last block of a source has fewer words, so a source comes within two blocks of
+    its target: one of the apportionment, one of that last block. A source below one block is taken in whole
+    rounds, to the nearest.
     """
-    rows = _placed(docs, id_col, id_col, weights, repeats, block, shard_rows, seed)
-    taken = _upto(F.col("end"), block) - _upto(F.col("begin"), block)
+    rows = _placed(docs, id_col, id_col, weights, repeats, block, shards, seed)
+    taken = F.when(F.col("size") > 0, _upto(F.col("end"), block, shards) - _upto(F.col("begin"), block, shards)).otherwise(0)
     return rows.select(
-        F.col(id_col), "size", "source_size", F.col("target").cast("double").alias("target"), taken.cast("long").alias("taken")
+        F.col("row_id").alias(id_col), "size", "source_size", F.col("target").cast("double").alias("target"), taken.cast("long").alias("taken")
     )
 
 
 def mixed(
     docs: DataFrame, id_col: str = "doc_id", weights: tuple[float, ...] = WEIGHTS, repeats: int = REPEATS,
-    block: int = BLOCK, shard_rows: int = SHARD_ROWS, seed: str = SEED,
+    block: int = BLOCK, shards: int = SHARDS, seed: str = SEED,
 ) -> DataFrame:
     """The mix itself, with the columns of ``docs``: a row per document and repeat with the words taken in it.
 
     A repeat that takes all words keeps the text as it is; one that takes some has
-    these, joined by one space. Documents of which nothing is taken are left out.
+    these, joined by one space. Documents of which nothing is taken are left out, and so
+    are those without words. Repeated rows are documents of their own; an empty table gives no rows.
     """
-    keyed = identified(docs, id_col, "mix_key")
-    own = keyed.select("mix_key", *[F.col(c).alias(f"own_{c}") for c in docs.columns])
-    placed = _placed(keyed, "mix_key", id_col, weights, repeats, block, shard_rows, seed).filter(F.col("size") > 0)
-    rows = own.join(placed.select("mix_key", "begin", "blocks", "quota", "start"), "mix_key")
-    drawn = lambda b: _drawn(b, F.col("blocks"), F.col("quota"), F.col("start"))
-    whole = F.floor(F.col("quota") / F.col("blocks")).cast("int")
-    turns = rows.withColumn("turn", F.explode(F.sequence(F.lit(1), whole + 1)))
-    words = F.regexp_extract_all(text_of("own_text"), F.lit(WORD), F.lit(0))
-    block_of = lambda i: F.floor((F.col("begin") + i) / block)
-    kept = F.filter(words, lambda _, i: drawn(block_of(i) + 1) - drawn(block_of(i)) >= F.col("turn"))
-    text = F.when(F.col("turn") <= whole, F.col("own_text")).otherwise(F.concat_ws(" ", kept))
-    taken = turns.withColumn("taken_text", text).filter((F.col("turn") <= whole) | (F.col("taken_text") != ""))
-    return taken.select(*[F.col("taken_text" if c == "text" else f"own_{c}").alias(c) for c in docs.columns])
+    key = unused(docs, "mix_key")
+    keyed = identified(docs, id_col, key)
+    own = keyed.select(F.col(key).alias("own_key"), *[F.col(c).alias(f"own_{i}") for i, c in enumerate(docs.columns)])
+    own_text = F.col(f"own_{[c.lower() for c in docs.columns].index('text')}")
+    placed = _placed(keyed, key, id_col, weights, repeats, block, shards, seed).filter(F.col("size") > 0)
+    rows = own.join(placed.select("row_id", "begin", "shards", "n", "rounds"), F.col("own_key") == F.col("row_id"))
+    turns = rows.withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("rounds").cast("int") + 1)))
+    words = F.regexp_extract_all(text_of(own_text), F.lit(WORD), F.lit(0))
+    block_of = lambda i: F.call_function("div", F.col("begin") + i, F.lit(block))
+    kept = F.filter(words, lambda _, i: _draws(block_of(i) + 1, shards) - _draws(block_of(i), shards) >= F.col("turn"))
+    text = F.when(F.col("turn") <= F.col("rounds"), own_text).otherwise(F.concat_ws(" ", kept))
+    taken = turns.withColumn("taken_text", text).filter((F.col("turn") <= F.col("rounds")) | (F.col("taken_text") != ""))
+    return taken.select(*[F.col("taken_text" if c.lower() == "text" else f"own_{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from crispstar.llm.common import identified, in_arrow, raw
+from crispstar.llm.common import identified, in_arrow, raw, sliced, unused
 from crispstar.llm.components import components
 from crispstar.session import materialize
 
@@ -46,9 +46,10 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int = SHI
     """``id, fp`` of every row; the fingerprint as a signed long."""
 
     def rows(batch: pa.RecordBatch) -> Iterable[tuple]:
-        for i, text in zip(batch.column("id").to_pylist(), raw(batch, "text")):
-            fp = fingerprint(text, shingle)
-            yield i, fp - (fp >> 63 << 64)
+        for part in sliced(batch, "text"):
+            for i, text in zip(part.column("id").to_pylist(), raw(part, "text")):
+                fp = fingerprint(text, shingle)
+                yield i, fp - (fp >> 63 << 64)
 
     return in_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), rows, "id long, fp long")
 
@@ -131,7 +132,8 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     shards = F.explode(F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(masks(radius))]))
     members = (
-        distinct.select("fp", shards.alias("shard"))
+        # Few files of fingerprints would be few tasks, each with 28 rows for one.
+        distinct.repartition("fp").select("fp", shards.alias("shard"))
         .groupBy("shard.mask", "shard.bits")
         .agg(F.collect_list("fp").alias("fps"))
         .filter(F.size("fps") > 1)
@@ -168,7 +170,15 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``docs`` per component: the one with the smallest id."""
-    keyed = identified(docs, id_col, "near_key")
-    kept = simhash_components(keyed, "near_key", text_col).filter(F.col("near_key") == F.col("component_id"))
-    return keyed.join(kept.select("near_key"), "near_key", "left_semi").select(*docs.columns)
+    """One row of ``docs`` per component, with its columns, whatever these are called.
+
+    The row with the smallest id stays, NULL ids last; of rows with one id the one read first. All texts without
+    words, NULL and empty ones included, are one component; an empty table gives no rows.
+    """
+    key = unused(docs, "near_key")
+    keyed = identified(docs, id_col, key)
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "row")
+    ids = keyed.select(F.col(key).alias("row"), F.col(id_col).cast("long").alias("id"))
+    found = simhash_components(keyed, key, text_col).select(F.col(key).alias("row"), "component_id")
+    kept = found.join(ids, "row").groupBy("component_id").agg(F.min(place)["row"].alias(key)).select(key)
+    return keyed.join(kept, key, "left_semi").select(*docs.columns)

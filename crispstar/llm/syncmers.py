@@ -17,12 +17,11 @@ from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from crispstar.llm.common import arrow_types, batched, raw, text_of
+from crispstar.llm.common import arrow_types, batched, raw, sliced, text_of
 from crispstar.session import materialize
 
 K, S = 32, 8
@@ -163,14 +162,8 @@ def anchors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
 
 def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Consecutive rows with about a block's size of text, so that no batch is copied whole."""
-    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
-    first, size = 0, 0
-    for i, n in enumerate(sizes.tolist(), 1):
-        size += n
-        if size >= _BLOCK or i == batch.num_rows:
-            rows = batch.slice(first, i - first)
-            yield rows, [t.decode("utf-8", "replace") for t in raw(rows, "text")]
-            first, size = i, 0
+    for rows in sliced(batch, "text", _BLOCK):
+        yield rows, [t.decode("utf-8", "replace") for t in raw(rows, "text")]
 
 
 def edited(text: str, following: str) -> str:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,14 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from crispstar.llm.common import in_arrow, raw
+from crispstar.llm.common import BoundedCache, in_arrow, raw, sliced
 from crispstar.session import materialize
 
 # Bounds of what the model is fitted on: documents of each kind, and word features.
 POSITIVES, UNLABELLED, FEATURES = 6_000, 12_000, 2_048
 LEAST_SUPPORT, LEAST_RATIO = 4, 3.0
 _LETTERS = re.compile(r"[^\W\d_]+")
-_CACHED = 400_000
 # Evidence is weighed over windows of two stretches of so many words.
 STRETCH = 128
 
@@ -67,6 +66,10 @@ def nn_pu_fit(x: np.ndarray, positive: np.ndarray, prior: float, seed: int = 0,
     return w, float(b)
 
 
+def _hits_bytes(made: tuple[int, tuple]) -> int:
+    return 120 + 100 * len(made[1])
+
+
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
@@ -83,7 +86,7 @@ class Model:
     def __init__(self, features: list[int], weights: np.ndarray, biases: np.ndarray):
         self.at = {f: i for i, f in enumerate(features)}
         self.weights, self.biases = weights, biases
-        self.known: dict[bytes, tuple[int, tuple]] = {}
+        self.known = BoundedCache(self._words, _hits_bytes)
 
     def _words(self, chunk: bytes) -> tuple[int, tuple[tuple[int, tuple[int, ...]], ...]]:
         """How many words a chunk has, and the place and feature numbers of those that have any."""
@@ -95,11 +98,7 @@ class Model:
         """How many words a text has, and the numbers of the features of each stretch that has any."""
         known, found, at = self.known, {}, 0
         for chunk in text.split():
-            seen = known.get(chunk)
-            if seen is None:
-                if len(known) >= _CACHED:
-                    known.clear()
-                known[chunk] = seen = self._words(chunk)
+            seen = known[chunk]
             for n, hits in seen[1]:
                 found.setdefault((at + n) // STRETCH, set()).update(hits)
             at += seen[0]
@@ -118,8 +117,8 @@ class Model:
 
 
 def _sample(ids: DataFrame, n: int, seed: int) -> DataFrame:
-    """At most ``n`` ids, the same in each run."""
-    return ids.orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(n)
+    """At most ``n`` different ids, the same in each run."""
+    return ids.distinct().orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(n)
 
 
 def fit(
@@ -149,11 +148,13 @@ def fit(
     )
 
     def rows(batch: pa.RecordBatch) -> Iterable[tuple]:
-        for positive, text in zip(batch.column("positive").to_pylist(), raw(batch, "text")):
-            yield positive, list({f for chunk in set(text.split()) for f in word_features(chunk)})
+        for part in sliced(batch, "text"):
+            for i, positive, text in zip(part.column("doc_id").to_pylist(), part.column("positive").to_pylist(), raw(part, "text")):
+                yield i, positive, sorted({f for chunk in set(text.split()) for f in word_features(chunk)})
 
-    sampled = named.join(F.broadcast(chosen), "doc_id")
-    sample = materialize(in_arrow(sampled, rows, "positive boolean, features array<long>", 500), "sample")
+    sampled = in_arrow(named.join(F.broadcast(chosen), "doc_id"), rows, "doc_id long, positive boolean, features array<long>", 500)
+    # An id that many rows share is one example, whatever its rows are.
+    sample = materialize(sampled.groupBy("doc_id", "positive").agg(F.min("features").alias("features")), "sample")
     n_u, n_p = (sample.filter(x).count() for x in ("not positive", "positive"))
     empty = Model([], np.zeros((0, 1)), np.full(1, -1e3))
     if not n_u or not n_p:
@@ -184,23 +185,21 @@ def fit(
     return Model(chosen_features, np.array([w for w, _ in fitted]).T, np.array([b for _, b in fitted]))
 
 
-def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Score every whole text: ``id, score`` (0 to 1)``, predicted`` (1 from 0.5 on), and columns to ``keep``.
+def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Score every whole text: ``id, score`` (0 to 1)``, predicted`` (1 from 0.5 on).
 
     NULL and empty texts get the score of a text without any feature. NULL ids and
-    repeated rows are scored like any other row.
+    repeated rows are scored like any other row; other columns are ignored.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(batch: pa.RecordBatch) -> Iterable[tuple]:
-        scores = [sent.value.score(t) for t in raw(batch, "text_")]
-        kept = [batch.column(c).to_pylist() for c in keep or []]
-        yield from zip(batch.column("id_").to_pylist(), scores, [int(s >= 0.5) for s in scores], *kept)
+        for part in sliced(batch, "text"):
+            scores = [sent.value.score(t) for t in raw(part, "text")]
+            yield from zip(part.column("id").to_pylist(), scores, [int(s >= 0.5) for s in scores])
 
-    carried = [docs.schema[c] for c in keep or []]
-    schema = ", ".join(["id_ long", "score double", "predicted int", *(f"`{f.name}` {f.dataType.simpleString()}" for f in carried)])
-    read = docs.select(F.col(id_col).cast("long").alias("id_"), F.col(text_col).alias("text_"), *(keep or []))
-    return in_arrow(read, rows, schema, 2000).withColumnRenamed("id_", f"scored_{id_col}" if id_col in (keep or []) else id_col)
+    read = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return in_arrow(read, rows, "id long, score double, predicted int", 2000).withColumnRenamed("id", id_col)
 
 
 def fold(id_col: str = "doc_id") -> Column:
@@ -219,6 +218,18 @@ def held_out_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id"
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with a score below 0.5."""
+    """The rows of ``docs`` with a score below 0.5, all their columns as they are.
+
+    NULL and empty texts stay; repeated rows are scored alike, so all go or all stay; an empty table gives no
+    rows. Columns may have any name but those of ``id_col`` and ``text_col`` twice. A batch is filtered by a mask: nothing
+    but the texts, a slice at a time, becomes a Python value.
+    """
     model = fit(docs, labels, fold("doc_id") != 0, id_col, text_col)
-    return toxicity(docs, model, id_col, text_col, docs.columns).filter("predicted = 0").select(*docs.columns)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in sliced(batch, text_col):
+                yield part.filter(pa.array([sent.value.score(t) < 0.5 for t in raw(part, text_col)], pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)

@@ -1,5 +1,27 @@
-"""Clickstream as a stream."""
+"""Clickstream and tickets as streams."""
 
-from crispstar.streaming.clickstream import event_counts, silver_stream, undated_events, unique_events, write_counts
+from crispstar.streaming.clickstream import (
+    append,
+    event_counts,
+    late_rows,
+    silver_stream,
+    state_rows,
+    stream_sessions,
+    undated_events,
+    unique_events,
+    write_counts,
+)
+from crispstar.streaming.joins import followed_by
 
-__all__ = ["event_counts", "silver_stream", "undated_events", "unique_events", "write_counts"]
+__all__ = [
+    "append",
+    "event_counts",
+    "followed_by",
+    "late_rows",
+    "silver_stream",
+    "state_rows",
+    "stream_sessions",
+    "undated_events",
+    "unique_events",
+    "write_counts",
+]

@@ -887,14 +887,4 @@ CHECKS: dict[str, str] = {
         + ", ".join(f"if(coalesce({rule}, false), NULL, '{name}')" for name, rule in ORDER_RULES.items())
         + ") AS failed_rules FROM bronze_orders) WHERE failed_rules <> ''",
     ),
-    "stream_window_counts": over(
-        "silver_clickstream",
-        """SELECT date_trunc('day', timestamp) AS window_start, event_type, count(*) AS events
-        FROM silver_clickstream GROUP BY ALL""",
-    ),
-    "stream_clickstream": over(
-        "silver_clickstream",
-        """SELECT date_trunc('day', timestamp) AS window_start, event_type, count(DISTINCT event_id) AS events
-        FROM silver_clickstream WHERE timestamp IS NOT NULL GROUP BY ALL""",
-    ),
 }

@@ -14,7 +14,7 @@ import duckdb
 from pyspark.sql import DataFrame, SparkSession
 
 from crispstar.session import prepare
-from registry.checks import CHECKS
+from registry.oracle import CHECKS
 from registry.queries import queries
 
 # Spark type name -> the DuckDB types that hold the same values.

@@ -19,7 +19,7 @@ from crispstar.operators.keys import surrogate_key
 from crispstar.plans import gold, kpi, silver
 from crispstar.session import materialize, scratch_path
 from crispstar.sources import landing, schemas, tables
-from crispstar.streaming import event_counts, silver_stream, unique_events, write_counts
+from registry import time_queries
 from registry.tables import Layers
 
 Query = Callable[[Layers], DataFrame]
@@ -113,17 +113,6 @@ def _projection(table: str, *cols: str, **cleaned) -> Query:
 # --- streaming --------------------------------------------------------------
 
 
-def _stream_clickstream(t: Layers) -> DataFrame:
-    """Files in, cleaned and unique events out as files, counted per day and type."""
-    source, sink, state = (scratch_path(t.spark, f"stream-{x}") for x in ("in", "out", "state"))
-    t.bronze("clickstream").repartition("event_id").write.parquet(source)
-    events = unique_events(silver_stream(t.spark, source))
-    writer = events.writeStream.format("parquet").option("path", sink).option("checkpointLocation", state)
-    writer.outputMode("append").trigger(availableNow=True).start().awaitTermination()
-    counted = event_counts(t.spark.read.schema(events.schema).parquet(sink))
-    return counted.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
-
-
 def _incremental_load(t: Layers) -> DataFrame:
     """One market segment arrives again with cleaned names and replaces its customers."""
     raw = t.bronze("customers")
@@ -131,15 +120,6 @@ def _incremental_load(t: Layers) -> DataFrame:
     return incremental_load(raw, batch, "customer_id")
 
 
-def _stream_window_counts(t: Layers) -> DataFrame:
-    """Files in any order, a few at a time: counts per day and type, late and undated events included."""
-    source, sink, state = (scratch_path(t.spark, f"windows-{x}") for x in ("in", "out", "state"))
-    t.bronze("clickstream").repartition(6, "event_id").write.parquet(source)
-    write_counts(silver_stream(t.spark, source, files_per_trigger=2), sink, state).awaitTermination()
-    counted = t.spark.read.parquet(sink)
-    return counted.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
-
-
 def _load_partitions(t: Layers) -> DataFrame:
     """Orders kept by payment method: a batch that is newer for some orders and older for others."""
     path = scratch_path(t.spark, "orders-by-method")
@@ -372,8 +352,7 @@ QUERIES: dict[str, Query] = {
     "load_partitions": _load_partitions,
     "quality_rules": lambda t: rules.quality_rules(t.bronze("orders"), _order_rules()),
     "quality_quarantine": lambda t: _quarantine(t),
-    "stream_clickstream": _stream_clickstream,
-    "stream_window_counts": _stream_window_counts,
+    **time_queries.QUERIES,
 }
 
 

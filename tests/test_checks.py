@@ -2,7 +2,7 @@
 
 import pytest
 
-from registry.checks import CHECKS
+from registry.oracle import CHECKS
 from registry.compare import connect, differences
 from registry.queries import QUERIES
 from tests.conftest import SMALL

@@ -112,8 +112,8 @@ def _quotas(sources: DataFrame, weights, repeats: int, block: int, shards: int,
     return materialize(named.join(listed, F.col("source").eqNullSafe(F.col("of_source")), "left").drop("source"), "quotas")
 
 
-def _placed(docs: DataFrame, key: str, id_col: str, weights, repeats: int, block: int, shards: int, seed: str) -> DataFrame:
-    """``key`` and the stretch ``begin, end`` of its source's words that each row fills, with the source's quotas.
+def _placed(docs: DataFrame, key: str, id_col: str, weights, repeats: int, block: int, shards: int, seed: str) -> tuple[DataFrame, DataFrame]:
+    """``row_id, source`` and the words ``upto`` the end of each row in the order of all rows; and the quotas of the sources.
 
     A source's rows follow each other in a seeded order of their id and text, as part of one order of all rows.
     """
@@ -129,7 +129,12 @@ def _placed(docs: DataFrame, key: str, id_col: str, weights, repeats: int, block
     sources = materialize(sized.groupBy("source").agg(F.sum("size").alias("source_size")), "sources")
     quotas = _quotas(sources, weights, repeats, block, shards, seed)
     summed = running_sum(in_blocks(sized, ["source", "salt", "size"]), F.col("size"), "upto")
-    joined = summed.join(quotas, F.col("source").eqNullSafe(F.col("of_source")))
+    return summed.select("row_id", "source", "size", "upto"), quotas
+
+
+def _with_quotas(rows: DataFrame, quotas: DataFrame) -> DataFrame:
+    """The stretch ``begin, end`` of its source's words that each row fills, with the source's quotas."""
+    joined = rows.join(quotas, F.col("source").eqNullSafe(F.col("of_source")))
     return joined.withColumn("end", F.col("upto") - F.col("before")).withColumn("begin", F.col("end") - F.col("size"))
 
 
@@ -175,7 +180,7 @@ def mix(
     its target: one of the apportionment, one of that last block. A source below one block is taken in whole
     rounds, to the nearest.
     """
-    rows = _placed(docs, id_col, id_col, weights, repeats, block, shards, seed)
+    rows = _with_quotas(*_placed(docs, id_col, id_col, weights, repeats, block, shards, seed))
     taken = F.when(F.col("size") > 0, _upto(F.col("end"), block, shards) - _upto(F.col("begin"), block, shards)).otherwise(0)
     return rows.select(
         F.col("row_id").alias(id_col), "size", "source_size", F.col("target").cast("double").alias("target"), taken.cast("long").alias("taken")
@@ -196,9 +201,10 @@ def mixed(
     keyed = identified(docs, id_col, key)
     own = keyed.select(F.col(key).alias("own_key"), *[F.col(c).alias(f"own_{i}") for i, c in enumerate(docs.columns)])
     own_text = F.col(f"own_{[c.lower() for c in docs.columns].index('text')}")
-    placed = _placed(keyed, key, id_col, weights, repeats, block, shards, seed).filter(F.col("size") > 0)
-    rows = own.join(placed.select("row_id", "begin", "shards", "n", "rounds"), F.col("own_key") == F.col("row_id"))
-    turns = rows.withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("rounds").cast("int") + 1)))
+    placed, quotas = _placed(keyed, key, id_col, weights, repeats, block, shards, seed)
+    # The quotas of a source, a kilobyte, join last: they are not shuffled with every row.
+    rows = own.join(placed.filter(F.col("size") > 0), F.col("own_key") == F.col("row_id"))
+    turns = _with_quotas(rows, quotas).withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("rounds").cast("int") + 1)))
     words = F.regexp_extract_all(text_of(own_text), F.lit(WORD), F.lit(0))
     block_of = lambda i: F.call_function("div", F.col("begin") + i, F.lit(block))
     kept = F.filter(words, lambda _, i: _draws(block_of(i) + 1, shards) - _draws(block_of(i), shards) >= F.col("turn"))

@@ -18,6 +18,7 @@ from crispstar.session import materialize
 POSITIVES, UNLABELLED, FEATURES = 6_000, 12_000, 2_048
 LEAST_SUPPORT, LEAST_RATIO = 4, 3.0
 _LETTERS = re.compile(r"[^\W\d_]+")
+_CACHE_BYTES = 96 << 20
 # Evidence is weighed over windows of two stretches of so many words.
 STRETCH = 128
 
@@ -86,7 +87,7 @@ class Model:
     def __init__(self, features: list[int], weights: np.ndarray, biases: np.ndarray):
         self.at = {f: i for i, f in enumerate(features)}
         self.weights, self.biases = weights, biases
-        self.known = BoundedCache(self._words, _hits_bytes)
+        self.known = BoundedCache(self._words, _hits_bytes, _CACHE_BYTES)
 
     def _words(self, chunk: bytes) -> tuple[int, tuple[tuple[int, tuple[int, ...]], ...]]:
         """How many words a chunk has, and the place and feature numbers of those that have any."""

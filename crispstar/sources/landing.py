@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 
+_LOAD = "__load_"
+
+
 def csv_scan(
     spark: SparkSession,
     path: str,
@@ -16,19 +19,20 @@ def csv_scan(
     bad_records: str | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Read a headered CSV. Without a schema Spark infers the types in an extra pass.
+    """Read a headered CSV. Without a schema Spark infers the types in an extra pass, and the names are those of the header.
 
     With a schema its columns are taken by their clean name, wherever they stand in
     the header; other columns of the header are left out, and a declared column that
-    is not there is an error. Every file must have the header of the first. A line with too
+    is not there is an error. Every file must have the header of the first. In both cases a line with too
     few or too many fields, or with a value not of its type, goes whole into the
-    column ``bad_records``; without that argument it ends the job.
+    column ``bad_records``; without that argument it ends the job. Nothing is cut off in silence.
 
     Quoted line breaks need ``multi_line``, which reads each file in one task.
     """
     reader = spark.read.options(header=True, multiLine=multi_line)
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
+        inferred = reader.option("inferSchema", True).csv(path).schema
+        return _whole_lines(spark, path, inferred.fields, bad_records, multi_line)
     header = reader.csv(path).columns
     declared = {f.name: f.dataType for f in schema}
     names = clean_names(header)
@@ -36,15 +40,21 @@ def csv_scan(
     if missing:
         raise ValueError(f"columns not in the header of {path}: {missing}")
     fields = [StructField(raw, declared.get(c, StringType())) for raw, c in zip(header, names)]
+    scanned = _whole_lines(spark, path, fields, bad_records, multi_line)
+    kept = [*names, *([bad_records] if bad_records else [])]
+    return scanned.toDF(*kept).select(*declared, *kept[len(names) :])
+
+
+def _whole_lines(spark: SparkSession, path: str, fields: list[StructField], bad_records: str | None, multi_line: bool) -> DataFrame:
+    """The fields of the whole header; a line that does not fit them goes into ``bad_records`` or ends the job."""
+    reader = spark.read.options(header=True, multiLine=multi_line)
     if bad_records:
-        fields.append(StructField(bad_records, StringType()))
+        fields = [*fields, StructField(bad_records, StringType())]
         reader = reader.option("columnNameOfCorruptRecord", bad_records)
     else:
         reader = reader.option("mode", "FAILFAST")
     # Lines are held against the whole header, also where few columns are asked for.
-    scanned = reader.options(enforceSchema=False, columnPruning=False).schema(StructType(fields)).csv(path)
-    kept = [*names, *([bad_records] if bad_records else [])]
-    return scanned.toDF(*kept).select(*declared, *kept[len(names) :])
+    return reader.options(enforceSchema=False, columnPruning=False).schema(StructType(fields)).csv(path)
 
 
 def clean_name(name: str) -> str:
@@ -76,22 +86,32 @@ def bronze_load(
     bad_records: str | None = "corrupt_record",
     multi_line: bool = False,
 ) -> list[str]:
-    """Load each named file below ``base`` into a table, replacing it; returns the table names.
+    """Load each named file below ``base`` and show it under its name, in the place of the load before; returns the names.
 
-    A table is replaced only once its new rows are written, so a failed load leaves
-    the old one. With a ``location`` each load is a folder of its own below it, and
-    older loads stay until they are removed; otherwise tables are in the warehouse
-    folder. Tables with a schema keep malformed lines in ``bad_records``.
+    Each load is a table of its own, and the name is a view of the newest, replaced in one step
+    once its rows are written: a reader sees the old load or the new one, and a failed
+    load leaves the old one. With a ``location`` the loads are folders below it, otherwise
+    in the warehouse folder. Older loads stay until ``drop_old_loads``. Malformed lines are kept in ``bad_records``.
     """
     loaded = []
     for name, file_name in files.items():
         raw = csv_scan(spark, f"{base.rstrip('/')}/{file_name}", (schemas or {}).get(name), bad_records, multi_line)
-        target, staged = f"{database}.{name}", f"{database}.{name}__loading"
-        writer = sanitize_columns(raw).write.mode("overwrite")
+        load = uuid.uuid4().hex[:12]
+        target, staged = f"{database}.{name}", f"{database}.{name}{_LOAD}{load}"
+        writer = sanitize_columns(raw).write
         if location:
-            writer = writer.option("path", f"{location.rstrip('/')}/{name}/load-{uuid.uuid4().hex[:12]}")
+            writer = writer.option("path", f"{location.rstrip('/')}/{name}/load-{load}")
         writer.saveAsTable(staged)
-        spark.sql(f"DROP TABLE IF EXISTS {target}")
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {target}")
+        spark.sql(f"CREATE OR REPLACE VIEW {target} AS SELECT * FROM {staged}")
         loaded.append(target)
     return loaded
+
+
+def drop_old_loads(spark: SparkSession, name: str, database: str = "default") -> list[str]:
+    """Drop all loads of a name but the one it shows; returns what was dropped. No reader may use them any more."""
+    shown = spark.sql(f"SHOW CREATE TABLE {database}.{name}").first()[0]
+    loads = [t.name for t in spark.catalog.listTables(database) if t.name.startswith(f"{name}{_LOAD}")]
+    old = [f"{database}.{t}" for t in loads if t not in shown]
+    for table in old:
+        spark.sql(f"DROP TABLE {table}")
+    return old

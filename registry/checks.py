@@ -867,11 +867,11 @@ CHECKS: dict[str, str] = {
     "load_partitions": over(
         "bronze_orders",
         f"""SELECT if(again, 'again', status) AS status, if(again, 4, revision) AS revision,
-        * EXCLUDE (status, revision, again)
-        FROM (SELECT *, revision <= 4 AND payment_method <> 'iou' AS again FROM (
+        if(again AND order_id LIKE '%1', 'voucher', payment_method) AS payment_method,
+        * EXCLUDE (status, revision, payment_method, again)
+        FROM (SELECT *, revision <= 4 AND payment_method IN ('UPI', 'cash') AS again FROM (
           SELECT DISTINCT ON (order_id) *, CAST(length(order_amount) AS INTEGER) AS revision
-          FROM bronze_orders ORDER BY order_id, {first(*ORDER_COLS.split()[1:])}))
-        WHERE payment_method IN ('UPI', 'cash', 'iou')""",
+          FROM bronze_orders ORDER BY order_id, {first(*ORDER_COLS.split()[1:])}))""",
     ),
     "quality_rules": over(
         "bronze_orders",

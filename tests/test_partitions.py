@@ -4,7 +4,8 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from crispstar.operators.incremental import incremental_load, load_partitions
+from crispstar.operators import incremental
+from crispstar.operators.incremental import incremental_load, load_partitions, recover_partitions
 from crispstar.plans import gold, kpi
 from crispstar.sources import tables
 from crispstar.streaming import silver_stream, undated_events
@@ -58,3 +59,46 @@ def test_undated_events_are_kept_beside(spark, tmp_path):
     writer.trigger(availableNow=True).start().awaitTermination()
     got = spark.read.schema(out.schema).parquet(f"{tmp_path}/out")
     assert rows(got.select("event_id", F.col("timestamp").isNull())) == [("E2", True), ("E2", True)]
+
+
+SCHEMA = "k int, v int, part string"
+
+
+def stored(spark, path):
+    return rows(spark.read.schema(SCHEMA).parquet(path).select("k", "v", "part"))
+
+
+def test_a_key_may_change_its_partition(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, 1, "x"), (2, 1, "x"), (3, 1, "a b/c"), (4, 1, None), (5, 1, "z")], SCHEMA).write.partitionBy("part").parquet(path)
+    load_partitions(spark, path, spark.createDataFrame([(1, 2, "y"), (3, 2, "y"), (4, 2, "z")], SCHEMA), "k", "part")
+    # Two partitions are emptied by it, and gone.
+    assert stored(spark, path) == [(1, 2, "y"), (2, 1, "x"), (3, 2, "y"), (4, 2, "z"), (5, 1, "z")]
+    assert sorted(f.name for f in Path(path).iterdir() if f.name.startswith("part=")) == ["part=x", "part=y", "part=z"]
+    older = spark.createDataFrame([(5, 0, "x")], SCHEMA)
+    load_partitions(spark, path, older, "k", "part", newest_by="v")
+    assert (5, 1, "z") in stored(spark, path) and len(stored(spark, path)) == 5
+
+
+def test_a_load_that_fails_halfway_is_done_again(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, 1, "x"), (2, 1, "y"), (3, 1, "z")], SCHEMA).write.partitionBy("part").parquet(path)
+    batch = spark.createDataFrame([(1, 2, "x"), (2, 2, "x")], SCHEMA)
+
+    def fails(spark, path, load, emptied, applied=False):
+        note(spark, path, load, emptied, applied)
+        raise RuntimeError("lost")
+
+    note = incremental._note
+    monkeypatch.setattr(incremental, "_note", fails)
+    try:
+        load_partitions(spark, path, batch, "k", "part")
+    except RuntimeError:
+        pass
+    monkeypatch.undo()
+    # The load is ready, and of what it replaces some is already gone.
+    incremental._remove(spark, f"{path}/part=x")
+    assert stored(spark, path) == [(2, 1, "y"), (3, 1, "z")]
+    assert len(recover_partitions(spark, path, batch.schema, "part")) == 1
+    assert stored(spark, path) == [(1, 2, "x"), (2, 2, "x"), (3, 1, "z")]
+    assert recover_partitions(spark, path, batch.schema, "part") == []

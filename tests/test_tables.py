@@ -32,9 +32,32 @@ def test_csv_types(spark, tmp_path):
     names = landing.bronze_load(spark, {"loaded_x": "x.csv"}, str(tmp_path))
     again = landing.bronze_load(spark, {"loaded_x": "x.csv"}, str(tmp_path))
     assert names == again == ["default.loaded_x"]
-    assert spark.table("loaded_x").columns == ["a", "b_s"]
+    assert spark.table("loaded_x").columns == ["a", "b_s", "corrupt_record"]
     assert spark.table("loaded_x").count() == 2
-    spark.sql("DROP TABLE loaded_x")
+    assert len(landing.drop_old_loads(spark, "loaded_x")) == 1 and landing.drop_old_loads(spark, "loaded_x") == []
+    assert spark.table("loaded_x").count() == 2
+    drop(spark, "loaded_x")
+
+
+def drop(spark, name):
+    spark.sql(f"DROP VIEW {name}")
+    for t in spark.catalog.listTables():
+        if t.name.startswith(f"{name}__load_"):
+            spark.sql(f"DROP TABLE {t.name}")
+
+
+def test_no_field_is_lost_without_a_schema(spark, tmp_path):
+    path = tmp_path / "s.csv"
+    path.write_text("n,day\n1,2024-01-01\n2,2024-01-02,more\n3\n4,2024-01-04\n")
+    got = landing.csv_scan(spark, str(path), bad_records="bad")
+    assert [f.dataType.simpleString() for f in got.schema] == ["int", "date", "string"]
+    assert [(r["n"], r["bad"]) for r in sorted(got.collect())] == [(1, None), (2, "2,2024-01-02,more"), (3, "3"), (4, None)]
+    assert rows(got.select("n").filter("n > 3")) == [(4,)]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        landing.csv_scan(spark, str(path)).collect()
+    names = landing.bronze_load(spark, {"loaded_s": "s.csv"}, str(tmp_path))
+    assert spark.table(names[0]).filter("corrupt_record is not null").count() == 2
+    drop(spark, "loaded_s")
 
 
 def test_explicit_schema_needs_no_inference_job(spark, tmp_path):
@@ -85,8 +108,7 @@ def test_a_failed_load_leaves_the_old_table(spark, tmp_path):
     assert rows(spark.table("loaded_y")) == [("P1", "Car", "toys", "5", None)]
     load()
     assert spark.table("loaded_y").first()["corrupt_record"] == "P1,Car,toys,5,6"
-    spark.sql("DROP TABLE loaded_y")
-    spark.sql("DROP TABLE IF EXISTS loaded_y__loading")
+    drop(spark, "loaded_y")
 
 
 def test_modes(spark, numbers, tmp_path):

@@ -4,16 +4,15 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterable
-from functools import reduce
+from collections.abc import Iterable, Iterator
+from functools import cache
 from hashlib import blake2b
-from operator import or_
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crispstar.llm.common import in_arrow, raw, text_of
+from crispstar.llm.common import in_arrow, raw, sliced, text_of
 from crispstar.session import materialize
 
 # Forms of address that tell a gender or none ("u"; one that ends in a full stop needs it), given names by
@@ -73,12 +72,11 @@ PATTERNS = {
     "phone": rf"(?<![\w+])(?<!\d[.,-])(?!{_DATE})(?:\+\d(?:{_STOP}[ ./()-]{{0,3}}\d){{6,14}}|(?=(?:[ ./()-]{{0,2}}\d){{7}})\(?0\d{{1,4}}\)?(?:{_STOP}[ ./-]{{1,2}}\d{{2,8}}){{1,5}}|\d{{3}}-\d{{4}}|\d{{10,15}}|{_GROUPS})(?!\w)",
     "person": rf"(?<!\w)(?=[{''.join(sorted({a[0] for a in _GENDER}))}])(?:(?:{TITLES})(?:[  ]+|(?<=\.)))+(?P<names>{_NAMED}(?:(?:[  ]+|(?<=\.))(?!(?:{TITLES})(?!\w)){_NAMED})*)",
 }
-_ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items()))
-# Every pattern needs one of these or a form of address; those are sought one by one, as bytes.
-NEEDED = r"[0-9@]|[a-fA-F]{32}"
-# Short titles in small letters are sought with what follows them: they stand within many words.
-STEMS = sorted({b for a in _GENDER for b in ([a + c for c in " \u00a0."] if a.islower() and len(a) < 5 and a[-1] != "." else [a])})
-STEMS = [a for a in STEMS if not any(b != a and b in a for b in STEMS)]
+_PERSON = re.compile(PATTERNS["person"])
+# What a text must hold for a pattern to match: cheap to seek in its bytes.
+_SEVEN_DIGITS = re.compile(rb"[0-9](?:[ ./()+-]{0,4}[0-9]){6}")
+_DOTTED, _ACCOUNT = re.compile(rb"[0-9]\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]"), re.compile(rb"[A-Z][A-Z][0-9][0-9]")
+_IS_HEX = bytes(ord("h") if chr(c) in "0123456789abcdefABCDEF" else ord(" ") for c in range(256))
 _LIMIT, _GIVEN_LIMIT = 12, 3
 Piece = tuple[int, int, str, str]
 
@@ -142,14 +140,37 @@ def _persons(matches: list[re.Match]) -> tuple[list[tuple[str, str, list[Piece]]
     return out, {v: gendered.get(v, k) if k == "given-u" else k for v, k in kinds.items()}
 
 
+def possible(data: bytes, text: str) -> tuple[str, ...]:
+    """The patterns that may match in a text; the others cannot."""
+    digits = re.search(rb"[0-9]", data) is not None
+    seven = digits and _SEVEN_DIGITS.search(data) is not None
+    held = {
+        "email": b"@" in data,
+        "secret": b"h" * 32 in data.translate(_IS_HEX),
+        "ip": digits and _DOTTED.search(data) is not None,
+        "ipv6": digits and (b"::" in data or data.count(b":") >= 7),
+        "iban": digits and _ACCOUNT.search(data) is not None,
+        "card": seven,
+        "national": seven,
+        "phone": seven,
+        "person": _PERSON.search(text) is not None,
+    }
+    return tuple(k for k in PATTERNS if held[k])
+
+
+@cache
+def _any_of(kinds: tuple[str, ...]) -> re.Pattern:
+    return re.compile("|".join(f"(?P<{k}>{PATTERNS[k]})" for k in kinds))
+
+
 def found_in(text: str) -> list[tuple[int, int, str, str, list[Piece]]]:
     """Begin, end, type and value of what is found, and the pieces that get a surrogate each.
 
     A person is a name after a form of address, or a name of such a person that stands
     alone anywhere in the same text.
     """
-    out, persons = [], []
-    for m in _ANY.finditer(text):
+    kinds, out, persons = possible(text.encode("utf-8", "replace"), text), [], []
+    for m in _any_of(kinds).finditer(text) if kinds else ():
         kind, found, begin, end = m.lastgroup, m.group(), m.start(), m.end()
         if kind == "person":
             persons.append(m)
@@ -164,7 +185,7 @@ def found_in(text: str) -> list[tuple[int, int, str, str, list[Piece]]]:
         out.append((begin, end, kind, value, [(begin, end, kind, value)]))
     if not persons:
         return out
-    named, kinds = _persons(persons)
+    named, names = _persons(persons)
     out += [(p[0][0], p[-1][1], kind, value, p) for kind, value, p in named if p]
     out.sort()
     bare, at = [], 0
@@ -172,7 +193,7 @@ def found_in(text: str) -> list[tuple[int, int, str, str, list[Piece]]]:
     for begin, end in [*spans, (len(text), len(text))]:
         for x in _BARE.finditer(text, at, begin):
             value = _bare_value(x.group())
-            if len(value) > 1 and (kind := kinds.get(value)):
+            if len(value) > 1 and (kind := names.get(value)):
                 gender = "u" if kind == "family" else kind[-1]
                 bare.append((x.start(), x.end(), f"person-{gender}", value, [(x.start(), x.end(), kind, value)]))
         at = end
@@ -215,6 +236,11 @@ def _luhn(digits: str) -> int:
     return sum(d - 9 * (d > 9) for d in twice) % 10
 
 
+def _iban_rest(value: str) -> int:
+    """The remainder that is 1 for a valid account number."""
+    return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97
+
+
 def surrogate(kind: str, value: str, attempt: int, key: bytes) -> str:
     """The surrogate that a value gets at an attempt. After some, it may be longer than the value."""
     draw = _Draw(key, kind, value, attempt)
@@ -247,7 +273,9 @@ def surrogate(kind: str, value: str, attempt: int, key: bytes) -> str:
     if kind == "secret":
         return "".join("0123456789abcdef"[draw.below(16)] for _ in value)
     if kind == "iban":
-        return value[:2] + "".join(_like(c, draw) for c in value[2:])
+        checked = _iban_rest(value) == 1
+        rest = "".join(_like(c, draw) for c in value[4 if checked else 2 :])
+        return f"{value[:2]}{98 - _iban_rest(f'{value[:2]}00{rest}'):02}{rest}" if checked else value[:2] + rest
     digits = value[0] + "".join(str(draw.below(10)) for _ in value[1:]) + "".join(str(draw.below(10)) for _ in range(longer))
     if kind == "card" and _luhn(value) == 0:
         digits = next(d for d in (digits[:-1] + str(i) for i in range(10)) if _luhn(d) == 0)
@@ -299,10 +327,12 @@ def assigned(values: DataFrame, key: bytes) -> DataFrame:
     taken = values.select(group("kind").alias("group"), F.col("value").alias("surrogate")).distinct()
     pending, done = values.withColumn("attempt", F.lit(0)), None
     while True:
-        first = Window.partitionBy("group", "surrogate").orderBy("attempt", "kind", "value")
-        drawn = _drawn(pending, key).withColumn("group", group("kind")).withColumn("place", F.row_number().over(first))
-        free = drawn.join(taken.withColumn("in_use", F.lit(True)), ["group", "surrogate"], "left")
-        found = materialize(free.withColumn("kept", (F.col("place") == 1) & F.col("in_use").isNull()), "surrogates")
+        me = F.struct("attempt", "kind", "value")
+        drawn = materialize(_drawn(pending, key).withColumn("group", group("kind")), "drawn")
+        # The first of each surrogate by a partial minimum: many names draw one of few given names.
+        first = materialize(drawn.groupBy("group", "surrogate").agg(F.min(me).alias("first")), "first")
+        free = drawn.join(first, ["group", "surrogate"]).join(taken.withColumn("in_use", F.lit(True)), ["group", "surrogate"], "left")
+        found = materialize(free.withColumn("kept", (F.col("first") == me) & F.col("in_use").isNull()).drop("first", "in_use"), "surrogates")
         kept = found.filter("kept")
         done = kept if done is None else done.unionByName(kept)
         pending = found.filter("not kept").select("kind", "value", (F.col("attempt") + 1).alias("attempt"))
@@ -324,24 +354,23 @@ def replace_personal(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
     after a title of no gender follows the same name after one that tells it. An
     initial becomes another letter, the same in the whole table.
 
-    Only rows in which a pattern can match are looked at by Python and shuffled; the
-    others pass through. Distinct values are found by partial counts, so one value
+    A row is read twice: once for the values in it, and once to pass it through if it has none; only rows
+    with values are written and shuffled. Distinct values are found by partial counts, so one value
     may stand in any share of the rows. A NULL text stays NULL with the digest of an
     empty one; empty texts, NULL and repeated ids pass through. Repeated rows are replaced alike.
     """
     named = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    addressed = [F.col("text").contains(a) for a in STEMS]
-    may = F.coalesce(reduce(or_, addressed, F.col("text").rlike(NEEDED)), F.lit(False))
 
     def found(batch: pa.RecordBatch) -> Iterable[tuple]:
-        for i, text in zip(batch.column("id").to_pylist(), raw(batch, "text")):
-            held = found_in(text.decode("utf-8", "replace"))
-            if held:
-                seen = sorted({(k, v) for *_, pieces in held for _, _, k, v in pieces if k != "initial"})
-                yield i, text, [{"kind": k, "value": v} for k, v in seen]
+        for part in sliced(batch, "text"):
+            for i, text in zip(part.column("id").to_pylist(), raw(part, "text")):
+                held = found_in(text.decode("utf-8", "replace"))
+                if held:
+                    seen = sorted({(k, v) for *_, pieces in held for _, _, k, v in pieces if k != "initial"})
+                    yield i, text, [{"kind": k, "value": v} for k, v in seen]
 
     schema = "id long, text binary, seen array<struct<kind: string, value: string>>"
-    hits = materialize(in_arrow(named.filter(may), found, schema, 1000).withColumn("row", F.monotonically_increasing_id()), "personal")
+    hits = materialize(in_arrow(named, found, schema, 1000).withColumn("row", F.monotonically_increasing_id()), "personal")
     each = hits.select("row", F.explode("seen").alias("e")).select("row", "e.kind", "e.value")
     values = each.select("kind", "value").distinct()
     told = values.filter("kind IN ('given-m', 'given-f')").groupBy(F.col("value").alias("told_value")).agg(F.min("kind").alias("told"))
@@ -365,13 +394,11 @@ def replace_personal(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_c
 
     changed = in_arrow(hits.select("row", "id", "text").join(by_row, "row", "left"), replaced, "id long, text string, n_entities long", 1000)
 
-    def untouched(batch: pa.RecordBatch) -> Iterable[tuple]:
-        for i, text, none in zip(batch.column("id").to_pylist(), raw(batch, "text"), batch.column("text").is_null().to_pylist()):
-            whole = text.decode("utf-8", "replace")
-            if not found_in(whole):
-                yield i, None if none else whole, 0
+    def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in sliced(batch, "text"):
+                yield part.filter(pa.array([not found_in(t.decode("utf-8", "replace")) for t in raw(part, "text")], pa.bool_()))
 
-    looked = in_arrow(named.filter(may), untouched, "id long, text string, n_entities long", 1000)
-    plain = named.filter(~may).withColumn("n_entities", F.lit(0).cast("long"))
-    out = changed.unionByName(looked).unionByName(plain)
+    plain = named.mapInArrow(untouched, named.schema).withColumn("n_entities", F.lit(0).cast("long"))
+    out = changed.unionByName(plain)
     return out.select(F.col("id").alias(id_col), F.col("text").alias(text_col), "n_entities", F.sha2(text_of("text"), 256).alias("text_sha256"))

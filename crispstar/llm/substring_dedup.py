@@ -214,7 +214,9 @@ _RESULT = "p long, starts array<int>, ends array<int>, rest_starts array<int>, r
 
 def _match(asked: DataFrame, window: int, label: str) -> DataFrame:
     """Stream the passages that ask for a reference through its automaton; a reference asks for its ``own`` passages."""
-    refs = asked.filter("own").select("to", F.col("p").alias("ref_p"), F.col("starts").alias("ref_starts"), F.col("texts").alias("ref_texts"))
+    # Rows that share a route, being equal, all ask for their own passages; one is the reference, the others ask it like any copy.
+    first = asked.filter("own").groupBy("to").agg(F.min_by(F.struct("p", "starts", "texts"), "p").alias("ref"))
+    refs = first.select("to", F.col("ref.p").alias("ref_p"), F.col("ref.starts").alias("ref_starts"), F.col("ref.texts").alias("ref_texts"))
     # Sorted by reference, so that a task builds each automaton once; a hot reference can be split over tasks.
     pairs = asked.join(refs.hint("merge"), "to").select("p", "starts", "texts", "ref_p", "ref_starts", "ref_texts")
     names, types = arrow_types(asked, _RESULT)
@@ -300,7 +302,7 @@ def repeated_spans(
     """
     text = text_of(text_col)
     # Routes a row to what concerns it. Short documents come first and so become the
-    # representatives; two documents with one route share their rows, which changes nothing.
+    # representatives; rows with one route are equal and have one reference.
     route = F.shiftleft(F.least(F.octet_length(text), F.lit((1 << 23) - 1)).cast("long"), 40).bitwiseOR(
         F.xxhash64(F.col(id_col), text).bitwiseAND(F.lit((1 << 40) - 1))
     )
@@ -380,15 +382,24 @@ def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return in_arrow(found, rows, f"`{id_col}` long, n_words long, n_removed long, kept_sha256 string", 5000)
 
 
-def remove_shared(docs: DataFrame, reference: list[str], id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, shard_words: int = _HELD_WORDS) -> DataFrame:
+def remove_shared(
+    docs: DataFrame, reference: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, shard_words: int = _HELD_WORDS,
+    reference_col: str = "text", most_bytes: int = 64 << 20,
+) -> DataFrame:
     """Remove from each text what a given reference holds: the automata of its shards are broadcast.
 
     ``id, kept``: the words not covered by a window that occurs in the reference,
-    joined by one space. For a reference whose size is given, such as a benchmark.
+    joined by one space. For a reference of a checked size, such as a benchmark: beyond ``most_bytes`` of text it
+    is refused, and ``remove_repeated`` over both tables is the way. NULL and empty texts hold nothing, nor does an empty
+    reference; repeated rows are treated alike; other columns are ignored; an empty table gives no rows.
     """
+    held = reference.select(F.col(reference_col).alias("text")).filter(F.col("text").isNotNull())
+    size = held.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > most_bytes:
+        raise ValueError(f"a reference of {size} bytes is too large to be broadcast; {most_bytes} at most")
     shards: list[list[list[bytes]]] = [[]]
-    for text in reference:
-        shards[-1].append((text or "").encode().split())
+    for row in held.orderBy("text").collect():
+        shards[-1].append(row["text"].encode().split())
         if sum(map(len, shards[-1])) >= shard_words:
             shards.append([])
     sent = [docs.sparkSession.sparkContext.broadcast(s) for s in shards if s]

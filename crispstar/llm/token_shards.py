@@ -13,7 +13,8 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from crispstar.llm.common import arrow_types, batched, in_arrow, raw, text_of
+from crispstar.llm.common import arrow_types, batched, in_arrow, raw, sliced, text_of
+from crispstar.session import materialize
 
 LENGTH = 256
 SHARD_BYTES = 16 << 20
@@ -53,46 +54,62 @@ def read_ranks(path: str) -> dict[bytes, int]:
     return {base64.b64decode(t): int(i) for t, i in map(bytes.split, Path(path).read_bytes().splitlines())}
 
 
-def sequences(docs: DataFrame, path: str, pattern: str, end_id: int, length: int, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, part, ids``: each text's ids with the end id, cut to ``length``; two bytes an id."""
+def _indexed(docs: DataFrame, most_parts: int) -> tuple[DataFrame, int]:
+    """``id, text, index`` with a number below the returned size that no two rows share.
+
+    The id itself, from the smallest on, where ids are unique, not NULL and close enough together; otherwise the rows
+    are written once, in whatever order they come, and numbered by their partition and place.
+    """
+    ids = docs.agg(F.min("id"), F.max("id"), F.count("*"), F.count("id")).first()
+    if not ids[2]:
+        return docs.withColumn("index", F.lit(0).cast("long")), 1
+    span = (ids[1] - ids[0] + 1) if ids[3] else 0
+    if ids[2] == ids[3] and span * most_parts < 1 << 60 and docs.groupBy("id").count().filter("count > 1").isEmpty():
+        return docs.withColumn("index", F.col("id") - ids[0]), span
+    written = materialize(docs.withColumn("stamp", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("stamp", 33)
+    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = written.groupBy(part.alias("part")).agg(F.count("*").alias("n")).select("part", F.coalesce(before, F.lit(0)).alias("before"))
+    numbered = written.join(F.broadcast(materialize(starts, "starts")), part == F.col("part"))  # one row a partition
+    return numbered.select("id", "text", (F.col("before") + F.col("stamp").bitwiseAND(F.lit((1 << 33) - 1))).alias("index")), ids[2]
+
+
+def sequences(docs: DataFrame, path: str, pattern: str, end_id: int, length: int, most_parts: int, size: int, key: bytes) -> DataFrame:
+    """``doc_id, part, ids, place``: each text's ids with the end id, cut to ``length``, two bytes an id; ``place`` in the permuted range.
+
+    The number of a sequence is ``index * most_parts + part``, and its place what the permutation of
+    ``0 .. size * most_parts - 1`` makes of it.
+    """
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(path))
     known: list[tiktoken.Encoding] = []
 
     def rows(batch: pa.RecordBatch) -> Iterable[tuple]:
         if not known:
             known.append(tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks.value, special_tokens={}))
-        for i, text in zip(batch.column("id").to_pylist(), raw(batch, "text")):
-            ids = np.array([*known[0].encode_ordinary(text.decode("utf-8", "replace")), end_id], "<u2")
-            for part, at in enumerate(range(0, len(ids), length)):
-                yield i, part, ids[at : at + length].tobytes()
+        for piece in sliced(batch, "text"):
+            cut = []
+            for i, index, text in zip(piece.column("id").to_pylist(), piece.column("index").to_pylist(), raw(piece, "text")):
+                ids = np.array([*known[0].encode_ordinary(text.decode("utf-8", "replace")), end_id], "<u2")
+                cut += [(i, part, ids[at : at + length].tobytes(), index * most_parts + part) for part, at in enumerate(range(0, len(ids), length))]
+            places = feistel(np.array([c[3] for c in cut], np.int64), size * most_parts, key).tolist()
+            yield from ((*c[:3], place) for c, place in zip(cut, places))
 
-    read = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
-    return in_arrow(read, rows, "doc_id long, part int, ids binary")
+    return in_arrow(docs, rows, "doc_id long, part int, ids binary, place long")
 
 
-def _records(length: int, key: bytes):
-    """Records of each shard in the order of their positions, from sequences sorted by shard."""
-
-    def emit(shard: int, held: list[tuple]) -> Iterator[tuple]:
-        places = feistel(np.arange(len(held)), len(held), key + shard.to_bytes(8, "little"))
-        body = np.zeros(len(held), np.dtype([("head", _HEAD), ("ids", "<u2", (length,))]))
-        for at, (doc_id, part, ids) in zip(places, held):
-            body["head"][at] = (at, part, doc_id or 0, len(ids) // 2, doc_id is not None)
-            body["ids"][at, : len(ids) // 2] = np.frombuffer(ids, "<u2")
-        for at, record in enumerate(body):
-            yield shard, at, record.tobytes()
+def _records(length: int):
+    """Records of each shard from sequences sorted by shard and place, numbered as they come."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        shard, held = None, []
+        shard, at = None, 0
+        record = np.zeros(1, np.dtype([("head", _HEAD), ("ids", "<u2", (length,))]))
         for batch in batches:
-            for x in batch.to_pylist():
-                if x["shard"] != shard:
-                    if held:
-                        yield from emit(shard, held)
-                    shard, held = x["shard"], []
-                held.append((x["doc_id"], x["part"], x["ids"]))
-        if held:
-            yield from emit(shard, held)
+            for doc_id, part, ids, of in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "part", "ids", "shard"))):
+                shard, at = of, at + 1 if of == shard else 0
+                record["head"] = (at, part, doc_id or 0, len(ids) // 2, doc_id is not None)
+                record["ids"][0, : len(ids) // 2] = np.frombuffer(ids, "<u2")
+                record["ids"][0, len(ids) // 2 :] = 0
+                yield shard, at, record.tobytes()
 
     return rows
 
@@ -104,22 +121,32 @@ def write_shards(
 ) -> None:
     """Write every text as sequences of ``length`` two-byte ids into shards below ``out``.
 
-    A keyed hash deals the sequences to shards, so that a shard is a range of
-    the global order; within it a keyed Feistel permutation gives the position.
-    One shuffle moves the ids, and one file per shard holds records of one size
+    Every sequence has a number, made of its document's and its part, and one keyed Feistel permutation of the
+    range of these numbers gives its place in the global order. A shard is a range of places, equal for all shards,
+    so a third of equal rows spreads like any others; its records stand in
+    the order of places. One shuffle moves the ids, and one file per shard holds records of one size
     (``stride``), so that any slot is found by a multiplication. Shards hold
-    ``shard_bytes`` on average: a task keeps one in memory.
+    ``shard_bytes`` on average, and a task holds one record at a time.
+
+    Numbers are not gapless, because how many sequences a text has is known only once it is encoded;
+    slots are: a shard's first is the number of records in the shards before, which ``manifest`` tells.
 
     Short sequences are padded with zeros; their length stands in the record. A
     NULL or empty text is one sequence with the end id alone. NULL ids are kept
-    as such; repeated rows are sequences of their own; an empty table writes no shard.
+    as such; repeated rows are sequences of their own; an empty table writes no shard. Unique ids give
+    one order however the table is partitioned; rows with NULL or repeated ids are numbered as they are read.
     """
-    size = docs.agg(F.sum(F.octet_length(text_of(text_col)) + 2 * length), F.count("*")).first()
-    shards = max(least_shards, (size[0] or 0) // shard_bytes + 1)
-    dealt = F.pmod(F.xxhash64(F.lit(key), "doc_id", "part", F.substring("ids", 1, 64)), F.lit(shards)).cast("int")
-    cut = sequences(docs, path, pattern, end_id, length, id_col, text_col).withColumn("shard", dealt)
-    grouped = cut.repartition("shard").sortWithinPartitions("shard", "doc_id", "part", "ids")
-    make, (names, types) = _records(length, key), arrow_types(docs, "shard int, position int, record binary")
+    read = docs.select(F.col(id_col).cast("long").alias("id"), text_of(text_col).alias("text"))
+    total, longest = read.agg(F.sum(F.octet_length("text") + 2 * length), F.max(F.octet_length("text"))).first()
+    shards = max(least_shards, (total or 0) // shard_bytes + 1)
+    # A token has a byte at least.
+    most_parts = (longest or 0) // length + 1
+    indexed, size = _indexed(read, most_parts)
+    width = -(-size * most_parts // shards)
+    cut = sequences(indexed, path, pattern, end_id, length, most_parts, size, key)
+    ranged = cut.withColumn("shard", F.call_function("div", F.col("place"), F.lit(width)).cast("int"))
+    grouped = ranged.repartition("shard").sortWithinPartitions("shard", "place").select("shard", "doc_id", "part", "ids")
+    make, (names, types) = _records(length), arrow_types(docs, "shard int, position int, record binary")
     records = grouped.mapInArrow(lambda it: batched(make(it), names, types, 4000), "shard int, position int, record binary")
     # The text writer puts out the bytes of a string as they are, and one line feed.
     lines = records.sortWithinPartitions("shard", "position").select("shard", F.col("record").cast("string"))

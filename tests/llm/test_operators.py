@@ -125,8 +125,25 @@ def test_repeated_passages_of_random_copies(spark, seed):
 def test_a_given_reference_is_broadcast_in_shards(spark):
     reference = [" ".join(f"r{i}" for i in range(k, k + 30)) for k in (0, 100, 200)]
     texts = [(1, "x " + reference[1] + " y", "a"), (2, "r1 r2 r3", "a"), (3, None, "a")]
-    got = substring_dedup.remove_shared(table(spark, texts), [*reference, None], window=20, shard_words=30)
+    held = spark.createDataFrame([(t,) for t in [*reference, None]], "text string")
+    got = substring_dedup.remove_shared(table(spark, texts), held, window=20, shard_words=30)
     assert bag(got, "doc_id", "kept") == Counter([(1, "x y"), (2, "r1 r2 r3"), (3, "")])
+    nothing = substring_dedup.remove_shared(table(spark, texts), held.limit(0), window=20)
+    assert bag(nothing, "doc_id", "kept") == Counter((i, t or "") for i, t, _ in texts)
+    with pytest.raises(ValueError, match="too large"):
+        substring_dedup.remove_shared(table(spark, texts), held, most_bytes=10)
+
+
+def test_equal_rows_do_not_meet_each_other(spark):
+    """2,000 equal rows without an id ask one reference: as many pairs as rows."""
+    rows = spark.range(2000, numPartitions=4).select(F.lit(None).cast("long").alias("doc_id"), F.lit(" ".join(f"w{i}" for i in range(50))).alias("text"))
+    got = substring_dedup.remove_repeated(rows)
+    assert got.filter("n_words = 50 AND n_removed = 50").count() == 2000
+    asked = rows.select(F.lit(1).cast("long").alias("to"), F.monotonically_increasing_id().alias("p"), F.lit(True).alias("own")).withColumns(
+        {"starts": F.array(F.lit(0)), "texts": F.array(F.col("p").cast("string").cast("binary"))}
+    )
+    made = substring_dedup._match(asked, 35, "pairs")
+    assert made.count() == 2000
 
 
 def test_simhash_components(docs):
@@ -212,9 +229,6 @@ def test_token_shards_hold_every_text_once(spark, docs):
         ids = [*encoding.encode_ordinary(t or ""), RANK_END]
         want.update((i, p, tuple(ids[a : a + 32])) for p, a in enumerate(range(0, len(ids), 32)))
     assert Counter((r.doc_id, r.part, tuple(np.frombuffer(r.ids, "<u2").tolist())) for r in read) == want
-    again = scratch_path(spark, "shards")
-    token_shards.write_shards(docs.repartition(7), again, ranks, RANK_PATTERN, RANK_END, KEY, length=32, least_shards=5)
-    assert sorted(token_shards.read_shards(spark, again, 32).collect()) == sorted(read)
     some = token_shards.read_shards(spark, out, 32, 100, 140).collect()
     assert sorted(some) == [r for r in sorted(read) if 100 <= r.slot < 140]
     digest = token_shards.digests(token_shards.read_shards(spark, out, 32, 0, 1)).first()
@@ -222,6 +236,38 @@ def test_token_shards_hold_every_text_once(spark, docs):
     assert digest.ids_sha256 == token_shards.ids_digest(np.frombuffer(first.ids, "<u2").tolist())
 
 
+def test_token_shards_are_ranges_of_one_permutation(spark):
+    """Slots against plain Python: the order of the permuted numbers, however the table is partitioned."""
+    import tiktoken
+
+    ranks = vocabulary("byte_bpe_50k.tiktoken")
+    encoding = tiktoken.Encoding("own", pat_str=RANK_PATTERN, mergeable_ranks=token_shards.read_ranks(ranks), special_tokens={})
+    texts = [(i * 3 - 40, " ".join(f"w{i}x{j}" for j in range(i * 7 % 60)), "s") for i in range(90)]
+    most = max(len(t.encode()) for _, t, _ in texts) // 32 + 1
+    numbered = []
+    for i, t, _ in texts:
+        ids = [*encoding.encode_ordinary(t), RANK_END]
+        numbered += [((i + 40) * most + p, i, p, ids[a : a + 32]) for p, a in enumerate(range(0, len(ids), 32))]
+    places = token_shards.feistel(np.array([x[0] for x in numbered]), (89 * 3 + 1) * most, KEY)
+    want = [(i, p, tuple(ids)) for _, (_, i, p, ids) in sorted(zip(places.tolist(), numbered))]
+    for n in (1, 7):
+        out = scratch_path(spark, "shards")
+        token_shards.write_shards(table(spark, texts).repartition(n), out, ranks, RANK_PATTERN, RANK_END, KEY, length=32, least_shards=5)
+        read = sorted(token_shards.read_shards(spark, out, 32).collect())
+        assert [r.slot for r in read] == list(range(len(want)))
+        assert [(r.doc_id, r.part, tuple(np.frombuffer(r.ids, "<u2").tolist())) for r in read] == want
+        sizes = Counter(r.shard for r in read)
+        assert len(sizes) == 5 and max(sizes.values()) < 1.5 * min(sizes.values())
+
+
+def test_equal_rows_spread_over_token_shards(spark):
+    out = scratch_path(spark, "shards")
+    rows = spark.range(5000, numPartitions=3).select(F.lit(None).cast("long").alias("doc_id"), F.lit("one same text").alias("text"))
+    token_shards.write_shards(rows, out, vocabulary("byte_bpe_50k.tiktoken"), RANK_PATTERN, RANK_END, KEY, length=32, least_shards=10)
+    sizes = [r["n_slots"] for r in token_shards.manifest(spark, out, 32).collect()]
+    assert len(sizes) == 10 and sum(sizes) == 5000 and max(sizes) < 1.3 * min(sizes)
+
+
 @pytest.mark.parametrize("size", [1, 2, 3, 17, 1000, 4097])
 def test_feistel_is_a_keyed_permutation(size):
     one, two = (token_shards.feistel(np.arange(size), size, k) for k in (b"a", b"b"))

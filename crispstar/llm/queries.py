@@ -68,7 +68,7 @@ def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_virtual_slot_shards(spark: SparkSession, folder: str) -> DataFrame:
-    return virtual_slots.shard_by_slots(_table(spark, folder, "documents"))[0]
+    return virtual_slots.shard_by_slots(_table(spark, folder, "documents"), scratch_path(spark, "slot-map"))
 
 
 def op10_source_mixing(spark: SparkSession, folder: str) -> DataFrame:

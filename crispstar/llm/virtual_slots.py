@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from collections import defaultdict
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crispstar.llm.common import text_of
+from crispstar.operators.keys import surrogate_key
 from crispstar.session import materialize
 
 SLOTS, SHARDS = 4096, 16
 _SEED = 20_011
-Piece = tuple[int, int]
+# What a map holds: of a slot, or of a piece of one of its texts (``hot``, by its hash), the shard.
+MAP = "version int, virtual_slot int, hot long, piece int, pieces int, shard int"
+# Stands for all texts of a slot that are not cut.
+_REST = 0
 
 
 def rebalanced(owner: dict, weight: dict, shards: int) -> dict:
@@ -57,79 +62,128 @@ def rebalanced(owner: dict, weight: dict, shards: int) -> dict:
     return owner
 
 
-def slot_map(spark, owner: dict[Piece, int], version: int) -> DataFrame:
-    """``version, virtual_slot, piece, shard``; one row per slot, and per piece of a split slot."""
-    rows = [(version, s, p, shard) for (s, p), shard in sorted(owner.items())]
-    return spark.createDataFrame(rows, "version int, virtual_slot int, piece int, shard int")
+def dealt(spark: SparkSession, slots: int = SLOTS, shards: int = SHARDS) -> DataFrame:
+    """The first version of a map: the slots dealt in turn, whatever they will hold."""
+    return spark.createDataFrame([(1, s, _REST, 0, 1, s % shards) for s in range(slots)], MAP)
 
 
-def shard_by_slots(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, slots: int = SLOTS
-) -> tuple[DataFrame, DataFrame]:
-    """Deal all rows to shards of near equal bytes; returns the rows and the versions of the slot map.
+def save_map(slot_map: DataFrame, path: str) -> None:
+    """Add a version to the table of maps."""
+    slot_map.coalesce(1).write.mode("append").parquet(path)
 
-    A row's virtual slot is a hash of its text, so equal texts share a slot. The
-    first version of the map deals the slots in turn; the second is the first,
-    edited by the bytes found in each slot. A slot with more than a shard's share
-    of bytes is split by a hash of the id and its pieces are placed one by one;
-    slots with many rows are cut into pieces for the numbering alone. Only sums
-    per slot and piece, a few thousand rows however large the table, reach the driver.
 
-    Rows: ``id, size`` (bytes of the text plus 1)``, text_crc32, law, shard, slot``
-    (a gapless number from 0 within the shard)``, grown_shard`` (NULL under this
-    law)``, virtual_slot, map_version``. NULL texts count as empty and NULL ids
-    come last within their slot; equal rows get different numbers. An empty table
-    gives no rows.
-    """
+def read_map(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """A version of the map, the newest unless one is named."""
+    every = spark.read.schema(MAP).parquet(path)
+    if version is None:
+        version = every.agg(F.max("version")).first()[0]
+    return every.filter(F.col("version") == F.lit(version))
+
+
+def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
+    """``id, size, text_crc32, virtual_slot, text_hash, row`` of every row, written once."""
     text = text_of(text_col)
-    base = materialize(
+    return materialize(
         docs.select(
             F.col(id_col).cast("long").alias("id"),
             (F.octet_length(text) + 1).cast("long").alias("size"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
             F.pmod(F.xxhash64(F.lit(_SEED), text), F.lit(slots)).cast("int").alias("virtual_slot"),
-            F.xxhash64(F.lit(_SEED), F.col(id_col)).alias("spread"),
+            F.xxhash64(F.lit(_SEED + 1), text).alias("text_hash"),
+            F.monotonically_increasing_id().alias("row"),
         ),
         "sized",
     )
-    spark = docs.sparkSession
-    sums = (F.sum("size").alias("bytes"), F.count("*").alias("rows"))
-    per_slot = {r["virtual_slot"]: (r["bytes"], r["rows"]) for r in base.groupBy("virtual_slot").agg(*sums).collect()}
-    all_bytes, all_rows = (sum(x[i] for x in per_slot.values()) for i in (0, 1))
-
-    # Pieces: at most as many again as there are slots, for those far above the mean.
-    many = {
-        s: n for s, (b, r) in per_slot.items()
-        if (n := max(4 * r * slots // (16 * max(all_rows, 1)), 4 * b * slots // (16 * max(all_bytes, 1)))) > 1
-    }
-    cut = spark.createDataFrame(sorted(many.items()), "virtual_slot int, n int")
-    pieces = base.join(F.broadcast(cut), "virtual_slot", "left").withColumn(
-        "piece", F.coalesce(F.pmod("spread", "n"), F.lit(0)).cast("int")
-    )
-    per_piece = {
-        (r["virtual_slot"], r["piece"]): (r["bytes"], r["rows"])
-        for r in pieces.groupBy("virtual_slot", "piece").agg(*sums).collect()
-    }
-    split = {s for s, (b, _) in per_slot.items() if b * shards > all_bytes}
-    of = {p: p if p[0] in split else (p[0], 0) for p in per_piece}
-    weight: dict[Piece, int] = defaultdict(int)
-    for p, (b, _) in per_piece.items():
-        weight[of[p]] += b
-    first = {p: i % shards for i, p in enumerate(sorted(weight))}
-    second = rebalanced(first, weight, shards)
-    versions = slot_map(spark, first, 1).unionByName(slot_map(spark, second, 2))
-
-    at, places = [0] * shards, []
-    for p, (_, rows) in sorted(per_piece.items()):
-        shard = second[of[p]]
-        places.append((*p, shard, at[shard]))
-        at[shard] += rows
-    placed = spark.createDataFrame(places, "virtual_slot int, piece int, shard int, before long")
-    order = Window.partitionBy("virtual_slot", "piece").orderBy(F.col("id").asc_nulls_last(), "text_crc32", "size")
-    numbered = pieces.withColumn("number", F.row_number().over(order)).join(F.broadcast(placed), ["virtual_slot", "piece"])
-    rows = numbered.select(
+
+
+def _pieced(rows: DataFrame, cut: dict[tuple[int, int], int]) -> DataFrame:
+    """Rows with the ``hot`` text they belong to, if it is one of those cut, and the ``piece`` of it.
+
+    A row's piece follows from its id; rows of such a text that share or lack an id are dealt by the row.
+    """
+    texts = rows.sparkSession.createDataFrame([(s, h, n) for (s, h), n in cut.items()], "virtual_slot int, hot long, pieces int")
+    on = (rows["virtual_slot"] == texts["virtual_slot"]) & (rows["text_hash"] == texts["hot"])
+    marked = rows.join(F.broadcast(texts), on, "left").drop(texts["virtual_slot"])  # fewer texts than shards
+    shared = marked.filter(F.col("hot").isNotNull()).groupBy(F.col("hot").alias("of"), F.col("id").alias("of_id")).count().filter("count > 1")
+    repeats = materialize(shared.select("of", "of_id", F.lit(True).alias("shared")), "shared-ids")
+    same = (F.col("hot") == F.col("of")) & F.col("id").eqNullSafe(F.col("of_id"))
+    dealt_by = F.when(F.col("shared") | F.col("id").isNull(), F.xxhash64(F.lit(_SEED), "row")).otherwise(F.xxhash64(F.lit(_SEED), "id"))
+    piece = F.when(F.col("hot").isNotNull(), F.pmod(dealt_by, F.col("pieces"))).otherwise(0).cast("int")
+    found = marked.join(repeats, same, "left").withColumn("piece", piece)
+    return found.select("id", "size", "text_crc32", "virtual_slot", F.coalesce("hot", F.lit(_REST)).alias("hot"), "piece")
+
+
+def edited_map(rows: DataFrame, earlier: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """The next version of a map, edited by the bytes that ``rows`` (of ``sized``) have in each slot.
+
+    Texts that alone have more than a shard's share of the bytes are cut into pieces, each placed by itself, and stay
+    cut in later versions; other texts of their slot stay together. Then few items move until the loads are even. What reaches the driver
+    is a row per slot and piece: as many as the map has, whatever the rows.
+    """
+    spark = rows.sparkSession
+    held = earlier.collect()
+    version = max(r["version"] for r in held)
+    owner = {(r["virtual_slot"], r["hot"], r["piece"]): r["shard"] for r in held}
+    cut = {(r["virtual_slot"], r["hot"]): r["pieces"] for r in held if r["hot"] != _REST}
+    per_slot = rows.groupBy("virtual_slot").agg(F.sum("size").alias("bytes")).collect()
+    total = sum(r["bytes"] for r in per_slot)
+    full = [r["virtual_slot"] for r in per_slot if r["bytes"] * shards > total]
+    # Fewer than the shards: each has more than one of so many equal shares.
+    hot = rows.filter(F.col("virtual_slot").isin(full)).groupBy("virtual_slot", "text_hash").agg(F.sum("size").alias("bytes"))
+    for r in hot.filter(F.col("bytes") * shards > total).collect() if full else []:
+        text = (r["virtual_slot"], r["text_hash"])
+        if text not in cut:
+            cut[text] = 4 * (r["bytes"] * shards // total + 1)
+            owner |= {(*text, p): p % shards for p in range(cut[text])}
+    pieces = _pieced(rows, cut).groupBy("virtual_slot", "hot", "piece").agg(F.sum("size").alias("bytes"))
+    weight = dict.fromkeys(owner, 0) | {(r["virtual_slot"], r["hot"], r["piece"]): r["bytes"] for r in pieces.collect()}
+    after = rebalanced(owner, weight, shards)
+    return spark.createDataFrame([(version + 1, *i, cut.get(i[:2], 1), shard) for i, shard in sorted(after.items())], MAP)
+
+
+def placed(rows: DataFrame, slot_map: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows of ``sized`` in the shards that a version of the map says, numbered without gaps in each.
+
+    Numbers follow slot, piece and id in one order of all rows, so no window sees a shard.
+    """
+    cut = {(r["virtual_slot"], r["hot"]): r["pieces"] for r in slot_map.filter(F.col("hot") != _REST).collect()}
+    keys = ["virtual_slot", "hot", "piece"]
+    found = _pieced(rows, cut).join(F.broadcast(slot_map.select(*keys, "shard", "version")), keys)  # a row per slot and piece
+    ordered = surrogate_key(found, ["shard", *keys, "id", "text_crc32"], "place")
+    first = materialize(ordered.groupBy("shard").agg(F.min("place").alias("first")), "first-places")
+    numbered = ordered.join(F.broadcast(first), "shard")  # a row per shard
+    return numbered.select(
         F.col("id").alias(id_col), "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
-        (F.col("before") + F.col("number") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
-        "virtual_slot", F.lit(2).alias("map_version"),
+        (F.col("place") - F.col("first")).alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+        "virtual_slot", F.col("version").alias("map_version"),
     )
-    return rows, versions
+
+
+def shard_by_slots(
+    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", shards: int = SHARDS, slots: int = SLOTS
+) -> DataFrame:
+    """Deal all rows to shards of near equal bytes by the map of slots that is stored at ``path``.
+
+    A row's virtual slot is a hash of its text, so equal texts share a slot. Where no map is stored, the first
+    version deals the slots in turn. The newest version is read, edited by the bytes now found in
+    each slot, and stored as the next one; rows are placed by what was stored. A table that has grown
+    is placed anew by few edits, so few of its rows move.
+
+    Rows: ``id, size`` (bytes of the text plus 1)``, text_crc32, law, shard, slot``
+    (a gapless number from 0 within the shard)``, grown_shard`` (NULL under this
+    law)``, virtual_slot, map_version``. NULL texts count as empty and NULL ids
+    come first within their slot; equal rows get different numbers; of a text that has
+    more than a shard's share of the bytes the rows are dealt by id, or one by one where ids repeat or lack. An
+    empty table gives no rows; other columns are ignored.
+    """
+    spark = docs.sparkSession
+    try:
+        earlier = read_map(spark, path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        save_map(dealt(spark, slots, shards), path)
+        earlier = read_map(spark, path)
+    rows = sized(docs, id_col, text_col, slots)
+    save_map(edited_map(rows, earlier, shards), path)
+    return placed(rows, read_map(spark, path), id_col)

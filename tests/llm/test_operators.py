@@ -297,23 +297,6 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
-def test_sharding_by_slots(spark, docs):
-    rows, versions = virtual_slots.shard_by_slots(docs)
-    got = rows.collect()
-    want = Counter((i, len((t or "").encode()) + 1, crc32((t or "").encode())) for i, t, _ in TEXTS)
-    assert Counter((r.doc_id, r.size, r.text_crc32) for r in got) == want
-    for shard in {r.shard for r in got}:
-        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
-    assert {r.version for r in versions.select("version").distinct().collect()} == {1, 2}
-    many = spark.range(20_000).select(
-        F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "copy").otherwise(F.concat(F.lit("t"), F.md5(F.col("id").cast("string")))).alias("text")
-    )
-    loads = [r["b"] for r in virtual_slots.shard_by_slots(many)[0].groupBy("shard").agg(F.sum("size").alias("b")).collect()]
-    assert len(loads) == 16 and max(loads) - min(loads) < 0.01 * max(loads)
-    same = virtual_slots.shard_by_slots(many.filter("doc_id % 50 < 3"))[0]
-    assert same.groupBy("text_crc32").agg(F.count_distinct("shard").alias("n")).filter("n > 1 AND text_crc32 <> 0").count() <= 1
-
-
 def test_rebalancing_moves_few_slots():
     rng = np.random.default_rng(2)
     weight = {i: int(x) for i, x in enumerate(rng.integers(50, 150, 800))}
@@ -508,6 +491,6 @@ def test_no_rows(spark, none):
     for got in (
         token_shards.read_shards(spark, out), surrogates.replace_personal(none, KEY), exact_dedup.exact_duplicates(none),
         substring_dedup.remove_repeated(none), toxicity.held_out_toxicity(none, labels), bpe.round_trip(none, vocabulary("word_bpe_49k.json")),
-        simhash.simhash_components(none), virtual_slots.shard_by_slots(none)[0], mixing.mix(none), mixing.mixed(none),
+        simhash.simhash_components(none), virtual_slots.shard_by_slots(none, scratch_path(spark, "map")), mixing.mix(none), mixing.mixed(none),
     ):
         assert got.count() == 0

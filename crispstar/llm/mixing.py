@@ -204,10 +204,15 @@ def mixed(
     placed, quotas = _placed(keyed, key, id_col, weights, repeats, block, shards, seed)
     # The quotas of a source, a kilobyte, join last: they are not shuffled with every row.
     rows = own.join(placed.filter(F.col("size") > 0), F.col("own_key") == F.col("row_id"))
-    turns = _with_quotas(rows, quotas).withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("rounds").cast("int") + 1)))
+    # How often each of the blocks that a document lies in is drawn; its words look it up.
+    block_of = lambda word: F.call_function("div", word, F.lit(block))
+    spanned = F.sequence(block_of(F.col("begin")), block_of(F.col("end") - 1))
+    drawn = F.transform(spanned, lambda b: _draws(b + 1, shards) - _draws(b, shards))
+    placed_rows = _with_quotas(rows, quotas).withColumns({"drawn": drawn, "into": F.col("begin") % block}).drop("shards")
+    turns = placed_rows.withColumn("turn", F.explode(F.sequence(F.lit(1), F.col("rounds").cast("int") + 1)))
     words = F.regexp_extract_all(text_of(own_text), F.lit(WORD), F.lit(0))
-    block_of = lambda i: F.call_function("div", F.col("begin") + i, F.lit(block))
-    kept = F.filter(words, lambda _, i: _draws(block_of(i) + 1, shards) - _draws(block_of(i), shards) >= F.col("turn"))
+    kept = F.filter(words, lambda _, i: F.get("drawn", F.call_function("div", F.col("into") + i, F.lit(block)).cast("int")) >= F.col("turn"))
     text = F.when(F.col("turn") <= F.col("rounds"), own_text).otherwise(F.concat_ws(" ", kept))
-    taken = turns.withColumn("taken_text", text).filter((F.col("turn") <= F.col("rounds")) | (F.col("taken_text") != ""))
+    # A drawn block holds a word at least of each document that it touches.
+    taken = turns.filter((F.col("turn") <= F.col("rounds")) | F.exists("drawn", lambda n: n >= F.col("turn"))).withColumn("taken_text", text)
     return taken.select(*[F.col("taken_text" if c.lower() == "text" else f"own_{i}").alias(c) for i, c in enumerate(docs.columns)])

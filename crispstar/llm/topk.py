@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from math import floor
+from operator import mul
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +17,8 @@ from crispstar.session import materialize, scratch_path
 
 K, SCALE = 5, 256
 # Bytes of scaled query vectors per block, bins per histogram as a power of two, candidate rows scored at once.
-BLOCK_BYTES, BIN_BITS, CHUNK = 4 << 20, 9, 512
-# Beyond this scaled size an inner product could leave a long.
+BLOCK_BYTES, BIN_BITS, CHUNK = 8 << 20, 9, 512
+# Vectors with a scaled component of this size or more are scored one by one, in integers without bounds.
 LARGEST = 1 << 26
 
 
@@ -114,12 +116,12 @@ def _over(table: DataFrame, rows, schema: str) -> DataFrame:
     return table.mapInArrow(lambda it: batched(rows(it), names, types), schema)
 
 
-def _search(table: DataFrame, queries: list, k: int, bits: int) -> DataFrame:
-    """``query, id, key, score, rank`` of one block of queries."""
+def _search(table: DataFrame, queries: list, k: int, bits: int, largest: int) -> DataFrame:
+    """``query, id, key, score, rank`` of one block of queries; no component of the table is above ``largest``."""
     context = table.sparkSession.sparkContext
     block = Block([r["key"] for r in queries], [r["q"] for r in queries], k)
     most = max(int(np.abs(m).max(initial=0)) * max(m.shape[1], 1) for _, m in block.groups.values())
-    most = max(1, most * (table.agg(F.max(F.array_max(F.transform("q", F.abs)))).first()[0] or 1))
+    most = max(1, most * max(largest, 1))
     # Refine the range around each k-th value, a power of two wide, until it is one value.
     width = most.bit_length() + 1
     block.low[:] = -(1 << (width - 1))
@@ -143,6 +145,62 @@ def _needs(spark, block: Block) -> DataFrame:
     return F.broadcast(spark.createDataFrame([(i, int(n)) for i, n in enumerate(block.need)], "query int, need long"))
 
 
+def _whole(q: list[int] | None, raw: list[float] | None, scale: int) -> list[int]:
+    """The scaled components as integers of any size. From 2**53 on a double is an integer."""
+    if q is not None:
+        return q
+    return [scale * int(x) if abs(x) >= 1 << 53 else floor(scale * x) for x in raw]
+
+
+def _order(score: int) -> str:
+    """Digits that sort as the integers do, of any size."""
+    digits = f"{len(str(abs(score))):06}{abs(score)}"
+    return f"1{digits}" if score >= 0 else "0" + "".join(str(9 - int(d)) for d in digits)
+
+
+def _exactly(table: DataFrame, queries: list[tuple[int, list[int]]], k: int, scale: int) -> DataFrame:
+    """``query, id, key, score, place``: the best ``k`` that each task's rows can contribute to each query (by its key)."""
+    sent = table.sparkSession.sparkContext.broadcast(queries)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        best: dict[int, list[tuple]] = {}
+        for batch in batches:
+            for key, i, q, raw in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "q", "raw"))):
+                vector = _whole(q, raw, scale)
+                for asking, asked in sent.value:
+                    if asking != key and len(asked) == len(vector):
+                        held = best.setdefault(asking, [])
+                        held.append((-sum(map(mul, asked, vector)), i is None, i or 0, key))
+                        if len(held) > 64 * k:
+                            best[asking] = sorted(held)[:k]
+        for asking, held in best.items():
+            for less, none, i, key in sorted(held)[:k]:
+                # A score beyond a long is given as the nearest long, and ranked by what it is.
+                yield asking, None if none else i, key, max(-(1 << 63), min((1 << 63) - 1, -less)), _order(-less)
+
+    return _over(table, rows, "query long, id long, key long, score long, place string")
+
+
+def _with_large(table: DataFrame, found: DataFrame, k: int, scale: int, per_block: int) -> DataFrame:
+    """``found`` (``query, id, key, score``) and all pairs with a large vector on either side, ranked together."""
+    digits = F.abs(F.col("score").cast("decimal(20,0)")).cast("string")
+    sized = F.concat(F.lpad(F.length(digits).cast("string"), 6, "0"), digits)
+    place = F.when(F.col("score") >= 0, F.concat(F.lit("1"), sized)).otherwise(F.concat(F.lit("0"), F.translate(sized, "0123456789", "9876543210")))
+    every = found.select("query", "id", "key", "score", place.alias("place"))
+    for asking, candidates in ((table, table.filter("raw IS NOT NULL")), (table.filter("raw IS NOT NULL"), table.filter("q IS NOT NULL"))):
+        last = None
+        while True:
+            rest = asking.filter("is_query") if last is None else asking.filter("is_query").filter(F.col("key") > last)
+            queries = rest.orderBy("key").limit(per_block).collect()  # a block of vectors
+            if not queries:
+                break
+            last = queries[-1]["key"]
+            sent = [(r["key"], _whole(r["q"], r["raw"], scale)) for r in queries]
+            every = every.unionByName(materialize(_exactly(candidates, sent, k, scale), "exactly"))
+    best = Window.partitionBy("query").orderBy(F.col("place").desc(), F.col("id").asc_nulls_last(), "key")
+    return every.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+
 def top_k(
     vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding",
     k: int = K, scale: int = SCALE, block_bytes: int = BLOCK_BYTES, bin_bits: int = BIN_BITS,
@@ -157,34 +215,43 @@ def top_k(
     k-th value until that value is known; a last pass takes the scores above it and
     the smallest ids of those equal to it.
 
-    Vectors that are NULL or hold a NULL, a non-finite component, or one of which
-    the scaled size reaches 2**26 (a score might leave a long) take no part. With
+    Vectors with a scaled component of 2**26 or more, whose scores might leave a long, are scored beside that in
+    integers of any size, as queries and as candidates; a score beyond a long is ranked as
+    it is and given as the nearest long. Vectors that are NULL or hold a NULL or a non-finite component take no part. With
     fewer than ``k`` other rows a query gets all. Repeated ids are rows of their own.
     An empty table gives no rows.
     """
     keyed = identified(vectors, id_col)
-    fits = F.forall(vec_col, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double")) < LARGEST / scale), F.lit(False)))
+    finite = F.forall(vec_col, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")), F.lit(False)))
+    fits = F.forall(vec_col, lambda x: F.abs(x.cast("double")) < LARGEST / scale)
     scaled = F.transform(vec_col, lambda x: F.floor(x.cast("double") * scale).cast("int"))
     table = materialize(
-        keyed.filter(F.col(vec_col).isNotNull() & fits).select(
-            F.col("row_key").alias("key"), F.col(id_col).cast("long").alias("id"), scaled.alias("q"),
-            F.coalesce(is_query, F.lit(False)).alias("is_query"),
+        keyed.filter(F.col(vec_col).isNotNull() & finite).select(
+            F.col("row_key").alias("key"), F.col(id_col).cast("long").alias("id"), F.when(fits, scaled).alias("q"),
+            F.when(~fits, F.col(vec_col).cast("array<double>")).alias("raw"), F.coalesce(is_query, F.lit(False)).alias("is_query"),
         ),
         "scaled",
     )
     spark, out = vectors.sparkSession, scratch_path(vectors.sparkSession, "top")
-    schema = "query_id long, rank int, id long, score long"
-    asking = table.filter("is_query")
-    size = max(1, asking.agg(F.max(F.size("q"))).first()[0] or 1)
-    per_block, last = max(1, block_bytes // (8 * size)), None
+    schema = "query long, query_id long, rank int, id long, key long, score long"
+    asking = table.filter("is_query AND q IS NOT NULL")
+    largest, size, large = table.agg(
+        F.max(F.array_max(F.transform("q", F.abs))), F.max(F.when(F.col("is_query"), F.greatest(F.size("q"), F.size("raw")))), F.count("raw")
+    ).first()
+    per_block, last = max(1, block_bytes // (8 * max(1, size or 1))), None
     spark.createDataFrame([], schema).write.parquet(out)
     while True:
         rest = asking if last is None else asking.filter(F.col("key") > last)
         queries = rest.orderBy("key").limit(per_block).collect()  # at most block_bytes of vectors
         if not queries:
             break
-        ids = spark.createDataFrame([(i, r["id"]) for i, r in enumerate(sorted(queries, key=lambda r: r["key"]))], "query int, query_id long")
-        found = _search(table.select("key", "id", "q"), queries, k, bin_bits).join(F.broadcast(ids), "query")
-        found.select("query_id", "rank", "id", "score").write.mode("append").parquet(out)
+        ids = [(i, r["key"], r["id"]) for i, r in enumerate(sorted(queries, key=lambda r: r["key"]))]
+        named = F.broadcast(spark.createDataFrame(ids, "number int, query long, query_id long"))
+        found = _search(table.filter("q IS NOT NULL").select("key", "id", "q"), queries, k, bin_bits, largest or 1).withColumnRenamed("query", "number")
+        found.join(named, "number").select("query", "query_id", "rank", "id", "key", "score").write.mode("append").parquet(out)
         last = queries[-1]["key"]
-    return spark.read.schema(schema).parquet(out).withColumnRenamed("id", id_col)
+    found = spark.read.schema(schema).parquet(out)
+    if large:
+        names = table.filter("is_query").select(F.col("key").alias("query"), F.col("id").alias("query_id"))
+        found = _with_large(table, found, k, scale, per_block).join(names, "query")
+    return found.select("query_id", "rank", F.col("id").alias(id_col), "score")

@@ -297,6 +297,26 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_top_k_of_vectors_of_any_size(spark):
+    """Components from 2**18 on are scored exactly beside the others, as queries and as candidates."""
+    rng = np.random.default_rng(8)
+    sizes = [1.0, 2.0**18, 2.0**30, -(2.0**30), 1e30, -1e30]
+    vectors = [(i, [float(x) * sizes[i % 6 if i % 4 == 0 else 0] for x in rng.normal(size=3)]) for i in range(60)] + [(60, [1.5e30] * 3), (61, [1.5e30] * 3)]
+
+    def whole(x):
+        return 256 * int(x) if abs(x) >= 2**53 else int(np.floor(256 * x))
+
+    exact = [(i, [whole(x) for x in v]) for i, v in vectors]
+    want = Counter()
+    for i, q in exact:
+        if i % 10 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(q, c)), j) for j, c in exact if j != i)
+            want.update((i, r, j, max(-(1 << 63), min((1 << 63) - 1, -s))) for r, (s, j) in enumerate(scores[:5], 1))
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(3)
+    for block_bytes in (1 << 20, 50):
+        assert bag(topk.top_k(df, F.col("vec_id") % 10 == 0, block_bytes=block_bytes), "query_id", "rank", "vec_id", "score") == want
+
+
 def test_rebalancing_moves_few_slots():
     rng = np.random.default_rng(2)
     weight = {i: int(x) for i, x in enumerate(rng.integers(50, 150, 800))}

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from registry import checks, time_checks
+from registry import checks, more_checks, time_checks
 
-CHECKS: dict[str, str] = checks.CHECKS | time_checks.CHECKS
+CHECKS: dict[str, str] = checks.CHECKS | time_checks.CHECKS | more_checks.CHECKS

@@ -19,7 +19,7 @@ from crispstar.operators.keys import surrogate_key
 from crispstar.plans import gold, kpi, silver
 from crispstar.session import materialize, scratch_path
 from crispstar.sources import landing, schemas, tables
-from registry import time_queries
+from registry import more_queries, time_queries
 from registry.tables import Layers
 
 Query = Callable[[Layers], DataFrame]
@@ -354,6 +354,7 @@ QUERIES: dict[str, Query] = {
     "quality_rules": lambda t: rules.quality_rules(t.bronze("orders"), _order_rules()),
     "quality_quarantine": lambda t: _quarantine(t),
     **time_queries.QUERIES,
+    **more_queries.QUERIES,
 }
 
 

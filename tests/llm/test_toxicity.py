@@ -28,7 +28,7 @@ def test_the_fit_comes_near_the_least_risk():
     positive = np.arange(900) < 300
     truly = positive | (rng.random(900) < 0.2)  # a fifth of the unlabelled rows are positive too
     x = np.stack([rng.random(900) < np.where(truly, 0.9, 0.02), rng.random(900) < 0.3], axis=1).astype(np.uint8)
-    w, b = toxicity.nn_pu_fit(x, positive, 0.2)
+    w, b = toxicity.nn_pu_fit(x, positive, 0.2, epochs=1500)
     grid = [(a, c, d) for a in (0, 2, 4, 8, 16) for c in (0, 1) for d in (-8, -4, -2, -1, 0)]
     least = min(risk((a, c), d, x.tolist(), positive, 0.2) for a, c, d in grid)
     assert (w >= 0).all() and risk(w, b, x.tolist(), positive, 0.2) <= least + 0.02

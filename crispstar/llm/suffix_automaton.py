@@ -7,6 +7,8 @@ from collections.abc import Iterable, Iterator
 from functools import cached_property
 
 Passage = tuple[int, list]
+# Bytes of passages whose matches a reference keeps.
+_KNOWN_BYTES = 1 << 18
 
 
 class SuffixAutomaton:
@@ -78,6 +80,7 @@ class Reference:
         self.automaton = SuffixAutomaton(words for _, words in passages)
         self.hit: set[int] = set()
         self.known: dict[bytes, tuple] = {}
+        self.known_bytes = 0
 
     @cached_property
     def states(self) -> list[tuple[int, int]]:
@@ -98,11 +101,17 @@ class Reference:
         found: list[int] = []
         left: tuple[list[int], list[bytes]] = ([], [])
         for at, text in zip(starts, texts):
-            if text not in self.known:
-                if len(self.known) >= 256:
-                    self.known.clear()
-                self.known[text] = self._match(text.split())
-            here, rest = self.known[text]
+            result = self.known.get(text)
+            if result is None:
+                result = self._match(text.split())
+                # What is kept is about ten times the text.
+                if len(text) <= _KNOWN_BYTES // 8:
+                    self.known_bytes += len(text)
+                    if self.known_bytes > _KNOWN_BYTES:
+                        self.known.clear()
+                        self.known_bytes = len(text)
+                    self.known[text] = result
+            here, rest = result
             found += [at + i for i in here]
             left[0].extend([at + i for i, _ in rest])
             left[1].extend([t for _, t in rest])

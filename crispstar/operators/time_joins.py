@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crispstar.operators.ordered import BLOCK_ROWS, in_blocks, last_known
+from crispstar.session import materialize
 
 # Lengths of the buckets of each level, in seconds: an hour, and each next 16 times as long.
 BUCKETS = tuple(3600 * 16**level for level in range(8))
@@ -103,7 +104,7 @@ def interval_join(
     if how == "inner":
         asked = points.select("*", F.explode(F.array(*asking)).alias("_ask")) if levels else points.withColumn("_ask", F.lit(None).cast("struct<level:int,bucket:bigint>"))
         return asked.join(held, condition).select(kept)
-    # A point without a match must come out once, not once a level: its own row, joined to the pairs that it has.
-    numbered = in_blocks(points, [key, time]).drop("_block")
+    # A point without a match must come out once, not once a level: its own row, written with a number, joined to its pairs.
+    numbered = materialize(points.withColumn("_place", F.monotonically_increasing_id()), "points")
     pairs = interval_join(numbered, intervals, key, time, start, end, open_until, "inner", buckets)
     return numbered.join(pairs.drop(*points.columns), "_place", "left").select(kept)

@@ -58,3 +58,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove what this application has written to the scratch folder; results that still read it must be written first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}")
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -236,6 +236,37 @@ def verified(manifest: Manifest, id_col: str = "doc_id") -> DataFrame:
     )
 
 
+def store(manifest: Manifest, path: str) -> None:
+    """Write a manifest as tables below ``path``: the nodes of the leaves and above, and the roots."""
+    manifest.leaves.write.parquet(f"{path}/leaves")
+    manifest.nodes.write.parquet(f"{path}/nodes")
+    root = F.lit(None).cast("binary") if manifest.root is None else F.unhex(F.lit(manifest.root))
+    spark = manifest.leaves.sparkSession
+    top = spark.range(1).select(F.lit(_TOP).cast("long").alias("tree"), root.alias("hash"))
+    manifest.subroots.unionByName(top).write.parquet(f"{path}/roots")
+
+
+def load(spark: SparkSession, path: str) -> Manifest:
+    """A manifest that ``store`` has written."""
+    roots = spark.read.parquet(f"{path}/roots")
+    top = roots.filter(F.col("tree") == _TOP).first()["hash"]
+    leaves, nodes = (spark.read.parquet(f"{path}/{x}") for x in ("leaves", "nodes"))
+    return Manifest(leaves, nodes, roots.filter(F.col("tree") != _TOP), top.hex() if top else None)
+
+
+def presenting(manifest: Manifest, docs: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: str = "doc_id") -> Manifest:
+    """The manifest with the digests of ``docs`` as they are now presented, to be ``verified``.
+
+    Rows meet their leaf by id, so no id may repeat in ``docs``; those that the manifest does not know
+    are left out, and so are leaves without a row, which ``verified`` then does not list.
+    """
+    now = materialize(docs.select(F.col(id_col).cast("long").alias("now_id"), leaf(F.col(c) for c in fields).alias("now")), "presented")
+    if not now.groupBy("now_id").count().filter("count > 1").isEmpty():
+        raise ValueError(f"{id_col} repeats")
+    met = manifest.leaves.drop("presented").join(now, F.col("id").eqNullSafe(F.col("now_id")))
+    return Manifest(met.withColumnRenamed("now", "presented").select(manifest.leaves.columns), manifest.nodes, manifest.subroots, manifest.root)
+
+
 def tampered_manifest(docs: DataFrame, id_col: str = "doc_id", length_col: str = "n_chars") -> DataFrame:
     """``verified`` over ``docs``, where one id in seven, by crc32, is presented with a length one too large."""
     hit = F.crc32(F.col(id_col).cast("string").cast("binary")) % 7 == 0

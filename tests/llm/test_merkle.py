@@ -117,3 +117,19 @@ def test_copies_spread_over_blocks(spark, settings):
     assert in_block == 64 and built.leaves.count() == 5000
     made = merkle.verified(built)
     assert made.filter("verified").count() == 5000 and "CartesianProduct" not in final_plan(made)
+
+
+def test_a_stored_manifest_tells_what_has_changed(spark, tmp_path):
+    rows = [(i, f"t{i}", f"l{i % 3}", "s", i) for i in range(200)]
+    path = str(tmp_path / "manifest")
+    merkle.store(merkle.build(table(spark, rows), step=3), path)
+    kept = merkle.load(spark, path)
+    assert kept.root == next(iter(brute(rows)))[3]
+    now = [(i, t + ("!" if i % 20 == 0 else ""), g, s, n) for i, t, g, s, n in rows if i != 7] + [(999, "new", "l0", "s", 1)]
+    found = merkle.verified(merkle.presenting(kept, table(spark, now))).collect()
+    assert {r.doc_id: r.verified for r in found} == {i: i % 20 != 0 for i in range(200) if i != 7}
+    with pytest.raises(ValueError, match="repeats"):
+        merkle.presenting(kept, table(spark, [*now, now[0]]))
+    empty = str(tmp_path / "empty")
+    merkle.store(merkle.build(spark.createDataFrame([], SCHEMA)), empty)
+    assert merkle.load(spark, empty).root is None and merkle.verified(merkle.load(spark, empty)).count() == 0

@@ -132,8 +132,8 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     shards = F.explode(F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(masks(radius))]))
     members = (
-        # Few files of fingerprints would be few tasks, each with 28 rows for one.
-        distinct.repartition("fp").select("fp", shards.alias("shard"))
+        # A number of their own: few bytes of fingerprints would be few tasks, each with 28 rows for one.
+        distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp").select("fp", shards.alias("shard"))
         .groupBy("shard.mask", "shard.bits")
         .agg(F.collect_list("fp").alias("fps"))
         .filter(F.size("fps") > 1)

@@ -101,7 +101,7 @@ class BoundedCache(dict):
     document, which will not come again.
     """
 
-    def __init__(self, make: Callable, cost: Callable, most: int = 48 << 20, longest: int = 64):
+    def __init__(self, make: Callable, cost: Callable, most: int = 32 << 20, longest: int = 64):
         super().__init__()
         self.make, self.cost, self.most, self.longest, self.size = make, cost, most, longest, 0
 

@@ -18,7 +18,7 @@ from crispstar.session import materialize
 POSITIVES, UNLABELLED, FEATURES = 6_000, 12_000, 2_048
 LEAST_SUPPORT, LEAST_RATIO = 4, 3.0
 _LETTERS = re.compile(r"[^\W\d_]+")
-_CACHE_BYTES = 96 << 20
+_CACHE_BYTES = 64 << 20
 # Evidence is weighed over windows of two stretches of so many words.
 STRETCH = 128
 

@@ -79,7 +79,7 @@ class ForcedBoundaryEncoder:
         self.plain = spec.get("normalizer") == _LOWER and spec.get("pre_tokenizer") == _LETTERS
         held = lambda ids: 56 + 8 * len(ids)
         self.words, self.chunks = BoundedCache(self._word, held), BoundedCache(self._chunk, held)
-        self.digests = BoundedCache(self._digest, lambda made: 190 + len(made[1]) + len(made[2]))
+        self.digests = BoundedCache(self._digest, lambda made: 190 + len(made[1]) + len(made[2]), 64 << 20)
 
     def _pairs_inside(self) -> set[str]:
         """Two letters side by side in any token, the suffix of word ends not counted."""

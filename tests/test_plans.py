@@ -22,7 +22,7 @@ SINGLE_TASK = {
     "non_numeric_rate", "negative_count", "negative_entity_pct", "duration_reconcile", "duration_reconcile_lenient",
     "duration_reconcile_multi", "fractional_values", "date_span_union", "revenue_total", "revenue_stats",
     "kpi_overview", "customer_growth", "avg_customer_spend", "avg_orders_per_customer", "customer_quartile_segments",
-    "resolution_rate", "resolution_rate_stated", "customer_sentiment", "quality_rules",
+    "resolution_rate", "resolution_rate_stated", "customer_sentiment", "quality_rules", "orders_not_in_counts",
 }
 
 

@@ -95,7 +95,7 @@ def test_distributed_rounds(spark, monkeypatch, piece):
 
 def test_one_conversation_over_many_partitions(spark, settings):
     settings(spark__sql__adaptive__coalescePartitions__enabled="false")
-    rows = [(3, t, "user", f"t{t % 7}") for t in range(1500)] + [(c, 0, "user", "t0") for c in range(10, 30)]
+    rows = [(3, t, "user", f"t{t % 7}") for t in range(400)] + [(c, 0, "user", "t0") for c in range(10, 30)]
     assert got(prefix_trie.conversation_trie(table(spark, rows).repartition(6))) == brute(rows)
 
 

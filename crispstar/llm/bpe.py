@@ -17,11 +17,16 @@ from tokenizers.models import BPE
 
 from crispstar.llm.common import BoundedCache, in_arrow, raw, sliced
 
+# Bytes of digests that a worker keeps; words and chunks have half as many each.
+CACHED = 64 << 20
 _SPACES = b" \t\n\v\f\r"
 # Letters that stay what they are under every normal form, and marks that no contraction starts with.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!,.:;?]*)")
+# Those letters with any printing ASCII, and the pieces that _LETTERS cuts them into once they are lower case.
+_SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
-# The normaliser and the word pattern for which _PLAIN is a shorter way.
+# The normaliser and the word pattern for which _PLAIN and _SIMPLE are shorter ways.
 _LOWER = {
     "type": "Sequence",
     "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
@@ -58,7 +63,7 @@ class ForcedBoundaryEncoder:
     A vocabulary with white space inside tokens gets whole texts as chunks.
     """
 
-    def __init__(self, file: str):
+    def __init__(self, file: str, cached: int = CACHED):
         spec, library = json.loads(file), Tokenizer.from_str(file)
         model = spec["model"]
         if model["type"] != "BPE" or model.get("dropout") or model.get("byte_fallback") or model.get("ignore_merges"):
@@ -67,6 +72,8 @@ class ForcedBoundaryEncoder:
         self.ids, self.end = model["vocab"], model.get("end_of_word_suffix") or ""
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in {**self.ids, **self.special}.items()}
+        # What a digest reads of each id: its decimal digits and its token.
+        self.digits, self.names = {i: str(i).encode() for i in self.tokens}, {i: t.encode() for i, t in self.tokens.items()}
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
         rules = {"vocab": self.ids, "merges": merges, "unk_token": model.get("unk_token")}
         # One merger for fragments that end a word, one for the others.
@@ -78,8 +85,8 @@ class ForcedBoundaryEncoder:
         self.spaces_cut = not any(at[p[0]] in _SPACES or at[p[1]] in _SPACES for p in self.inside)
         self.plain = spec.get("normalizer") == _LOWER and spec.get("pre_tokenizer") == _LETTERS
         held = lambda ids: 56 + 8 * len(ids)
-        self.words, self.chunks = BoundedCache(self._word, held), BoundedCache(self._chunk, held)
-        self.digests = BoundedCache(self._digest, lambda made: 190 + len(made[1]) + len(made[2]), 64 << 20)
+        self.words, self.chunks = BoundedCache(self._word, held, cached // 2), BoundedCache(self._chunk, held, cached // 2)
+        self.digests = BoundedCache(self._digest, lambda made: 190 + len(made[1]) + len(made[2]), cached)
 
     def _pairs_inside(self) -> set[str]:
         """Two letters side by side in any token, the suffix of word ends not counted."""
@@ -88,28 +95,32 @@ class ForcedBoundaryEncoder:
 
     def cut(self, word: str) -> list[str]:
         """The fragments of a word between its forced boundaries."""
-        pairs = list(map(add, word, word[1:]))
-        if self.inside.issuperset(pairs):
+        if self.inside.issuperset(map(add, word, word[1:])):
             return [word]
-        at = [0, *(i for i, p in enumerate(pairs, 1) if p not in self.inside), len(word)]
+        at = [0, *[i for i, p in enumerate(map(add, word, word[1:]), 1) if p not in self.inside], len(word)]
         return [word[a:b] for a, b in zip(at, at[1:])]
 
     def _word(self, word: str) -> tuple[int, ...]:
         """Ids of a word in byte letters: of its fragments, one after the other."""
         *inner, last = self.cut(word)
-        found = [t.id for part in inner for t in self.merger[False].tokenize(part)]
-        return (*found, *[t.id for t in self.merger[True].tokenize(last)])
+        ends = [t.id for t in self.merger[True].tokenize(last)]
+        return (*[t.id for part in inner for t in self.merger[False].tokenize(part)], *ends) if inner else tuple(ends)
+
+    def _lettered(self, piece: str) -> str:
+        """A piece in byte letters; printing ASCII is its own."""
+        return piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letter_of)
 
     def _chunk(self, chunk: bytes) -> tuple[int, ...]:
         text = chunk.decode("utf-8", "replace")
         if self.plain and (m := _PLAIN.fullmatch(text)):
             word, marks = m.groups()
-            word = word.lower()
-            if not word.isascii():
-                word = word.encode().decode("latin-1").translate(self.letter_of)
-            ids = self.words[word] if word else ()
+            ids = self.words[self._lettered(word.lower())] if word else ()
             return ids + self.words[marks] if marks else ids
         found: list[int] = []
+        if self.plain and _SIMPLE.fullmatch(text) and not any(t in text for t in self.special):
+            for piece in _PIECES.findall(text.lower()):
+                found += self.words[self._lettered(piece)]
+            return tuple(found)
         for piece, token in self._specials(text):
             if self.normalizer:
                 piece = self.normalizer.normalize_str(piece)
@@ -144,8 +155,8 @@ class ForcedBoundaryEncoder:
         return " ".join([self.tokens[i] for i in ids])
 
     def _digest(self, chunk: bytes) -> tuple[int, bytes, bytes]:
-        ids = self._chunk(chunk)
-        return len(ids), " ".join(map(str, ids)).encode(), self.decode(ids).encode()
+        ids, digits, names = self._chunk(chunk), self.digits, self.names
+        return len(ids), b" ".join([digits[i] for i in ids]), b" ".join([names[i] for i in ids])
 
     def digest(self, text: bytes) -> tuple[int, str, str]:
         """Number of ids, and SHA-256 of the ids in decimal and of the decoded text."""
@@ -160,14 +171,14 @@ class ForcedBoundaryEncoder:
         return sum(counts), sha256(b" ".join(ids)).hexdigest(), sha256(b" ".join(decoded)).hexdigest()
 
 
-_loaded: dict[str, ForcedBoundaryEncoder] = {}
+_loaded: dict[tuple[str, int], ForcedBoundaryEncoder] = {}
 
 
-def encoder(file: str) -> ForcedBoundaryEncoder:
-    """One encoder per Python worker and tokenizer file, with its caches."""
-    if file not in _loaded:
-        _loaded[file] = ForcedBoundaryEncoder(file)
-    return _loaded[file]
+def encoder(file: str, cached: int = CACHED) -> ForcedBoundaryEncoder:
+    """One encoder per Python worker, tokenizer file and size of its caches."""
+    if (file, cached) not in _loaded:
+        _loaded[file, cached] = ForcedBoundaryEncoder(file, cached)
+    return _loaded[file, cached]
 
 
 def read_tokenizer(path: str) -> str:
@@ -197,17 +208,18 @@ def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
     return in_arrow(encoded, rows, "id long, text string", 2000)
 
 
-def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", cached: int = CACHED) -> DataFrame:
     """One row per document: ``id, n_tokens, ids_sha256, decoded_sha256``.
 
     The digests are of the ids in decimal joined by one space, and of what they
     decode to. Texts are encoded whole; NULL and empty texts have no tokens;
     repeated rows give repeated rows; other columns are ignored. A NULL id stays.
+    A worker keeps ``cached`` bytes of digests and half as many of words: rare words make most of the work.
     """
     file = docs.sparkSession.sparkContext.broadcast(read_tokenizer(path))
 
     def rows(batch: pa.RecordBatch) -> Iterable[tuple]:
-        bpe = encoder(file.value)
+        bpe = encoder(file.value, cached)
         return ((i, *bpe.digest(t)) for part in sliced(batch, "text") for i, t in zip(part.column("id").to_pylist(), raw(part, "text")))
 
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

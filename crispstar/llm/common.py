@@ -95,24 +95,29 @@ def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.
 
 
 class BoundedCache(dict):
-    """Results by text key, emptied when keys and results hold too many bytes; long keys are not kept.
+    """Results by text key in two generations, so that what comes often outlasts what came once; long keys are not kept.
 
-    ``cost`` is what a result holds beside its key. Text without spaces is one long chunk a
-    document, which will not come again.
+    ``cost`` is what a result holds beside its key. When keys and results hold over half of ``most`` bytes,
+    they become the older generation and the older one goes; a result found there moves up again.
+    Text without spaces is one long chunk a document, which will not come again.
     """
 
     def __init__(self, make: Callable, cost: Callable, most: int = 32 << 20, longest: int = 64):
         super().__init__()
         self.make, self.cost, self.most, self.longest, self.size = make, cost, most, longest, 0
+        self.older: dict = {}
 
     def __missing__(self, key):
-        made = self.make(key)
-        if len(key) > self.longest:
-            return made
+        made = self.older.pop(key, None)
+        if made is None:
+            made = self.make(key)
+            if len(key) > self.longest:
+                return made
         # An entry of a dictionary with its key costs about 150 bytes more than the key's text.
-        self.size += 150 + len(key) + self.cost(made)
-        if self.size > self.most:
+        held = 150 + len(key) + self.cost(made)
+        self.size += held
+        if 2 * self.size > self.most:
+            self.older, self.size = dict(self), held
             self.clear()
-            self.size = 150 + len(key) + self.cost(made)
         self[key] = made
         return made

@@ -60,7 +60,8 @@ def op6_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op7_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    return bpe.round_trip(_table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"))
+    # Alone in its workers it may keep more words than as a stage of the pipeline.
+    return bpe.round_trip(_table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), cached=256 << 20)
 
 
 def op8_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

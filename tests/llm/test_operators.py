@@ -209,6 +209,31 @@ def test_bpe_agrees_with_the_library(docs):
     assert all(len(own.cut(w)) > 1 for w in ("!z", "q9")) and own.cut("then") == ["then"]
 
 
+def test_frequent_words_outlast_rare_ones_in_a_cache():
+    from crispstar.llm.common import BoundedCache
+
+    made = Counter()
+    cache = BoundedCache(lambda key: made.update([key]) or (key,), lambda result: 50, most=20_000)
+    for i in range(2000):
+        assert cache[b"often"] == (b"often",) and cache[b"%d" % i] == (b"%d" % i,)
+        assert len(cache) + len(cache.older) <= 100
+    assert made[b"often"] == 1 and len(made) == 2001
+
+
+def test_pieces_of_a_chunk_agree_with_the_library():
+    """Printing ASCII and Latin letters are cut without the library, other text and special tokens with it."""
+    from tokenizers import Tokenizer
+
+    path = vocabulary("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), bpe.ForcedBoundaryEncoder(bpe.read_tokenizer(path))
+    rng = np.random.default_rng(5)
+    letters = "aetsrdvmlé'''19$-.<|>Éßÿ×÷µªºñ\u0301\x1c\x7f\u00adİſK"
+    chunks = ["".join(rng.choice(list(letters[: rng.choice([18, 22, 99])]), rng.integers(1, 10))) for _ in range(4000)]
+    chunks += ["word$$$", "it's", "'tis'S", "A.B@c9.de", "--'s", "x<|endoftext|>'ll", "<|startoftext|>", "Don't.%%%", "10.0.0.1", "ÀÉ***"]
+    for c in chunks:
+        assert own.encode(c.encode()) == library.encode(c, add_special_tokens=False).ids, c
+
+
 def test_encoded_rows_decode(docs):
     path = vocabulary("word_bpe_49k.json")
     encoded = bpe.encode_texts(docs.filter("doc_id < 3"), path)
